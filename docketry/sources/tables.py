@@ -168,38 +168,38 @@ def merge_rows(
     rest = [c for c in target.columns if c not in keys]
     if update is None:
         update = {c: F.col(f"s.{c}") for c in rest if c in source.columns}
-    copies = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
-    s = source.withColumn("_in_source", F.lit(True))
+    # one row per source key, so the join cannot multiply target rows; a source small
+    # enough for Spark to broadcast leaves the target where it is
+    extra = [c for c in source.columns if c not in keys]
     s = (
-        s.join(copies, keys, "left")
-        .withColumn("_clash", F.coalesce(F.col("_copies") > 1, F.lit(False)))
-        .alias("s")
+        source.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1).alias("_one"), *extra)).alias("_v"))
+        .select(*keys, "_n", *[F.col(f"_v.`{c}`").alias(c) for c in extra])
     )
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    joined = t.join(s, on, "full_outer" if insert else "left")
-    matched = F.col("t._in_target").isNotNull() & F.col("s._in_source").isNotNull()
-    only_source = F.col("t._in_target").isNull()
+    joined = target.alias("t").join(s.alias("s"), on, "left")
+    matched = F.col("s._n").isNotNull()
     action = (
-        F.when(
-            matched & F.col("s._clash"),
-            F.raise_error(F.lit("two source rows match one target row")).cast("string"),
-        )
+        F.when(F.col("s._n") > 1, F.raise_error(F.lit("two source rows match one target row")).cast("string"))
         .when(matched, "update")
-        .when(only_source, "insert")
         .otherwise("keep")
     )
-    columns = []
-    for c in target.columns:
-        kind = target.schema[c].dataType
-        from_source = F.col(f"s.{c}") if c in source.columns else F.lit(None)
-        value = F.when(only_source, from_source)
-        if c in update and c not in keys:
-            value = value.when(matched, update[c])
-        columns.append(value.otherwise(F.col(f"t.{c}")).cast(kind).alias(c))
-    out = joined.select(*columns, action.alias("_mark_action"))
+    columns = [
+        F.when(matched, update[c]).otherwise(F.col(f"t.{c}")).cast(target.schema[c].dataType).alias(c)
+        if c in update and c not in keys
+        else F.col(f"t.{c}")
+        for c in target.columns
+    ]
     # the filter keeps the action, and with it the error, in the plan
-    out = out.where(F.col("_mark_action").isNotNull())
+    out = joined.select(*columns, action.alias("_mark_action")).where(F.col("_mark_action").isNotNull())
+    if insert:
+        present = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
+        new = source.join(present, keys, "left_anti")
+        inserted = [
+            (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
+            for c in target.columns
+        ]
+        out = out.unionByName(new.select(*inserted, F.lit("insert").alias("_mark_action")))
     return out if keep_marks else out.drop("_mark_action")
 
 
