@@ -30,15 +30,20 @@ def split_tokens(
     df: DataFrame, text: str = "text", size: int = 1024, overlap: int = 150, tokenize=words
 ) -> DataFrame:
     """One row per token window: adds chunk_no, chunk_text, n_tokens."""
-    start = "window_start"
     tok = "window_tokens"
+
+    def window(start: Column) -> Column:
+        part = F.slice(tok, start + 1, size)
+        return F.struct(F.array_join(part, " ").alias("chunk_text"), F.size(part).alias("n_tokens"))
+
+    # windows are cut before they become rows, so no row carries the whole token list
+    windows = F.transform(window_starts(F.size(tok), size, overlap), window)
     return (
         df.withColumn(tok, tokenize(F.col(text)))
-        .select("*", F.posexplode(window_starts(F.size(tok), size, overlap)).alias("chunk_no", start))
-        .withColumn(tok, F.slice(tok, F.col(start) + 1, size))
-        .withColumn("chunk_text", F.array_join(tok, " "))
-        .withColumn("n_tokens", F.size(tok))
-        .drop(tok, start)
+        .withColumn("windows", windows)
+        .drop(tok)
+        .select("*", F.posexplode("windows").alias("chunk_no", "window"))
+        .select(*df.columns, "chunk_no", "window.*")
     )
 
 

@@ -22,7 +22,9 @@ def with_pictures(hits: DataFrame, payloads: DataFrame) -> DataFrame:
     meta = F.col("content_metadata")
     visual = F.coalesce(meta["type"].isin("image", "structured"), F.lit(False))
     key = element_key(F.col("collection"), base_name(F.col("source_id")), meta["page_number"], meta["location"])
-    keyed = hits.withColumn("element_key", F.when(visual, key))
+    # other hits get a key of their own that no payload has; one null key would gather them in one task
+    no_picture = F.concat(F.lit("\u0000"), F.xxhash64("query_id", "rank", "text").cast("string"))
+    keyed = hits.withColumn("element_key", F.when(visual & key.isNotNull(), key).otherwise(no_picture))
     return get_payloads(keyed, payloads).withColumnRenamed("content", "picture").drop("element_key")
 
 

@@ -308,4 +308,4 @@ select metric, count(*) as n, quantile_disc(ms, 0.5) as p50, quantile_disc(ms, 0
 from l where ms is not null group by 1
 """)
 def latency_percentiles(spark, sf):
-    return usage.latency_percentiles(requests(spark, sf))
+    return usage.latency_percentiles(requests(spark, sf), accuracy=100_000)

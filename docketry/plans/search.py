@@ -323,11 +323,15 @@ def merged_contexts(spark, sf):
 
 
 def keyword_search(spark, sf, k: int = 10):
-    """Search function for the loops: keyword hits over all documents as one collection."""
+    """Search function for the loops: keyword hits over all documents as one collection.
+
+    The index is written once, so a round does not split and count the documents again.
+    """
     docs = table(spark, sf, "documents").select(F.lit("documents").alias("collection"), F.col("doc_id").alias("chunk_id"), "text")
+    index = keyword.write_index(docs, work_path(spark, "keywords"))
 
     def run(queries):
-        hits = keyword.keyword_top_k(docs, queries, k)
+        hits = keyword.keyword_top_k(index, queries, k)
         return hits.join(docs.select("chunk_id", "text"), "chunk_id").select("query_id", "chunk_id", "text", "rank")
 
     return run

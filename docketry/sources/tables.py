@@ -1,31 +1,36 @@
-"""Versioned Parquet tables: snapshots, history, and changes written as new versions.
+"""Versioned Parquet tables: snapshots, history, and changes that rewrite touched partitions only.
 
-A table is `root/data/version=N` plus one history row per version under
-`root/history`. The history row is written last, so a version exists once its row
-does, and a job that dies half way leaves nothing readable behind. Nothing is ever
-written over the path being read. One writer per table is assumed.
+Rows of version N are in the folders `root/data/version=V[/column=value]` that its
+history row under `root/history` names. The history row is written last, so a version
+exists once its row does, and a job that dies half way leaves nothing readable behind.
+Nothing is ever written over a path being read. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
+import json
 from datetime import UTC, datetime
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HISTORY_TYPE = (
     "version long, timestamp timestamp, operation string, rows_written long, "
-    "rows_inserted long, rows_updated long, rows_deleted long, batch_id long"
+    "rows_inserted long, rows_updated long, rows_deleted long, batch_id long, "
+    "folders array<string>, row_type string"
 )
+MARK = "_mark"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """A table of snapshots. With `partition_by`, a text column that is never null, a change
+    rewrites only the partitions it touches; an append rewrites nothing."""
 
-    def _path(self, version: int) -> str:
-        return f"{self.root}/data/version={version}"
+    def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None):
+        self.spark, self.root, self.partition_by = spark, root.rstrip("/"), partition_by
 
     def history(self) -> DataFrame:
         """One row per version: when, what operation, how many rows."""
@@ -39,85 +44,145 @@ class VersionedTable:
     def latest(self) -> int | None:
         return self.history().agg(F.max("version")).first()[0]
 
+    def _entry(self, version: int | None = None) -> Row | None:
+        rows = self.history()
+        if version is not None:
+            rows = rows.where(F.col("version") == version)
+        return rows.orderBy(F.desc("version")).first()
+
     def read(self, version: int | None = None) -> DataFrame:
         """The current table, or version N."""
-        if version is None:
-            version = self.latest()
-            if version is None:
-                raise ValueError(f"no version has been written to {self.root}")
-        return self.spark.read.parquet(self._path(version))
-
-    def write(
-        self, df: DataFrame, operation: str = "write", marks: dict[str, Column] | None = None,
-        batch_id: int | None = None,
+        entry = self._entry(version)
+        if entry is None:
+            raise ValueError(f"no such version in {self.root}: {version}")
+        return self._read(entry["folders"], T.StructType.fromJson(json.loads(entry["row_type"])))
+
+    def _read(self, folders: list[str], row_type: T.StructType) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], row_type)
+        with_version = T.StructType([*row_type.fields, T.StructField("version", T.LongType())])
+        base = f"{self.root}/data"
+        return (
+            self.spark.read.schema(with_version)
+            .option("basePath", base)
+            .parquet(*[f"{base}/{folder}" for folder in folders])
+            .select(*row_type.names)
+        )
+
+    def _folders(self, version: int, row_type: T.StructType) -> list[str]:
+        """Folders a version wrote, from its file names."""
+        name = f"version={version}"
+        files = self.spark.read.schema(row_type).parquet(f"{self.root}/data/{name}").inputFiles()
+        tails = [unquote(f).rsplit("/", 1)[0].split(f"/data/{name}", 1)[1] for f in files]
+        return sorted({name + tail for tail in tails})
+
+    def _commit(
+        self, df: DataFrame, operation: str, marks: dict[str, Column] | None = None,
+        kept: list[str] | None = None, kept_rows: int = 0, batch_id: int | None = None,
     ) -> int:
-        """Write df as the next version. `marks` are 0/1 columns summed into the history row."""
+        """Write df as the next version beside the `kept` folders of the one before."""
         latest = self.latest()
         version = 0 if latest is None else latest + 1
         counted = Observation()
-        sums = [F.coalesce(F.sum(mark), F.lit(0)).alias(name) for name, mark in (marks or {}).items()]
-        kept = df.observe(counted, F.count(F.lit(1)).alias("seen"), *sums)
-        marked = [c for c in df.columns if c.startswith("_mark")]
-        if "_mark_deleted" in marked:
-            kept = kept.where(~F.col("_mark_deleted"))
-        kept.drop(*marked).write.mode("overwrite").parquet(self._path(version))
-        seen = counted.get
-        gone = seen.get("rows_deleted", 0)
+        sums = [F.coalesce(F.sum(mark.cast("long")), F.lit(0)).alias(n) for n, mark in (marks or {}).items()]
+        seen = df.observe(counted, F.count(F.lit(1)).alias("seen"), *sums)
+        if MARK in df.columns:
+            seen = seen.where(F.col(MARK) != "delete").drop(MARK)
+        row_type = T.StructType([T.StructField(f.name, f.dataType, True) for f in seen.schema])
+        path = f"{self.root}/data/version={version}"
+        writer = seen.write.mode("overwrite")
+        if self.partition_by:
+            writer = writer.partitionBy(self.partition_by)
+        writer.parquet(path)
+        sizes = counted.get
+        gone = sizes.get("rows_deleted", 0)
         row = (
-            version,
-            datetime.now(UTC),
-            operation,
-            seen["seen"] - gone,
-            seen.get("rows_inserted", 0),
-            seen.get("rows_updated", 0),
-            gone,
-            batch_id,
+            version, datetime.now(UTC), operation, sizes["seen"] - gone + kept_rows,
+            sizes.get("rows_inserted", 0), sizes.get("rows_updated", 0), gone, batch_id,
+            [*(kept or []), *self._folders(version, row_type)], row_type.json(),
         )
         self.spark.createDataFrame([row], HISTORY_TYPE).coalesce(1).write.mode("append").json(
             f"{self.root}/history"
         )
         return version
 
-    def overwrite(self, df: DataFrame) -> int:
-        return self.write(df, "write")
-
-    def append(self, df: DataFrame) -> int:
-        return self.write(self.read().unionByName(df), "append")
+    def _change(
+        self, touched: DataFrame, change, operation: str, marks: dict[str, Column],
+        added: DataFrame | None = None, batch_id: int | None = None,
+    ) -> int:
+        """Rewrite the partitions of the `touched` rows through `change`, add the `added` rows."""
+        entry = self._entry()
+        current = self.read(entry["version"])
+        folders = entry["folders"]
+        if self.partition_by:
+            # one value per partition, so the list is as short as the folder list
+            values = {r[0] for r in touched.select(self.partition_by).distinct().collect()}
+            names = {f"{self.partition_by}={v}" for v in values} | {
+                f"{self.partition_by}={quote(v, safe=' ')}" for v in values
+            }
+            kept = [f for f in folders if f.split("/", 1)[-1] not in names]
+            current = current.where(F.col(self.partition_by).isin(sorted(values)))
+        else:
+            kept = folders if touched.isEmpty() else []
+            current = current.where(F.lit(not kept))
+        rows = change(current)
+        if added is not None:
+            rows = rows.unionByName(added)
+        kept_rows = self._read(kept, current.schema).count() if kept else 0
+        return self._commit(rows, operation, marks, kept, kept_rows, batch_id)
+
+    def overwrite(self, df: DataFrame, batch_id: int | None = None) -> int:
+        return self._commit(df, "write", batch_id=batch_id)
+
+    def append(self, df: DataFrame, batch_id: int | None = None) -> int:
+        entry = self._entry()
+        columns = T.StructType.fromJson(json.loads(entry["row_type"])).names
+        return self._commit(
+            df.select(*columns), "append", {"rows_inserted": F.lit(1)}, entry["folders"],
+            entry["rows_written"], batch_id,
+        )
 
     def update(self, condition: Column, values: dict[str, Column]) -> int:
         """Set columns where the condition holds; a null condition leaves the row as it is."""
-        df = self.read()
-        hit = F.coalesce(condition, F.lit(False))
-        return self.write(
-            set_where(df.withColumn("_mark_updated", hit), F.col("_mark_updated"), values),
-            "update",
-            {"rows_updated": F.col("_mark_updated").cast("long")},
+
+        def change(rows: DataFrame) -> DataFrame:
+            hit = F.when(F.coalesce(condition, F.lit(False)), "update").otherwise("keep")
+            return set_where(rows.withColumn(MARK, hit), F.col(MARK) == "update", values)
+
+        return self._change(
+            self.read().where(condition), change, "update", {"rows_updated": F.col(MARK) == "update"}
         )
 
     def delete(self, condition: Column) -> int:
         """Remove rows where the condition holds."""
-        df = self.read().withColumn("_mark_deleted", F.coalesce(condition, F.lit(False)))
-        return self.write(df, "delete", {"rows_deleted": F.col("_mark_deleted").cast("long")})
+
+        def change(rows: DataFrame) -> DataFrame:
+            return rows.withColumn(MARK, F.when(F.coalesce(condition, F.lit(False)), "delete").otherwise("keep"))
+
+        return self._change(
+            self.read().where(condition), change, "delete", {"rows_deleted": F.col(MARK) == "delete"}
+        )
 
     def merge(
         self, source: DataFrame, keys: list[str], update: dict[str, Column] | None = None,
         insert: bool = True, batch_id: int | None = None,
     ) -> int:
         """Update matched rows and insert unmatched ones; see `merge_rows`."""
-        merged = merge_rows(self.read(), source, keys, update, insert, keep_marks=True)
-        return self.write(
-            merged,
+        target = self.read()
+        touched = target.join(source.select(*keys), keys, "left_semi")
+        added = unmatched_rows(target, source, keys).withColumn(MARK, F.lit("insert")) if insert else None
+        return self._change(
+            touched,
+            lambda rows: matched_rows(rows, source, keys, update),
             "merge",
-            {
-                "rows_updated": (F.col("_mark_action") == "update").cast("long"),
-                "rows_inserted": (F.col("_mark_action") == "insert").cast("long"),
-            },
+            {"rows_updated": F.col(MARK) == "update", "rows_inserted": F.col(MARK) == "insert"},
+            added,
             batch_id,
         )
 
     def dedupe(self, keys: list[str], order: list[Column]) -> int:
         """Keep one row per key and write the rest away as a new version."""
-        return self.write(first_per_key(self.read(), keys, order), "dedupe")
+        return self._commit(first_per_key(self.read(), keys, order), "dedupe")
 
 
 def set_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:
@@ -154,20 +219,12 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     )
 
 
-def merge_rows(
-    target: DataFrame, source: DataFrame, keys: list[str], update: dict[str, Column] | None = None,
-    insert: bool = True, keep_marks: bool = False,
+def matched_rows(
+    target: DataFrame, source: DataFrame, keys: list[str], update: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Target after a merge with source on keys.
-
-    Matched rows take `update` (columns over `t` and `s`; by default every other
-    source column), unmatched source rows are each inserted, copies included. Two
-    source rows for one target row is an error, raised by the job. Null keys match
-    nothing.
-    """
-    rest = [c for c in target.columns if c not in keys]
+    """Target rows with matched ones updated, marked `update` or `keep`."""
     if update is None:
-        update = {c: F.col(f"s.{c}") for c in rest if c in source.columns}
+        update = {c: F.col(f"s.{c}") for c in target.columns if c in source.columns}
     # one row per source key, so the join cannot multiply target rows; a source small
     # enough for Spark to broadcast leaves the target where it is
     extra = [c for c in source.columns if c not in keys]
@@ -191,22 +248,38 @@ def merge_rows(
         for c in target.columns
     ]
     # the filter keeps the action, and with it the error, in the plan
-    out = joined.select(*columns, action.alias("_mark_action")).where(F.col("_mark_action").isNotNull())
-    if insert:
-        present = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-        new = source.join(present, keys, "left_anti")
-        inserted = [
+    return joined.select(*columns, action.alias(MARK)).where(F.col(MARK).isNotNull())
+
+
+def unmatched_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows whose key the target lacks, in the target's columns, copies included."""
+    present = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
+    return source.join(present, keys, "left_anti").select(
+        *[
             (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
             for c in target.columns
         ]
-        out = out.unionByName(new.select(*inserted, F.lit("insert").alias("_mark_action")))
-    return out if keep_marks else out.drop("_mark_action")
+    )
+
+
+def merge_rows(
+    target: DataFrame, source: DataFrame, keys: list[str], update: dict[str, Column] | None = None,
+    insert: bool = True,
+) -> DataFrame:
+    """Target after a merge with source on keys.
+
+    Matched rows take `update` (columns over `t` and `s`; by default every other
+    source column), unmatched source rows are each inserted, copies included. Two
+    source rows for one target row is an error, raised by the job. Null keys match
+    nothing.
+    """
+    out = matched_rows(target, source, keys, update).drop(MARK)
+    return out.unionByName(unmatched_rows(target, source, keys)) if insert else out
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Merge that only inserts: target plus the source rows whose key it lacks."""
-    new = source.join(target.select(*keys).distinct(), keys, "left_anti")
-    return target.unionByName(new.select(*target.columns))
+    return target.unionByName(unmatched_rows(target, source, keys))
 
 
 def replace_group(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -43,7 +43,7 @@ def merge_stream(
         latest = F.max_by(F.struct(*batch.columns), F.struct(*order))
         once = batch.groupBy(*keys).agg(latest.alias("r")).select("r.*")
         if table.latest() is None:
-            table.write(once, "merge", batch_id=batch_id)
+            table.overwrite(once, batch_id)
         else:
             table.merge(once, keys, update, batch_id=batch_id)
 
