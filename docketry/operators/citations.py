@@ -47,6 +47,7 @@ def cite(hits: DataFrame, payloads: DataFrame) -> DataFrame:
         with_pictures(hits, payloads)
         .select(
             "query_id",
+            "collection",
             "rank",
             content.alias("content"),
             base_name(F.col("source_id")).alias("document_name"),

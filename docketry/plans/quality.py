@@ -9,7 +9,7 @@ from docketry.operators import citations, evaluation, search, usage
 from docketry.operators.ingest import payload_rows
 from docketry.plans.files import SQL_ELEMENTS, elements
 from docketry.plans.registry import query, sql_distance, sql_words, table
-from docketry.plans.search import SQL_DENSE, SQL_DOCS, hits_with_text, label_chunks, vector_queries
+from docketry.plans.search import SQL_DENSE, SQL_DOCS, benchmark_queries, hits_with_text, label_chunks, vector_queries
 from docketry.session import work_path
 from docketry.sources.files import read_evaluation, write_truth
 
@@ -77,12 +77,9 @@ def plain_source_citations(spark, sf):
         "query_id", "collection", "rank", "text", F.col("source").alias("source_id"), F.lit(True).alias("plain_source"),
         (-F.col("distance")).alias("score"), F.expr(nothing).alias("content_metadata"),
     )
-    collection = hits.select("query_id", "collection", "rank", F.col("text").alias("content")).distinct()
-    cited = citations.cite(hits, _payloads(spark, sf)).select(
-        "query_id", "rank", "content", "document_name", "document_type", F.round("score", 6).alias("score")
-    )
-    return cited.join(collection, ["query_id", "rank", "content"]).select(
-        "query_id", "collection", F.col("rank").cast("long").alias("rank"), "content", "document_name", "document_type", "score"
+    return citations.cite(hits, _payloads(spark, sf)).select(
+        "query_id", "collection", F.col("rank").cast("long").alias("rank"), "content", "document_name", "document_type",
+        F.round("score", 6).alias("score"),
     )
 
 
@@ -220,7 +217,8 @@ e as (select query_id as question_id, f.text as question, lower(f.text) as refer
 
 def _evaluation_set(spark, sf):
     hits = hits_with_text(spark, sf, 2)
-    questions = hits.select(F.col("query_id").alias("question_id"), F.col("query_text").alias("question")).distinct()
+    asked = benchmark_queries(spark, sf)
+    questions = asked.select(F.col("query_id").alias("question_id"), F.col("text").alias("question"))
     questions = questions.withColumn("reference", F.lower("question"))
     contexts = hits.where("collection = 'en'").select(F.col("query_id").alias("question_id"), "rank", "text")
     responses = questions.select("question_id", F.expr("right(question, 20)").alias("response"))
