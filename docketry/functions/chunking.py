@@ -71,6 +71,8 @@ def split_separators(text: str, limit: int, overlap: int, separators=SEPARATORS)
     parts gives the text back; up to `overlap` characters of whole parts are
     carried from one piece into the next.
     """
+    if len(text) <= limit:
+        return [text.strip()] if text.strip() else []
     sep = next(s for s in separators if s == "" or s in text)
     finer = separators[separators.index(sep) + 1 :]
     if sep == "":

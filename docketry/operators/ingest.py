@@ -190,14 +190,14 @@ def metadata_table(files: DataFrame, items: DataFrame, raw: str = "metadata") ->
     if len(found) > MAX_FIELDS:
         raise ValueError(f"more than {MAX_FIELDS} metadata fields")
     names = sorted({r["field"] for r in found} - {"filename"})
-    value = F.try_parse_json(F.col(raw))
-    path = "$['{}']".format
-    columns = [
-        F.nullif(
-            F.nullif(F.try_variant_get(value, path(n.replace("'", "\\'")), "string"), F.lit("")), F.lit("[]")
-        ).alias(n)
-        for n in names
-    ]
+    entries = F.try_variant_get(F.try_parse_json(F.col(raw)), "$", "map<string,variant>")
+    last = last.select("filename", entries.alias("entries"))
+
+    def value(name: str):
+        text = F.try_variant_get(F.try_element_at("entries", F.lit(name)), "$", "string")
+        return F.nullif(F.nullif(text, F.lit("")), F.lit("[]")).alias(name)
+
+    columns = [value(name) for name in names]
     named = files.select(F.col("path").alias("source"), base_name(F.col("path")).alias("filename"))
     return named.join(last, "filename", "left").select("source", "filename", *columns)
 
