@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.functions.rows import exploded
 from docketry.functions.text import words
 
 # Separators tried in this order, the empty one cuts anywhere.
@@ -26,25 +27,27 @@ def window_starts(n: Column, size: int, overlap: int) -> Column:
     )
 
 
-def split_tokens(
-    df: DataFrame, text: str = "text", size: int = 1024, overlap: int = 150, tokenize=words
-) -> DataFrame:
-    """One row per token window: adds chunk_no, chunk_text, n_tokens."""
-    tok = "window_tokens"
+def _windows(tok: Column, size: int, overlap: int) -> Column:
+    """Token windows as an array of struct<chunk_text,n_tokens>."""
 
     def window(start: Column) -> Column:
         part = F.slice(tok, start + 1, size)
         return F.struct(F.array_join(part, " ").alias("chunk_text"), F.size(part).alias("n_tokens"))
 
+    return F.transform(window_starts(F.size(tok), size, overlap), window)
+
+
+def _window_rows(df: DataFrame, tok: Column, windows: Column) -> DataFrame:
     # windows are cut before they become rows, so no row carries the whole token list
-    windows = F.transform(window_starts(F.size(tok), size, overlap), window)
-    return (
-        df.withColumn(tok, tokenize(F.col(text)))
-        .withColumn("windows", windows)
-        .drop(tok)
-        .select("*", F.posexplode("windows").alias("chunk_no", "window"))
-        .select(*df.columns, "chunk_no", "window.*")
-    )
+    cut = df.withColumn("window_tokens", tok).withColumn("windows", windows).drop("window_tokens")
+    return exploded(cut, "windows", "window", "chunk_no").select(*df.columns, "chunk_no", "window.*")
+
+
+def split_tokens(
+    df: DataFrame, text: str = "text", size: int = 1024, overlap: int = 150, tokenize=words
+) -> DataFrame:
+    """One row per token window: adds chunk_no, chunk_text, n_tokens."""
+    return _window_rows(df, tokenize(F.col(text)), _windows(F.col("window_tokens"), size, overlap))
 
 
 def split_by_kind(
@@ -54,14 +57,10 @@ def split_by_kind(
     """Split the kinds that are split, pass the others as one chunk each."""
     kinds = [*SPLIT_KINDS, "pdf"] if split_pdf else list(SPLIT_KINDS)
     is_split = F.coalesce(F.col(kind).isin(kinds), F.lit(False))
-    whole = (
-        df.where(~is_split)
-        .where(F.col(text) != "")
-        .withColumn("chunk_no", F.lit(0))
-        .withColumn("chunk_text", F.col(text))
-        .withColumn("n_tokens", F.size(words(F.col(text))))
-    )
-    return split_tokens(df.where(is_split), text, size, overlap).unionByName(whole)
+    tok = F.col("window_tokens")
+    whole = F.array(F.struct(F.col(text).alias("chunk_text"), F.size(tok).alias("n_tokens")))
+    windows = F.when(is_split, _windows(tok, size, overlap)).when(F.col(text) != "", whole)
+    return _window_rows(df, words(F.col(text)), windows)
 
 
 def split_separators(text: str, limit: int, overlap: int, separators=SEPARATORS) -> list[str]:
@@ -110,18 +109,16 @@ def split_long_text(
 ) -> DataFrame:
     """One row per piece of each text: adds piece_no, piece.
 
-    Only texts over the limit reach Python; the others pass through as they are.
+    Only texts over the limit reach Python; the others are sent as null and pass as they are.
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and below the limit")
 
     @F.pandas_udf("array<string>")
     def pieces(col: pd.Series) -> pd.Series:
-        return col.map(lambda t: split_separators(t, limit, overlap))
+        return col.map(lambda t: None if t is None else split_separators(t, limit, overlap))
 
-    is_long = F.length(text) > limit
-    long = df.where(is_long).select("*", F.posexplode(pieces(F.col(text))).alias("piece_no", "piece"))
-    short = df.where(~is_long & (F.col(text) != "")).select(
-        "*", F.lit(0).alias("piece_no"), F.col(text).alias("piece")
-    )
-    return short.unionByName(long)
+    long = pieces(F.when(F.length(text) > limit, F.col(text)))
+    whole = F.when(F.col(text) != "", F.array(text))
+    cut = df.withColumn("pieces", long).withColumn("pieces", F.coalesce("pieces", whole))
+    return exploded(cut, "pieces", "piece", "piece_no").drop("pieces")

@@ -14,7 +14,9 @@ from docketry.sources.payloads import get_payloads
 
 # Kinds a citation may have, and how many pictures a model is shown.
 CITED = ("image", "text", "table", "chart", "audio")
-VISUAL_TOTAL = 4
+PICTURES_TOTAL = 4
+PICTURES_OF_QUERY = 1
+PICTURES_OF_CONTEXT = 1
 
 
 def with_pictures(hits: DataFrame, payloads: DataFrame) -> DataFrame:
@@ -68,10 +70,26 @@ def citation_counts(citations: DataFrame) -> DataFrame:
     return citations.groupBy("query_id").agg(F.count("*").alias("total_results"))
 
 
-def visual_hits(hits: DataFrame, payloads: DataFrame, limit: int = VISUAL_TOTAL) -> DataFrame:
-    """Image and structured hits with a stored picture, the first `limit` per query."""
-    shown = with_pictures(
-        hits.where(F.col("content_metadata.type").isin("image", "structured")), payloads
-    ).where(F.col("picture") != "")
+def visual_hits(hits: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Image and structured hits that have a stored picture."""
+    visual = hits.where(F.col("content_metadata.type").isin("image", "structured"))
+    return with_pictures(visual, payloads).where(F.col("picture") != "")
+
+
+def pictures_shown(
+    asked: DataFrame, found: DataFrame, total: int = PICTURES_TOTAL, of_query: int = PICTURES_OF_QUERY,
+    of_context: int = PICTURES_OF_CONTEXT,
+) -> DataFrame:
+    """Pictures a model is shown per query: the first of the question, then the first found.
+
+    Both sides have query_id, rank, picture; the result adds `origin` and renumbers `rank`.
+    """
+    if of_query + of_context > total:
+        raise ValueError("the limits for question and context exceed the total")
     by = Window.partitionBy("query_id").orderBy("rank")
-    return shown.withColumn("picture_no", F.row_number().over(by)).where(F.col("picture_no") <= limit)
+
+    def first(df: DataFrame, n: int, origin: str) -> DataFrame:
+        numbered = df.select("query_id", "picture", F.row_number().over(by).alias("rank"))
+        return numbered.where(F.col("rank") <= n).withColumn("origin", F.lit(origin))
+
+    return first(asked, of_query, "question").unionByName(first(found, of_context, "context"))

@@ -42,7 +42,7 @@ def combined_query(messages: DataFrame, last_n: int | None = None, part_rows: in
     """
     users = messages.where(F.col("role") == "user")
     if last_n is not None:
-        users = last_messages(users, last_n + 1)
+        users, part_rows = last_messages(users, last_n + 1), None
     return joined_in_order(users, ["conv_id"], "turn", "text", ". ", part_rows)
 
 

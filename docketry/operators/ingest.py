@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.chunking import split_long_text
+from docketry.functions.rows import exploded
 from docketry.functions.text import base_name, element_key, extension, tokens
 from docketry.operators.ordered import PART_ROWS, joined_in_order
 from docketry.sources.tables import first_per_key
@@ -137,9 +138,7 @@ def upload_report(requested: DataFrame, failures: DataFrame) -> DataFrame:
 def flatten_results(results: DataFrame, elements: str = "elements") -> DataFrame:
     """One row per element of each result list, with its place in the list."""
     rest = [c for c in results.columns if c != elements]
-    return results.select(*rest, F.posexplode(elements).alias("pos", "element")).select(
-        *rest, "pos", "element.*"
-    )
+    return exploded(results, elements, "element", "pos").select(*rest, "pos", "element.*")
 
 
 def element_text(tables: bool = True, charts: bool = True, images: bool = False) -> Column:

@@ -9,16 +9,18 @@ PART_ROWS = 1_000
 
 
 def joined_in_order(
-    df: DataFrame, keys: list[str], order: str, text: str, separator: str, part_rows: int = PART_ROWS
+    df: DataFrame, keys: list[str], order: str, text: str, separator: str, part_rows: int | None = PART_ROWS
 ) -> DataFrame:
     """Texts joined in order: one row per key and part, with keys, part_no and text.
 
     `order` is a whole number that does not repeat within a key. A part covers
     `part_rows` of its values, so however long a key's list is, no task gathers
-    more than one part of it; a key with fewer rows has the one part 0.
+    more than one part of it; a key with fewer rows has the one part 0. Lists that
+    were cut to a few rows before need no parts (None).
     """
+    part = F.lit(0) if part_rows is None else F.floor(F.col(order) / part_rows).cast("int")
     return (
-        df.groupBy(*keys, F.floor(F.col(order) / part_rows).cast("int").alias("part_no"))
+        df.groupBy(*keys, part.alias("part_no"))
         .agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("x")))).alias("xs"))
         .select(*keys, "part_no", F.array_join(F.transform("xs", lambda e: e["x"]), separator).alias("text"))
     )

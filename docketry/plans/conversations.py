@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions import text as tx
 from docketry.operators import converse
-from docketry.plans.registry import query, sql_trim, table
+from docketry.plans.registry import query, sql_trim, table, texts
 
 
 def messages(spark, sf):
@@ -156,7 +156,7 @@ def think_removed(spark, sf):
 select doc_id, {sql_trim(r"regexp_replace(text, '\n\s*\n', chr(10), 'g')")} as text from documents
 """)
 def blank_lines_collapsed(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.collapse_blank_lines(F.col("text")).alias("text"))
+    return texts(spark, sf).select("doc_id", tx.collapse_blank_lines(F.col("text")).alias("text"))
 
 
 @query(rf"""
@@ -179,7 +179,7 @@ i as (select doc_id, generate_subscripts(ls, 1)::int - 1 as pos, {sql_trim('unne
 select doc_id, pos, case when contains(line, '. ') then line[strpos(line, '. ') + 2:] else line end as item from i
 """)
 def numbered_lines(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.posexplode(tx.numbered_items(F.col("text"))).alias("pos", "item"))
+    return texts(spark, sf).select("doc_id", F.posexplode(tx.numbered_items(F.col("text"))).alias("pos", "item"))
 
 
 @query(f"""
@@ -209,4 +209,4 @@ def role_names(spark, sf):
 
 @query("select doc_id, case when length(text) > 500 then text[:500] || '... [content truncated]' else text end as shown from documents")
 def previews(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.preview(F.col("text")).alias("shown"))
+    return texts(spark, sf).select("doc_id", tx.preview(F.col("text")).alias("shown"))

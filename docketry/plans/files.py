@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docketry.functions.chunking import split_by_kind, split_long_text, split_tokens
 from docketry.functions.text import base_name, extension, stem
 from docketry.operators import ingest
-from docketry.plans.registry import query, sql_base, sql_words, table
+from docketry.plans.registry import query, sql_base, sql_words, table, texts
 
 
 @query(f"""
@@ -180,7 +180,7 @@ def elements(spark, sf):
           'image_metadata', named_struct('caption', case when {kind} = 3 then concat('caption: ', line) end),
           'audio_metadata', named_struct('audio_transcript', case when {kind} = 4 then line end))))
     """
-    results = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("collection"), F.expr(expr).alias("elements"))
+    results = texts(spark, sf).select("doc_id", F.col("lang").alias("collection"), F.expr(expr).alias("elements"))
     return ingest.flatten_results(results)
 
 
@@ -273,7 +273,7 @@ select {keep}, (start / {step})::int as chunk_no, array_to_string(w[start + 1 :
 
 @query(sql_windows("documents", "doc_id"))
 def token_windows(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf).select("doc_id", "text")
     return split_tokens(docs, size=SIZE, overlap=OVERLAP).select("doc_id", "chunk_no", "chunk_text", "n_tokens")
 
 
@@ -282,7 +282,7 @@ select * from ({sql_windows("(select * from documents where lang in ('en', 'fr')
 union all select doc_id, 0, text, len({sql_words('text')})::int from documents where lang not in ('en', 'fr') and text <> ''
 """)
 def windows_by_kind(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = texts(spark, sf).select(
         "doc_id",
         F.when(F.col("lang") == "en", "html").when(F.col("lang") == "fr", "text").otherwise("pdf").alias("kind"),
         "text",
@@ -294,7 +294,7 @@ def windows_by_kind(spark, sf):
 
 @query()
 def separator_pieces(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf).select("doc_id", "text")
     return split_long_text(docs, limit=2_000, overlap=200).select("doc_id", "piece_no", "piece")
 
 
@@ -312,7 +312,7 @@ def metadata_on_chunks(spark, sf):
 
 @query()
 def hashed_vectors(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf).select("doc_id", "text")
     vectors, _ = ingest.hashed_vectors(docs, dimension=256)
     return vectors.select("doc_id", "vector")
 
@@ -320,7 +320,7 @@ def hashed_vectors(spark, sf):
 @query("select doc_id, [length(text)::double, n_chars::double][1] as first, 2::bigint as dimension from documents")
 def embedded_by_function(spark, sf):
     """A stand-in embedding: length in characters and in bytes."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf).select("doc_id", "text")
     vectors = ingest.embed(docs, lambda texts: [[float(len(t)), float(len(t.encode()))] for t in texts], 2)
     return vectors.select(
         "doc_id", F.col("vector")[0].cast("double").alias("first"), F.size("vector").cast("long").alias("dimension")

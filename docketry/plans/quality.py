@@ -56,14 +56,25 @@ def citation_totals(spark, sf):
     return citations.citation_counts(citations.cite(_element_hits(spark, sf), _payloads(spark, sf)))
 
 
-@query(SQL_CITED + """
-select query_id, rank::bigint as rank, picture_no from (select query_id, rank, row_number() over (partition by query_id order by rank) as picture_no
-  from cited where k in (1, 2, 3)) where picture_no <= 4
-""")
+@query(SQL_CITED + "select query_id, rank::bigint as rank, content as picture from cited where k in (1, 2, 3)")
 def visual_hits(spark, sf):
     return citations.visual_hits(_element_hits(spark, sf), _payloads(spark, sf)).select(
-        "query_id", F.col("rank").cast("long").alias("rank"), F.col("picture_no").cast("long").alias("picture_no")
+        "query_id", F.col("rank").cast("long").alias("rank"), "picture"
+    )
+
+
+@query(SQL_CITED + """
+select query_id, content as picture, rn as rank, 'context' as origin from (
+  select *, row_number() over (partition by query_id order by rank) as rn from cited where k in (1, 2, 3)) where rn <= 3
+union all select doc_id, 'pic-' || lang, 1, 'question' from documents
+""")
+def pictures_shown(spark, sf):
+    """The question brings two pictures, of which one may be shown."""
+    asked = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("query_id"), F.posexplode(F.array(F.concat(F.lit("pic-"), "lang"), F.col("source"))).alias("rank", "picture")
     )
+    found = citations.visual_hits(_element_hits(spark, sf), _payloads(spark, sf))
+    return citations.pictures_shown(asked, found, of_context=3).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(f"""
@@ -157,7 +168,7 @@ def _evaluation_file(spark, sf):
             named_struct('doc_name', concat('annex_', item_id, '.pdf'), 'evidence_page_num', cast(null as bigint), 'evidence_text_full_page', cast(null as string)))
     """
     table(spark, sf, "benchmark").select(
-        F.col("item_id").cast("string").alias("financebench_id"),
+        F.col("item_id").cast("string").alias("bench_id"),
         F.col("text").alias("question"),
         F.lower("text").alias("answer"),
         F.expr(body).alias("evidence"),
@@ -169,7 +180,7 @@ def _evaluation_file(spark, sf):
 select item_id::varchar as question_id, text as question, lower(text) as reference, 2::bigint as n_evidence from benchmark
 """)
 def evaluation_lines(spark, sf):
-    rows = read_evaluation(spark, _evaluation_file(spark, sf))
+    rows = read_evaluation(spark, _evaluation_file(spark, sf), "bench_id")
     return rows.select("question_id", "question", "reference", F.size("evidence").cast("long").alias("n_evidence"))
 
 
@@ -181,14 +192,14 @@ union all select item_id::varchar, 'annex_' || item_id || '.pdf', '' from benchm
 
 @query(TRUTH)
 def truth_pages(spark, sf):
-    truth = evaluation.ground_truth(read_evaluation(spark, _evaluation_file(spark, sf)), file_ext=".html")
+    truth = evaluation.ground_truth(read_evaluation(spark, _evaluation_file(spark, sf), "bench_id"), file_ext=".html")
     return truth.select("question_id", "filename", "page")
 
 
 @query(TRUTH)
 def truth_written(spark, sf):
     path = work_path(spark, "truth")
-    write_truth(evaluation.ground_truth(read_evaluation(spark, _evaluation_file(spark, sf)), file_ext=".html"), path)
+    write_truth(evaluation.ground_truth(read_evaluation(spark, _evaluation_file(spark, sf), "bench_id"), file_ext=".html"), path)
     written = spark.read.schema("original_id string, contexts array<struct<filename:string,page:string>>").json(path)
     return written.select(F.col("original_id").alias("question_id"), F.explode("contexts").alias("c")).select(
         "question_id", "c.filename", "c.page"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docketry.plans.registry import query, table
-from docketry.session import work_path
+from docketry.session import cut_lineage, work_path
 from docketry.sources.files import list_files, read_columns
 
 
@@ -51,6 +51,19 @@ def renamed_column(spark, sf):
     )
 
 
+@query("""
+select l_returnflag as part, count(*) as n from lineitem where l_quantity > 25 group by 1
+union all select 'all', count(*) from lineitem where l_quantity > 25
+""")
+def reused_result(spark, sf):
+    """A result kept for two uses and released after them."""
+    kept = table(spark, sf, "lineitem").where("l_quantity > 25").select(F.col("l_returnflag").alias("part")).persist()
+    parts = cut_lineage(kept.groupBy("part").agg(F.count("*").alias("n")))
+    every = cut_lineage(kept.agg(F.lit("all").alias("part"), F.count("*").alias("n")))
+    kept.unpersist()
+    return parts.unionByName(every)
+
+
 @query("select p_brand, count(*) as n from part where p_size > 20 group by p_brand")
 def view_with_sql(spark, sf):
     table(spark, sf, "part").createOrReplaceTempView("part_view")

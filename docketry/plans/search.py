@@ -9,7 +9,7 @@ from docketry.functions.scores import sigmoid
 from docketry.functions.text import score_reply
 from docketry.operators import keyword, rerank, search
 from docketry.operators.metadata import Field
-from docketry.plans.registry import query, sql_distance, sql_tokens, table
+from docketry.plans.registry import query, sql_distance, sql_tokens, table, texts
 from docketry.session import work_path
 
 CHUNK_FIELDS = [Field("label", "integer"), Field("lang", "string"), Field("n_chars", "integer")]
@@ -31,7 +31,7 @@ def vector_queries(spark, sf):
 
 def document_vectors(spark, sf):
     """Documents that have an embedding, with text and metadata."""
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     return table(spark, sf, "embeddings").join(docs, F.col("vec_id") == F.col("doc_id")).select(
         F.col("lang").alias("collection"),
         F.col("doc_id").alias("chunk_id"),
@@ -168,7 +168,7 @@ with d as (select lang as collection, doc_id as chunk_id, text from documents),
 {sql_keyword('q', 'd', 10)} select query_id, collection, chunk_id, score, rank from keyword
 """)
 def keyword_top_k(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("lang").alias("collection"), F.col("doc_id").alias("chunk_id"), "text")
+    docs = texts(spark, sf).select(F.col("lang").alias("collection"), F.col("doc_id").alias("chunk_id"), "text")
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return _long_rank(keyword.keyword_top_k(docs, asked, 10))
 
@@ -327,7 +327,7 @@ def keyword_search(spark, sf, k: int = 10):
 
     The index is written once, so a round does not split and count the documents again.
     """
-    docs = table(spark, sf, "documents").select(F.lit("documents").alias("collection"), F.col("doc_id").alias("chunk_id"), "text")
+    docs = texts(spark, sf).select(F.lit("documents").alias("collection"), F.col("doc_id").alias("chunk_id"), "text")
     index = keyword.write_index(docs, work_path(spark, "keywords"))
 
     def run(queries):

@@ -53,3 +53,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result outlives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Even out a scan that comes in fewer splits than there are cores, such as a file of
+    one row group; a scan of many splits is left as it is. For heavy work per row only."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

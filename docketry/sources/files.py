@@ -33,15 +33,15 @@ def read_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFram
 
 
 EVALUATION_TYPE = (
-    "financebench_id string, question string, answer string, "
+    "question string, answer string, "
     "evidence array<struct<doc_name:string,evidence_page_num:long,evidence_text_full_page:string>>"
 )
 
 
-def read_evaluation(spark: SparkSession, path: str) -> DataFrame:
+def read_evaluation(spark: SparkSession, path: str, id_field: str = "id") -> DataFrame:
     """Evaluation questions from JSON lines, under our column names."""
-    return spark.read.schema(EVALUATION_TYPE).json(path).select(
-        F.col("financebench_id").alias("question_id"),
+    return spark.read.schema(f"`{id_field}` string, {EVALUATION_TYPE}").json(path).select(
+        F.col(id_field).alias("question_id"),
         "question",
         F.col("answer").alias("reference"),
         "evidence",

@@ -52,9 +52,15 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current table, or version N."""
+        return self._rows(self._require(version))
+
+    def _require(self, version: int | None = None) -> Row:
         entry = self._entry(version)
         if entry is None:
             raise ValueError(f"no such version in {self.root}: {version}")
+        return entry
+
+    def _rows(self, entry: Row) -> DataFrame:
         return self._read(entry["folders"], T.StructType.fromJson(json.loads(entry["row_type"])))
 
     def _read(self, folders: list[str], row_type: T.StructType) -> DataFrame:
@@ -77,12 +83,12 @@ class VersionedTable:
         return sorted({name + tail for tail in tails})
 
     def _commit(
-        self, df: DataFrame, operation: str, marks: dict[str, Column] | None = None,
-        kept: list[str] | None = None, kept_rows: int = 0, batch_id: int | None = None,
+        self, entry: Row | None, df: DataFrame, operation: str, marks: dict[str, Column] | None = None,
+        kept: list[str] | None = None, batch_id: int | None = None,
     ) -> int:
-        """Write df as the next version beside the `kept` folders of the one before."""
-        latest = self.latest()
-        version = 0 if latest is None else latest + 1
+        """Write df as the version after `entry`, beside the `kept` folders of that one; without
+        them df is the whole table."""
+        version = 0 if entry is None else entry["version"] + 1
         counted = Observation()
         sums = [F.coalesce(F.sum(mark.cast("long")), F.lit(0)).alias(n) for n, mark in (marks or {}).items()]
         seen = df.observe(counted, F.count(F.lit(1)).alias("seen"), *sums)
@@ -96,9 +102,10 @@ class VersionedTable:
         writer.parquet(path)
         sizes = counted.get
         gone = sizes.get("rows_deleted", 0)
+        added = sizes.get("rows_inserted", 0)
+        rows = sizes["seen"] if kept is None else entry["rows_written"] + added - gone
         row = (
-            version, datetime.now(UTC), operation, sizes["seen"] - gone + kept_rows,
-            sizes.get("rows_inserted", 0), sizes.get("rows_updated", 0), gone, batch_id,
+            version, datetime.now(UTC), operation, rows, added, sizes.get("rows_updated", 0), gone, batch_id,
             [*(kept or []), *self._folders(version, row_type)], row_type.json(),
         )
         self.spark.createDataFrame([row], HISTORY_TYPE).coalesce(1).write.mode("append").json(
@@ -107,13 +114,11 @@ class VersionedTable:
         return version
 
     def _change(
-        self, touched: DataFrame, change, operation: str, marks: dict[str, Column],
+        self, entry: Row, touched: DataFrame, change, operation: str, marks: dict[str, Column],
         added: DataFrame | None = None, batch_id: int | None = None,
     ) -> int:
         """Rewrite the partitions of the `touched` rows through `change`, add the `added` rows."""
-        entry = self._entry()
-        current = self.read(entry["version"])
-        folders = entry["folders"]
+        current, folders = self._rows(entry), entry["folders"]
         if self.partition_by:
             # one value per partition, so the list is as short as the folder list
             values = {r[0] for r in touched.select(self.partition_by).distinct().collect()}
@@ -128,18 +133,16 @@ class VersionedTable:
         rows = change(current)
         if added is not None:
             rows = rows.unionByName(added)
-        kept_rows = self._read(kept, current.schema).count() if kept else 0
-        return self._commit(rows, operation, marks, kept, kept_rows, batch_id)
+        return self._commit(entry, rows, operation, marks, kept, batch_id)
 
     def overwrite(self, df: DataFrame, batch_id: int | None = None) -> int:
-        return self._commit(df, "write", batch_id=batch_id)
+        return self._commit(self._entry(), df, "write", batch_id=batch_id)
 
     def append(self, df: DataFrame, batch_id: int | None = None) -> int:
-        entry = self._entry()
+        entry = self._require()
         columns = T.StructType.fromJson(json.loads(entry["row_type"])).names
         return self._commit(
-            df.select(*columns), "append", {"rows_inserted": F.lit(1)}, entry["folders"],
-            entry["rows_written"], batch_id,
+            entry, df.select(*columns), "append", {"rows_inserted": F.lit(1)}, entry["folders"], batch_id,
         )
 
     def update(self, condition: Column, values: dict[str, Column]) -> int:
@@ -149,8 +152,9 @@ class VersionedTable:
             hit = F.when(F.coalesce(condition, F.lit(False)), "update").otherwise("keep")
             return set_where(rows.withColumn(MARK, hit), F.col(MARK) == "update", values)
 
+        entry = self._require()
         return self._change(
-            self.read().where(condition), change, "update", {"rows_updated": F.col(MARK) == "update"}
+            entry, self._rows(entry).where(condition), change, "update", {"rows_updated": F.col(MARK) == "update"}
         )
 
     def delete(self, condition: Column) -> int:
@@ -159,8 +163,9 @@ class VersionedTable:
         def change(rows: DataFrame) -> DataFrame:
             return rows.withColumn(MARK, F.when(F.coalesce(condition, F.lit(False)), "delete").otherwise("keep"))
 
+        entry = self._require()
         return self._change(
-            self.read().where(condition), change, "delete", {"rows_deleted": F.col(MARK) == "delete"}
+            entry, self._rows(entry).where(condition), change, "delete", {"rows_deleted": F.col(MARK) == "delete"}
         )
 
     def merge(
@@ -168,10 +173,12 @@ class VersionedTable:
         insert: bool = True, batch_id: int | None = None,
     ) -> int:
         """Update matched rows and insert unmatched ones; see `merge_rows`."""
-        target = self.read()
+        entry = self._require()
+        target = self._rows(entry)
         touched = target.join(source.select(*keys), keys, "left_semi")
         added = unmatched_rows(target, source, keys).withColumn(MARK, F.lit("insert")) if insert else None
         return self._change(
+            entry,
             touched,
             lambda rows: matched_rows(rows, source, keys, update),
             "merge",
@@ -182,7 +189,8 @@ class VersionedTable:
 
     def dedupe(self, keys: list[str], order: list[Column]) -> int:
         """Keep one row per key and write the rest away as a new version."""
-        return self._commit(first_per_key(self.read(), keys, order), "dedupe")
+        entry = self._require()
+        return self._commit(entry, first_per_key(self._rows(entry), keys, order), "dedupe")
 
 
 def set_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:

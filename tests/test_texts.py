@@ -95,8 +95,13 @@ def test_citations(spark):
     assert got == {
         1: ("words", "a.pdf", "text", 0.5), 2: ("said", "a.mp3", "audio", 0.0), 3: ("PNG", "a.pdf", "image", 0.1), 6: ("bare", "b.txt", "text", 0.1),
     }
-    shown = citations.visual_hits(hits, payloads, limit=1).collect()
-    assert [(r["rank"], r.picture) for r in shown] == [(3, "PNG")]
+    found = citations.visual_hits(hits, payloads)
+    assert sorted((r["rank"], r.picture) for r in found.collect()) == [(3, "PNG"), (5, "PNG3")]
+    asked = spark.createDataFrame([(1, 7, "Q7"), (1, 2, "Q2")], "query_id long, rank int, picture string")
+    shown = citations.pictures_shown(asked, found)
+    assert {(r.origin, r["rank"], r.picture) for r in shown.collect()} == {("question", 1, "Q2"), ("context", 1, "PNG")}
+    with pytest.raises(ValueError):
+        citations.pictures_shown(asked, found, total=1)
     assert citations.citation_counts(citations.cite(hits, payloads)).first().total_results == 4
 
 
