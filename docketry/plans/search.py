@@ -417,7 +417,9 @@ def groundedness_rounds(spark, sf):
 
 def _decomposed(spark, sf):
     def split(texts):
-        return texts.map(lambda t: "\n".join(f"{i + 1}. {s.strip()}" for i, s in enumerate(t.split(".")[:-1])))
+        """The first sentence and the rest, or the text alone if it is one sentence."""
+        flat = texts.str.replace(r"\s+", " ", regex=True).str.partition(". ")
+        return pd.Series([f"1. {a}\n2. {c}" if c else f"1. {a}" for a, c in zip(flat[0], flat[2], strict=True)])
 
     def further(texts, past):
         return pd.Series(["" if len(p) > 1500 else f'"{t}"' for t, p in zip(texts, past, strict=True)])

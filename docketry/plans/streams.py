@@ -9,7 +9,7 @@ from docketry.plans.registry import query, table
 from docketry.session import work_path
 from docketry.sources.tables import VersionedTable
 from docketry.streaming.append import append_stream, json_stream, merge_stream
-from docketry.streaming.usage import count_requests, keep_latest, latency_buckets
+from docketry.streaming.usage import count_requests, current_totals, keep_changes, latency_buckets
 
 EVENT_TYPE = "event_id long, user_id long, event_type string, value double"
 
@@ -42,12 +42,6 @@ def stream_merge(spark, sf):
     return stored.read().select("user_id", "event_id", "event_type", "value")
 
 
-def _latest_snapshot(spark, path):
-    every = spark.read.parquet(path)
-    last = every.agg(F.max("batch")).first()[0]
-    return every.where(F.col("batch") == last).drop("batch")
-
-
 def _request_stream(spark, sf):
     folder = work_path(spark, "requests")
     rows = requests(spark, sf)
@@ -59,8 +53,8 @@ def _request_stream(spark, sf):
 def stream_request_counts(spark, sf):
     path = work_path(spark, "counts")
     totals = count_requests(_request_stream(spark, sf))
-    keep_latest(totals, path, work_path(spark, "offsets"), available_now=True).awaitTermination()
-    return _latest_snapshot(spark, path)
+    keep_changes(totals, path, work_path(spark, "offsets"), available_now=True).awaitTermination()
+    return current_totals(spark, path, ["method", "endpoint"])
 
 
 @query("""
@@ -71,5 +65,5 @@ from l where ms is not null group by 1, 2
 def stream_latency(spark, sf):
     path = work_path(spark, "latency")
     buckets = latency_buckets(_request_stream(spark, sf), ("rag_ttft_ms", "llm_ttft_ms"), (50, 500))
-    keep_latest(buckets, path, work_path(spark, "offsets"), available_now=True).awaitTermination()
-    return _latest_snapshot(spark, path).withColumn("total_ms", F.round("total_ms", 4))
+    keep_changes(buckets, path, work_path(spark, "offsets"), available_now=True).awaitTermination()
+    return current_totals(spark, path, ["metric", "le"]).withColumn("total_ms", F.round("total_ms", 4))

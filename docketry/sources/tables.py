@@ -78,6 +78,8 @@ class VersionedTable:
     def _folders(self, version: int, row_type: T.StructType) -> list[str]:
         """Folders a version wrote, from its file names."""
         name = f"version={version}"
+        if not self.partition_by:
+            return [name]
         files = self.spark.read.schema(row_type).parquet(f"{self.root}/data/{name}").inputFiles()
         tails = [unquote(f).rsplit("/", 1)[0].split(f"/data/{name}", 1)[1] for f in files]
         return sorted({name + tail for tail in tails})

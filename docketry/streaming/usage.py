@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docketry.operators.usage import BUCKETS, latency_histogram, request_counts
@@ -17,30 +18,24 @@ def latency_buckets(stream: DataFrame, durations, bounds=BUCKETS) -> DataFrame:
     return latency_histogram(stream, durations, bounds)
 
 
-def keep_latest(
-    totals: DataFrame, path: str, checkpoint: str, available_now: bool = False
-) -> StreamingQuery:
-    """Write the totals of every batch as one snapshot per batch id.
+def keep_changes(totals: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Write the totals each batch changed, one folder per batch id.
 
-    The totals are complete in each batch, and a replayed batch overwrites its own folder,
-    so the highest batch id is the current state. Readers take the highest.
+    A replayed batch overwrites its own folder, so nothing is counted twice.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = totals.writeStream.outputMode("complete").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = totals.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def update_to_memory(totals: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Changed totals only, as each batch ends, into a view of the session (for watching a run)."""
-    return (
-        totals.writeStream.outputMode("update")
-        .format("memory")
-        .queryName(name)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+def current_totals(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The latest total of each key: the one of its highest batch. Null keys count as one."""
+    every = spark.read.parquet(path)
+    rest = [c for c in every.columns if c not in (*keys, "batch")]
+    latest = F.max_by(F.struct(*rest), "batch").alias("latest")
+    return every.groupBy(*keys).agg(latest).select(*keys, "latest.*")

@@ -1,10 +1,9 @@
 import pytest
-from pyspark.sql import functions as F
 
 from docketry.session import work_path
 from docketry.sources.tables import VersionedTable
 from docketry.streaming.append import append_stream, json_stream, merge_stream
-from docketry.streaming.usage import count_requests, update_to_memory
+from docketry.streaming.usage import count_requests, current_totals, keep_changes
 
 TYPE = "Name string, Amount int"
 
@@ -51,11 +50,15 @@ def test_merge_skips_replayed_batches(spark, folder):
 def test_update_mode(spark, tmp_path):
     for i in range(3):
         put(tmp_path, f"r{i}.json", f'{{"method": "GET", "endpoint": "/{i % 2}"}}')
-    stream = json_stream(spark, str(tmp_path), "method string, endpoint string", 1)
-    running = update_to_memory(count_requests(stream), "request_totals", work_path(spark, "offsets"))
-    try:
-        running.processAllAvailable()
-        last = spark.table("request_totals").groupBy("endpoint").agg(F.max("n_requests").alias("n"))
-        assert {r.endpoint: r.n for r in last.collect()} == {"/0": 2, "/1": 1}
-    finally:
-        running.stop()
+    out, offsets = work_path(spark, "totals"), work_path(spark, "offsets")
+
+    def run():
+        stream = json_stream(spark, str(tmp_path), "method string, endpoint string", 1)
+        keep_changes(count_requests(stream), out, offsets, available_now=True).awaitTermination()
+        return {r.endpoint: r.n_requests for r in current_totals(spark, out, ["method", "endpoint"]).collect()}
+
+    assert run() == {"/0": 2, "/1": 1}
+    put(tmp_path, "r9.json", '{"method": "GET", "endpoint": "/1"}')
+    assert run() == {"/0": 2, "/1": 2}
+    # a batch holds only what it changed
+    assert spark.read.parquet(out).where("batch = 3").count() == 1
