@@ -16,3 +16,8 @@ def exploded(df: DataFrame, array: Column | str, item: str, pos: str | None = No
     place = pos or "explode_pos"
     out = df.select("*", F.posexplode_outer(array).alias(place, item)).where(F.col(place).isNotNull())
     return out if pos else out.drop(place)
+
+
+def bind(value: Column, use) -> Column:
+    """`use(value)` with the value computed once, however often `use` refers to it."""
+    return F.transform(F.array(value), use)[0]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docketry.functions.rows import bind
+from docketry.functions.text import trim_all
+
 # Accepted spellings, as Spark pattern and Python pattern.
 TIME_FORMATS = (
     ("yyyy/M/d H:mm:ss", "%Y/%m/%d %H:%M:%S"),
@@ -31,12 +35,36 @@ def unquote(text: Column) -> Column:
     return F.regexp_replace(text, "(?s)^([\"'])(.*)\\1$", "$2")
 
 
+def _shape(pattern: str) -> str:
+    """Regular expression of the texts a Spark pattern can read."""
+    parts = {"yyyy": r"\d{4}", "MMMM": "[A-Z][a-z]{2,}", "MMM": "[A-Z][a-z]{2}", "a": "[AP]M"}
+    found = re.sub(r"[A-Za-z]+", lambda m: parts.get(m[0], r"\d{2}" if len(m[0]) == 2 else r"\d{1,2}"), pattern)
+    return f"^{found}$"
+
+
 def parse_time(text: Column) -> Column:
-    """Timestamp in UTC whole seconds, null if no spelling fits."""
-    plain = unquote(text)
+    """Timestamp in UTC whole seconds, null if no spelling fits.
+
+    A spelling is tried only on texts of its shape; a failed try costs an exception.
+    """
+    return bind(trim_all(unquote(text)), lambda plain: F.date_trunc("second", _read_time(plain)))
+
+
+def _read_time(plain: Column) -> Column:
     iso = F.when(F.regexp_like(plain, F.lit(ISO_SHAPE)), plain.try_cast("timestamp"))
-    listed = [F.try_to_timestamp(plain, F.lit(spark_format)) for spark_format, _ in TIME_FORMATS]
-    return F.date_trunc("second", F.coalesce(iso, *listed))
+    cased = F.initcap(F.lower(plain))
+    cased = F.regexp_replace(cased, r"(?i)(?<=\d) ?am$", " AM")
+    cased = F.regexp_replace(cased, r"(?i)(?<=\d) ?pm$", " PM")
+
+    def listed(text: Column) -> Column:
+        return F.coalesce(
+            *[
+                F.when(F.regexp_like(text, F.lit(_shape(pattern))), F.try_to_timestamp(text, F.lit(pattern)))
+                for pattern, _ in TIME_FORMATS
+            ]
+        )
+
+    return F.coalesce(iso, bind(cased, listed))
 
 
 def is_date_only(text: str) -> bool:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry.functions.rows import bind, exploded
 from docketry.functions.text import trim_all
 from docketry.functions.times import parse_time
 
@@ -206,6 +207,20 @@ _RULES = {
 }
 
 
+def _field_result(field: Field, entries: Column) -> Column:
+    """struct<typed,error> of one field, both null where the field is not given."""
+
+    def judge(value: Column) -> Column:
+        def with_kind(kind: Column) -> Column:
+            typed, error = _RULES[field.type](field, value, kind)
+            return F.struct(typed.cast(field.sql_type).alias("typed"), error.alias("error"))
+
+        return bind(F.schema_of_variant(value), with_kind)
+
+    given = F.try_element_at(entries, F.lit(field.name))
+    return bind(given, lambda value: F.when(value.isNotNull(), judge(value)))
+
+
 def validate_metadata(items: DataFrame, fields: list[Field], raw: str = "metadata") -> DataFrame:
     """Check one JSON object per row: adds `valid`, `errors` and the typed struct `normalised`.
 
@@ -224,26 +239,32 @@ def validate_metadata(items: DataFrame, fields: list[Field], raw: str = "metadat
 
     check_fields(fields)
     errors, values = [not_object], []
-    for field in fields:
-        value = F.try_element_at(F.col(entries), F.lit(field.name))
-        given = F.map_contains_key(F.col(entries), field.name)
-        kind = F.schema_of_variant(value)
-        typed, error = _RULES[field.type](field, value, kind)
-        missing = F.when(is_object & ~given, _say(field, "is required")) if field.required else None
-        error = F.when(given, error)
-        errors.append(error if missing is None else F.coalesce(missing, error))
-        values.append(F.when(given, typed).cast(field.sql_type).alias(field.name))
+    results = F.struct(*[_field_result(field, F.col(entries)).alias(f"f{i}") for i, field in enumerate(fields)])
+    out = out.withColumn("results", results)
+    given = F.when(is_object, F.map_keys(entries))
+    for i, field in enumerate(fields):
+        error = F.col(f"results.f{i}.error")
+        if field.required:
+            missing = F.when(~F.array_contains(given, field.name), _say(field, "is required"))
+            error = F.coalesce(missing, error)
+        errors.append(error)
+        values.append(F.col(f"results.f{i}.typed").alias(field.name))
     known = F.array(*[F.lit(f.name) for f in fields])
     unknown = F.transform(
         F.array_sort(F.array_except(F.map_keys(entries), known)),
         lambda name: F.concat(name, F.lit(": unknown field")),
     )
-    out = out.withColumn(
-        "errors",
-        F.concat(
-            F.array_compact(F.array(*errors)),
-            F.coalesce(unknown, F.array().cast("array<string>")),
-        ),
+    every = F.concat(
+        F.array_compact(F.array(*errors)), F.coalesce(unknown, F.array().cast("array<string>"))
+    )
+    # as a row of its own the result is computed once; a filter on `valid` would otherwise be
+    # pushed below and repeat every check
+    checked = F.array(F.struct(every.alias("errors"), F.struct(*values).alias("typed")))
+    out = exploded(out.withColumn("checks", checked).drop(entries, "results"), "checks", "checked").drop("checks")
+    valid = F.size("checked.errors") == 0
+    return out.select(
+        *items.columns,
+        F.col("checked.errors").alias("errors"),
+        valid.alias("valid"),
+        F.when(valid, F.col("checked.typed")).alias("normalised"),
     )
-    out = out.withColumn("valid", F.size("errors") == 0)
-    return out.withColumn("normalised", F.when(F.col("valid"), F.struct(*values))).drop(entries)

@@ -28,6 +28,7 @@ def one(spark, field, value):
         (Field("d", "datetime"), "June 15, 2015 10:30 AM", datetime(2015, 6, 15, 10, 30)),
         (Field("d", "datetime"), "2023/01/20 14:15", datetime(2023, 1, 20, 14, 15)),
         (Field("d", "datetime"), "Jan 20, 2023 2:15 PM", datetime(2023, 1, 20, 14, 15)),
+        (Field("d", "datetime"), " JANUARY 5, 2023 2:15pm ", datetime(2023, 1, 5, 14, 15)),
         (Field("d", "datetime"), "03/10/2024 09:45", datetime(2024, 3, 10, 9, 45)),
         (Field("d", "datetime"), "March 10, 2024", datetime(2024, 3, 10)),
         (Field("d", "datetime"), "2024-03-10T12:00:00.75+02:00", datetime(2024, 3, 10, 10)),
