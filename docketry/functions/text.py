@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docketry.functions.rows import bind
+
 # Model replies that mean "no filter".
 NO_FILTER_PREFIXES = ("NO_FILTER", "UNSUPPORTED")
 # Roles a message may have.
@@ -44,11 +46,14 @@ def collapse_blank_lines(text: Column) -> Column:
 
 def filter_reply(text: Column) -> Column:
     """A model's filter reply, or null where it declines or says nothing."""
-    cleaned = collapse_blank_lines(strip_think(trim_all(text)))
-    declined = F.lit(False)
-    for prefix in NO_FILTER_PREFIXES:
-        declined = declined | F.upper(cleaned).startswith(prefix)
-    return F.when(~declined & (cleaned != ""), cleaned)
+
+    def accepted(cleaned: Column) -> Column:
+        declined = F.lit(False)
+        for prefix in NO_FILTER_PREFIXES:
+            declined = declined | F.upper(cleaned).startswith(prefix)
+        return F.when(~declined & (cleaned != ""), cleaned)
+
+    return bind(collapse_blank_lines(strip_think(trim_all(text))), accepted)
 
 
 def numbered_items(text: Column) -> Column:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.text import DOCUMENT_SUFFIXES
+from docketry.operators.tiles import best_pairs
+from docketry.session import cut_lineage
 
 # Cuts at which recall is measured.
 RECALL_AT = (1, 3, 5, 10)
@@ -32,45 +35,62 @@ def split_page_name(name: Column) -> Column:
     )
 
 
-def best_pages(evidence: DataFrame, pages: DataFrame) -> DataFrame:
+class SimilarText:
+    """Similarity ratio of `text` columns, negated so that the smallest is best.
+
+    Pairs whose cheap upper bound is below the best ratio seen are not compared in full;
+    texts with nothing in common are no match.
+    """
+
+    def items(self, batch):
+        return [text.encode("unicode_escape").decode() for text in batch.column("text").to_pylist()]
+
+    def queries(self, table):
+        return table.column("text").to_pylist()
+
+    def take(self, data, rows):
+        return [data[i] for i in rows]
+
+    def rough(self, items, queries, bound):
+        scores = np.full((len(items), len(queries)), np.inf)
+        for col, asked in enumerate(queries):
+            matcher = SequenceMatcher(None, "", asked)
+            best = -bound[col] if np.isfinite(bound[col]) else 0.0
+            for row, page in enumerate(items):
+                matcher.set_seq1(page)
+                if matcher.real_quick_ratio() >= best and matcher.quick_ratio() >= best:
+                    ratio = matcher.ratio()
+                    if ratio > 0:
+                        scores[row, col] = -ratio
+                        best = max(best, ratio)
+        return scores, 0.0
+
+    def exact(self, items, rows, queries, cols, rough):
+        return rough
+
+
+def best_pages(evidence: DataFrame, pages: DataFrame, **bounds) -> DataFrame:
     """Most similar page of the evidence's document: question_id, pos, page.
 
     `evidence` has question_id, pos, doc_name, evidence_text; `pages` has doc_name,
-    page_no, page_text. The earliest page wins a tie; page 0 if nothing is alike. Pages
-    whose cheap upper bound is below a page already seen are not compared in full.
+    page_no, page_text. The earliest page wins a tie; page 0 if nothing is alike. The
+    document is the route by which evidence meets pages, so no pairs are joined.
     """
-    pairs = evidence.join(pages, "doc_name").select("question_id", "pos", "page_no", "page_text", "evidence_text")
-
-    def ratios(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            best: dict[tuple, float] = {}
-            out = []
-            for row in batch.itertuples(index=False):
-                key = (row.question_id, row.pos)
-                shown = row.page_text.encode("unicode_escape").decode()
-                matcher = SequenceMatcher(None, shown, row.evidence_text)
-                seen = best.get(key, 0.0)
-                ratio = 0.0
-                if matcher.real_quick_ratio() >= seen and matcher.quick_ratio() >= seen:
-                    ratio = matcher.ratio()
-                best[key] = max(seen, ratio)
-                out.append((row.question_id, row.pos, row.page_no, ratio))
-            yield pd.DataFrame(out, columns=["question_id", "pos", "page_no", "ratio"])
-
-    kinds = {f.name: f.dataType.simpleString() for f in pairs.schema}
-    scored = pairs.mapInPandas(
-        ratios,
-        f"question_id {kinds['question_id']}, pos {kinds['pos']}, page_no {kinds['page_no']}, ratio double",
+    numbered = cut_lineage(
+        evidence.select("question_id", "pos", "doc_name", "evidence_text").withColumn(
+            "query_id", F.monotonically_increasing_id()
+        )
     )
-    found = (
-        scored.where("ratio > 0")
-        .groupBy("question_id", "pos")
-        .agg(F.max_by(F.struct("page_no"), F.struct("ratio", -F.col("page_no")))["page_no"].alias("page"))
+    items = pages.select(
+        F.col("page_no").cast("long").alias("item_id"),
+        F.lit(None).alias("grp"),
+        F.col("doc_name").alias("route"),
+        F.col("page_text").alias("text"),
     )
-    return (
-        evidence.select("question_id", "pos")
-        .join(found, ["question_id", "pos"], "left")
-        .withColumn("page", F.coalesce("page", F.lit(0)))
+    asked = numbered.select("query_id", F.col("doc_name").alias("route"), F.col("evidence_text").alias("text"))
+    found = best_pairs(items, asked, SimilarText(), 1, "length(text) * 4", **bounds)
+    return numbered.join(found.select("query_id", "item_id"), "query_id", "left").select(
+        "question_id", "pos", F.coalesce("item_id", F.lit(0)).cast("int").alias("page")
     )
 
 

@@ -140,6 +140,22 @@ def test_ground_truth(spark):
     assert [(r.filename, r.page) for r in rows] == [("doc.pdf", "4"), ("rep.pdf", "1"), ("rep.pdf", "0"), ("doc.pdf", "")]
 
 
+def test_best_pages_is_brute_force(spark):
+    from difflib import SequenceMatcher
+
+    words = "alpha beta gamma delta epsilon zeta".split()
+    pages = [(d, n, " ".join(words[(n * 7 + i * (n + 1) + len(d)) % 6] for i in range(n % 5 + 2))) for d in ("a", "hot") for n in range(12)]
+    asked = [(d, p, d, " ".join(words[(p + i) % 6] for i in range(p + 2))) for d in ("a", "hot", "none") for p in range(4)]
+    p_df = spark.createDataFrame(pages, "doc_name string, page_no int, page_text string").repartition(3)
+    e_df = spark.createDataFrame(asked, "question_id string, pos int, doc_name string, evidence_text string")
+    want = set()
+    for q, pos, d, text in asked:
+        ratios = [(-SequenceMatcher(None, t, text).ratio(), n) for name, n, t in pages if name == d]
+        want.add((q, pos, min(ratios)[1] if ratios else 0))
+    for bounds in ({}, {"broadcast_bytes": 0, "tile_rows": 5}):
+        assert {tuple(r) for r in evaluation.best_pages(e_df, p_df, **bounds).collect()} == want
+
+
 def test_page_names(spark):
     assert [tuple(x) for x in apply(spark, evaluation.split_page_name, "a_b_3", "a_b.pdf", "plain", "x.pdf_12")] == [
         ("a_b", "3"), ("a_b.pdf", ""), ("plain", ""), ("x.pdf", "12"),
