@@ -129,8 +129,9 @@ def train_cells(chunks: DataFrame, cells: int = CELLS, seed: int = 42) -> Cells:
 
 
 def write_cells(chunks: DataFrame, cells: Cells, path: str) -> None:
-    """Chunks laid out by cell. A large cell is spread over many files."""
-    cells.assign(chunks).write.mode("overwrite").option("maxRecordsPerFile", 1_000_000).partitionBy(
+    """Chunks laid out by cell: few files for a small cell, many tasks and files for a large one."""
+    laid = cells.assign(chunks).repartitionByRange("cell", "chunk_id")
+    laid.write.mode("overwrite").option("maxRecordsPerFile", 1_000_000).partitionBy(
         "cell"
     ).parquet(path)
 

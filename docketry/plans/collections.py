@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docketry.operators import collections as ops
-from docketry.operators.metadata import schema_errors
+from docketry.operators.metadata import REGISTRY_TYPE, schema_errors
 from docketry.plans.registry import query, table
 from docketry.sources.files import write_chunks, write_elements
 from docketry.session import work_path
@@ -120,7 +120,7 @@ def _created(spark, sf):
         .join(rich, "c_custkey", "left_semi")
         .select(F.lower("c_name").alias("collection"), F.lit(64).alias("dimension"))
     )
-    none = _wanted(spark, sf).select("collection", "fields").limit(0)
+    none = spark.createDataFrame([], REGISTRY_TYPE)
     return ops.create_collections(known, none, _wanted(spark, sf))
 
 
@@ -256,7 +256,7 @@ def dependents_dropped(spark, sf):
 @query("select lang as collection, count(*) as n, sum(length(text))::bigint as chars from documents group by 1")
 def chunks_written(spark, sf):
     path = work_path(spark, "chunks")
-    write_chunks(document_chunks(spark, sf), path)
+    write_chunks(document_chunks(spark, sf), path, clustered=True)
     return (
         spark.read.parquet(path)
         .groupBy("collection")

@@ -100,13 +100,13 @@ def system_prompts_of_long_talks(spark, sf):
 
 
 def _parts(spark, sf):
-    """Messages as multipart content: text, a picture on odd turns, and the role."""
+    """Messages as multipart content: text, a picture in answers, and the role."""
     part = "named_struct('type', '{}', 'text', {}, 'url', {})".format
     return messages(spark, sf).select(
         "conv_id",
         "turn",
         F.expr(
-            f"case when turn % 2 = 1 then array({part('text', 'text', 'cast(null as string)')}, "
+            f"case when role = 'assistant' then array({part('text', 'text', 'cast(null as string)')}, "
             f"{part('image_url', 'cast(null as string)', 'concat(' + repr('pic-') + ', turn)')}, {part('text', 'role', 'cast(null as string)')}) "
             f"else array({part('text', 'text', 'cast(null as string)')}, {part('text', 'role', 'cast(null as string)')}) end"
         ).alias("parts"),
@@ -115,8 +115,8 @@ def _parts(spark, sf):
 
 @query(f"""
 select conv_id, turn, text || ' ' || role as text_only,
-  concat_ws(chr(10) || chr(10), nullif({sql_trim('text')}, ''), case when turn % 2 = 1 then 'pic-' || turn end, role) as query_text,
-  turn % 2 = 1 as pictured from conversations
+  concat_ws(chr(10) || chr(10), nullif({sql_trim('text')}, ''), case when role = 'assistant' then 'pic-' || turn end, role) as query_text,
+  role = 'assistant' as pictured from conversations
 """)
 def multipart_content(spark, sf):
     parts = F.col("parts")
@@ -143,12 +143,12 @@ def question_answer_texts(spark, sf):
 
 
 @query("""
-select conv_id, turn, case when turn % 2 = 0 then 'a' || text else '' end as text from conversations
+select conv_id, turn, case when role = 'user' then 'a' || text else '' end as text from conversations
 """)
 def think_removed(spark, sf):
     """Closed spans go; an unclosed one takes the rest with it."""
     closed = F.concat(F.lit("<think>x\ny</think>a"), "text", F.lit("<think></think>"))
-    wrapped = F.when(F.col("turn") % 2 == 0, closed).otherwise(F.concat(F.lit("<think>"), "text"))
+    wrapped = F.when(F.col("role") == "user", closed).otherwise(F.concat(F.lit("<think>"), "text"))
     return messages(spark, sf).select("conv_id", "turn", tx.strip_think(wrapped).alias("text"))
 
 

@@ -109,27 +109,28 @@ def _hit_names(spark, sf, k=10):
 
 
 def _truth(spark, sf):
-    """True pages of an embedding: itself and the two before it; a third of the questions have no pages."""
+    """True pages of an embedding: itself and the two before it; questions of the low labels have no pages."""
     emb = table(spark, sf, "embeddings")
-    offset = emb.select("vec_id", F.posexplode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("pos", "back"))
+    paged = F.col("label") >= 3
+    offset = emb.select("vec_id", paged.alias("paged"), F.posexplode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("pos", "back"))
     labels = emb.select(F.col("vec_id").alias("page_id"), "label")
     return offset.withColumn("page_id", F.col("vec_id") - F.col("back")).join(labels, "page_id").select(
         F.col("vec_id").alias("question_id"),
         "pos",
         F.concat(F.lit("c"), F.col("label").cast("string"), F.lit("_doc")).alias("filename"),
-        F.when(F.col("vec_id") % 3 != 0, F.col("page_id").cast("string")).otherwise("").alias("page"),
+        F.when(F.col("paged"), F.col("page_id").cast("string")).otherwise("").alias("page"),
     )
 
 
 SQL_RECALL = f"""
-with hits as (select * from (select q.vec_id as question_id, 'c' || c.label || '_doc' as filename, c.vec_id as page,
+with hits as (select * from (select q.vec_id as question_id, q.label >= 3 as paged, 'c' || c.label || '_doc' as filename, c.vec_id as page,
   row_number() over (partition by q.vec_id order by {sql_distance('q.embedding', 'c.embedding')}, c.vec_id) as rank
   from embeddings q, embeddings c) where rank <= 10),
-truth as (select q.vec_id as question_id, 'c' || p.label || '_doc' as filename, p.vec_id as page, q.vec_id % 3 <> 0 as paged
+truth as (select q.vec_id as question_id, 'c' || p.label || '_doc' as filename, p.vec_id as page, q.label >= 3 as paged
   from embeddings q join embeddings p on p.vec_id between q.vec_id - 2 and q.vec_id),
 sizes as (select question_id, count(*) as n_truth from truth group by 1),
 ks as (select unnest([1, 3, 5, 10]) as k, unnest([['page', 'document']]) as gs), kg as (select k, unnest(gs) as granularity from (select k, ['page', 'document'] as gs from ks)),
-h as (select question_id, granularity, k, filename || case when granularity = 'page' and question_id % 3 <> 0 then '_' || page else '' end as key from hits, kg where rank <= k),
+h as (select question_id, granularity, k, filename || case when granularity = 'page' and paged then '_' || page else '' end as key from hits, kg where rank <= k),
 t as (select question_id, granularity, filename || case when granularity = 'page' and paged then '_' || page else '' end as key from truth, (select distinct granularity from kg)),
 found as (select question_id, granularity, k, count(distinct key) as n from h join t using (question_id, granularity, key) group by 1, 2, 3),
 recall as (select s.question_id, kg.granularity, kg.k, coalesce(n, 0)::double / n_truth as recall
@@ -151,10 +152,10 @@ def mean_recall(spark, sf):
 @query(r"""
 select page_id, case when contains(b, '_') and not (b like '%.pdf' or b like '%.txt') then regexp_extract(b, '(?s)^(.*)_([^_]*)$', 1) else b end as filename,
   case when contains(b, '_') and not (b like '%.pdf' or b like '%.txt') then regexp_extract(b, '(?s)^(.*)_([^_]*)$', 2) else '' end as page
-from (select page_id, case when page_id % 2 = 0 then url || '_' || page_id else url || '.pdf' end as b from pages)
+from (select page_id, case when starts_with(url, 'https') then url || '_' || page_id else url || '.pdf' end as b from pages)
 """)
 def page_names_split(spark, sf):
-    name = F.when(F.col("page_id") % 2 == 0, F.concat("url", F.lit("_"), F.col("page_id").cast("string"))).otherwise(
+    name = F.when(F.col("url").startswith("https"), F.concat("url", F.lit("_"), F.col("page_id").cast("string"))).otherwise(
         F.concat("url", F.lit(".pdf"))
     )
     return table(spark, sf, "pages").select("page_id", evaluation.split_page_name(name).alias("s")).select("page_id", "s.*")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docketry.operators.collections import add_filename_field, set_schemas
 from docketry.plans.registry import query, table
 from docketry.session import work_path
-from docketry.sources.payloads import delete_payloads, get_payloads, list_payloads, put_payloads
+from docketry.sources.payloads import PAYLOAD_TYPE, delete_payloads, get_payloads, list_payloads, put_payloads
 from docketry.sources.tables import VersionedTable, first_per_key, insert_new
 
 
@@ -175,6 +175,10 @@ def _messages_as_payloads(spark, sf):
     )
 
 
+def _all_payloads(spark, sf):
+    return put_payloads(spark.createDataFrame([], PAYLOAD_TYPE), _messages_as_payloads(spark, sf))
+
+
 STORED = """
 select 'chat_::_' || role || '_::_' || conv_id as element_key, arg_max(text, turn) as content
 from conversations group by role, conv_id
@@ -193,7 +197,7 @@ with stored as ({STORED}), asked as (select distinct 'chat_::_user_::_' || conv_
 select element_key, coalesce(content, '') as content from asked left join stored using (element_key)
 """)
 def payload_get(spark, sf):
-    stored = put_payloads(_messages_as_payloads(spark, sf).limit(0), _messages_as_payloads(spark, sf))
+    stored = _all_payloads(spark, sf)
     conv = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("c")).distinct()
     asked = conv.select(
         F.explode(
@@ -205,12 +209,12 @@ def payload_get(spark, sf):
 
 @query(f"select element_key from ({STORED}) where starts_with(element_key, 'chat_::_system')")
 def payload_list(spark, sf):
-    stored = put_payloads(_messages_as_payloads(spark, sf).limit(0), _messages_as_payloads(spark, sf))
+    stored = _all_payloads(spark, sf)
     return list_payloads(stored, "chat_::_system")
 
 
 @query(f"select element_key, content from ({STORED}) where element_key not like 'chat%assistant%'")
 def payload_delete(spark, sf):
-    stored = put_payloads(_messages_as_payloads(spark, sf).limit(0), _messages_as_payloads(spark, sf))
+    stored = _all_payloads(spark, sf)
     gone = list_payloads(stored, "chat_::_assistant")
     return delete_payloads(stored, gone).select("element_key", "content")

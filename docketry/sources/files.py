@@ -62,10 +62,15 @@ def write_truth(truth: DataFrame, path: str) -> None:
     )
 
 
-def write_chunks(chunks: DataFrame, path: str, mode: str = "append") -> None:
-    """Chunk rows by collection, sorted by source so that file statistics can skip."""
+def write_chunks(chunks: DataFrame, path: str, mode: str = "append", clustered: bool = False) -> None:
+    """Chunk rows by collection, sorted by source so that file statistics can skip.
+
+    `clustered` pays one range shuffle for few files per collection; the chunk id is part
+    of the range, so a large collection or source is still spread over many tasks.
+    """
+    laid = chunks.repartitionByRange("collection", "source.source_name", "chunk_id") if clustered else chunks
     (
-        chunks.sortWithinPartitions("collection", "source.source_name")
+        laid.sortWithinPartitions("collection", "source.source_name")
         .write.mode(mode)
         .option("maxRecordsPerFile", 1_000_000)
         .partitionBy("collection")
