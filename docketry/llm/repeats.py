@@ -7,7 +7,8 @@ rounds narrow down the positions at which a repeated window can start:
    same anchor. Names of anchors go to their ranges; those that occur once drop out.
 2. Runs. Consecutive windows with one anchor are named by the pair (name of the first, name of the
    last window). A run whose content is known from an earlier document is wholly repeated.
-3. Windows. What is left is named window by window, as a pair of the names of its halves.
+   Halves of a run can be cut off here by the name of a longer string that all their windows hold.
+3. Windows. What is left is named window by window, as a pair of the names of its parts.
 
 A round sends a name once per bucket with the bucket's smallest document, so a line that is in every
 document is one entry per bucket; it gets one bit back per name it sent. Texts are shuffled once:
@@ -89,6 +90,11 @@ class Batch:
     def part(self, at: np.ndarray) -> np.ndarray:
         return self.base[at]
 
+    def halves(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Each run cut in two, if that pays: run, first and last window, and the name of a string
+        longer than the anchor that is in all windows of the half."""
+        return None
+
 
 def wide(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pair_name(a, b), (pair_name(b ^ _ONE, a) >> np.uint64(32)).astype(np.uint32)
@@ -122,6 +128,10 @@ class Scheme:
             yield self.batch(pieces)
 
 
+def joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
+
+
 def spread_out(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of the ranges first..last, and the range of each."""
     many = last - first + 1
@@ -141,29 +151,58 @@ class Bucket:
         self.batches = list(scheme.batches([x or b"" for x in self.texts]))
         self.batch_of = np.repeat(np.arange(len(self.batches)), [len(b.first) for b in self.batches])
         for c in ("first", "last", "anchor", "name", "row", "start"):
-            setattr(self, c, np.concatenate([getattr(b, c) for b in self.batches]) if self.batches else np.empty(0, np.int64))
-
-    def said(self, round_: int) -> np.ndarray:
-        """The bits a round gave back, in the order in which the names were sent."""
-        return np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8)) for _, b in sorted(self.bits[round_].items())] or [np.empty(0, np.uint8)])
-
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Short names of the anchors in order, which of them are known to repeat, and each run's."""
-        name = self.name.astype(np.uint64)
-        short = ((name >> np.uint64(32)) % np.uint64(self.parts) << np.uint64(32)) | (name & np.uint64(0xFFFFFFFF))
-        names, of = np.unique(short, return_inverse=True)
-        if self.scheme.within:
-            place = np.unique(np.stack([of, self.batch_of, self.anchor.astype(np.int64)]), axis=1) if len(of) else np.empty((3, 0), np.int64)
-            return names, np.bincount(place[0], minlength=len(names)) > 1, of
+            setattr(self, c, joined([getattr(b, c) for b in self.batches], np.uint64 if c == "name" else np.int64))
+
+    def short(self, name: np.ndarray, row: np.ndarray, place: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Short names in order, which of them are known to repeat, and each given name's.
+
+        Short ones are a range and 32 bits; two names that share one are only kept for longer."""
+        part = (name >> np.uint64(32)) * np.uint64(self.parts) >> np.uint64(32)
+        names, of = np.unique(part << np.uint64(32) | (name & np.uint64(0xFFFFFFFF)), return_inverse=True)
+        if place is not None:
+            places = np.unique(np.stack([of, place]), axis=1) if len(of) else np.empty((2, 0), np.int64)
+            return names, np.bincount(places[0], minlength=len(names)) > 1, of
         low, high = np.full(len(names), LAST), np.full(len(names), -LAST)
-        np.minimum.at(low, of, self.doc[self.row])
-        np.maximum.at(high, of, self.doc[self.row])
+        np.minimum.at(low, of, self.doc[row])
+        np.maximum.at(high, of, self.doc[row])
         return names, low != high, of
 
-    def candidates(self, names: np.ndarray, of: np.ndarray) -> np.ndarray:
+    def anchors(self):
+        return self.short(self.name, self.row, (self.batch_of << 42) + self.anchor if self.scheme.within else None)
+
+    def shared(self, round_: int, names: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Which of the names given to short() occur again."""
+        return self.unpacked(round_, (names >> np.uint64(32)).astype(np.int64))[of] if len(of) else np.empty(0, bool)
+
+    def candidates(self) -> np.ndarray:
         """Runs whose anchor occurs again."""
-        part = (names >> np.uint64(32)).astype(np.int64)
-        return np.flatnonzero(self.unpacked(1, part)[of]) if len(of) else np.empty(0, np.int64)
+        names, _, of = self.anchors()
+        return np.flatnonzero(self.shared(1, names, of))
+
+    def halves(self, at: np.ndarray):
+        """Run, first and last window and name of the halves of the given runs, or None."""
+        mine = np.zeros(len(self.first), bool)
+        mine[at] = True
+        got, base = [], 0
+        for b in self.batches:
+            h = b.halves()
+            if h is None:
+                return None
+            keep = mine[h[0] + base]
+            got.append((h[0][keep] + base, h[1][keep], h[2][keep], h[3][keep]))
+            base += len(b.first)
+        return tuple(joined([g[k] for g in got], np.uint64 if k == 3 else np.int64) for k in range(4))
+
+    def left(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Run, first and last window of what has to be looked at window by window."""
+        some = at[~self.runs(at).repeated(2)]
+        cut = self.halves(at)
+        if cut is None:
+            return some, self.first[some], self.last[some]
+        run, first, last, name = cut
+        names, _, of = self.short(name, self.row[run], None)
+        keep = self.shared(4, names, of) & np.isin(run, some)
+        return run[keep], first[keep], last[keep]
 
     def unpacked(self, round_: int, part: np.ndarray) -> np.ndarray:
         """One bit for each name sent, given the names' parts in order."""
@@ -184,35 +223,40 @@ class Bucket:
             low[mine] = (pair_name(l0.astype(np.uint64) + (size << np.uint64(32)), l1.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
         return Named(self, high, low, self.row[at], self.start[at])
 
-    def windows(self, at: np.ndarray) -> "Named":
+    def windows(self, run: np.ndarray, first: np.ndarray, last: np.ndarray) -> "Named":
+        """All windows of the given stretches, which are in the order of the runs."""
         high, low, row, start = [], [], [], []
         for k, b in enumerate(self.batches):
-            mine = at[self.batch_of[at] == k]
-            place, of = spread_out(self.first[mine], self.last[mine])
+            mine = self.batch_of[run] == k
+            place, of = spread_out(first[mine], last[mine])
+            own = run[mine][of]
             h, lo = b.window(place)
             high.append(h)
             low.append(lo)
-            row.append(self.row[mine][of])
-            start.append(self.start[mine][of] + place - self.first[mine][of])
-        join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.empty(0, kind)
-        return Named(self, join(high, np.uint64), join(low, np.uint32), join(row, np.int64), join(start, np.int64))
+            row.append(self.row[own])
+            start.append(self.start[own] + place - self.first[own])
+        return Named(self, joined(high, np.uint64), joined(low, np.uint32), joined(row, np.int64), joined(start, np.int64))
 
 
 class Named:
     """Named places of a bucket, sorted by range, name, document, row and place."""
 
     def __init__(self, bucket: Bucket, high: np.ndarray, low: np.ndarray, row: np.ndarray, start: np.ndarray):
-        self.bucket = bucket
+        """Rows and starts are given in order."""
+        self.bucket, self.row, self.start, self.n = bucket, row, start, len(high)
         doc = bucket.doc[row]
-        part = (high % np.uint64(bucket.parts)).astype(np.int64)
-        order = np.lexsort((start, row, doc, low, high, part))
-        self.order, self.n = order, len(order)
-        high, low, doc, row, part = high[order], low[order], doc[order], row[order], part[order]
+        order = np.argsort(high, kind="stable")
+        if np.any((np.diff(high[order]) == 0) & (np.diff(low[order].astype(np.int64)) != 0)):
+            order = np.lexsort((low, high))
+        self.order = order
+        high, low, doc, row = high[order], low[order], doc[order], row[order]
         new = np.ones(self.n, bool)
         new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
         self.group = np.cumsum(new) - 1
         head = np.flatnonzero(new)
-        self.high, self.low, self.least, self.part = high[head], low[head], doc[head], part[head]
+        self.high, self.low = high[head], low[head]
+        self.least = np.minimum.reduceat(doc, head) if self.n else doc
+        self.part = ((self.high >> np.uint64(32)) * np.uint64(bucket.parts) >> np.uint64(32)).astype(np.int64)
         self.later = doc > self.least[self.group]
         if bucket.scheme.within:
             self.later[1:] |= ~new[1:] & (row[1:] == row[:-1])
@@ -234,62 +278,88 @@ def by_part(part: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(part[a]), slice(a, b)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second: of sorted ones the high bytes compress."""
+    return values.view(np.uint8).reshape(len(values), -1).T[::-1].tobytes()
+
+
+def unplaned(data: bytes, kind: type, n: int, offset: int = 0) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8, n * size, offset).reshape(size, n)[::-1].T.copy().view(kind).ravel()
+
+
 def packed(ids: np.ndarray) -> bytes:
     """Document numbers as differences to the least of them, in as few bytes as hold all."""
     low = ids.min()
     width = 4 if int(ids.max()) - int(low) < 1 << 32 else 8
-    return bytes([width]) + low.tobytes() + (ids - low).astype(f"u{width}").tobytes()
+    return bytes([width]) + low.tobytes() + planes((ids - low).astype(f"u{width}"))
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    return unplaned(data, np.dtype(f"u{data[0]}"), n, 9).astype(np.int64) + np.frombuffer(data, np.int64, 1, 1)[0]
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"u{data[0]}", offset=9).astype(np.int64) + np.frombuffer(data, np.int64, 1, 1)[0]
+def short_rows(home: int, round_: int, names: np.ndarray, multi: np.ndarray) -> list[tuple]:
+    part = (names >> np.uint64(32)).astype(np.int64)
+    return [(p, home, round_, p, planes(names[s].astype(np.uint32)), None, np.packbits(multi[s]).tobytes()) for p, s in by_part(part)]
 
 
 def ask(bucket: Bucket, home: int, round_: int) -> pa.Table:
     """What a bucket sends in a round, and what it was told so far, which it sends to itself."""
     rows = [(-1 - home, home, r, part, bits, None, None) for r, got in bucket.bits.items() for part, bits in got.items()]
-    names, multi, of = bucket.anchors()
     if round_ == 1:
-        part = (names >> np.uint64(32)).astype(np.int64)
-        rows += [(p, home, 1, p, names[s].astype(np.uint32).tobytes(), None, np.packbits(multi[s]).tobytes()) for p, s in by_part(part)]
-        return sent(rows)
-    at = bucket.candidates(names, of)
-    named = bucket.runs(at)
-    if round_ == 3:
-        named = bucket.windows(at[~named.repeated(2)])
-    rows += [(p, home, round_, p, named.high[s].tobytes() + named.low[s].tobytes(), packed(named.least[s]), None) for p, s in by_part(named.part)]
+        names, multi, _ = bucket.anchors()
+        return sent(rows + short_rows(home, 1, names, multi))
+    at = bucket.candidates()
+    if round_ == 2:
+        named = bucket.runs(at)
+        if (cut := bucket.halves(at)) is not None:
+            names, multi, _ = bucket.short(cut[3], bucket.row[cut[0]], None)
+            rows += short_rows(home, 4, names, multi)
+    else:
+        named = bucket.windows(*bucket.left(at))
+    rows += [(p, home, round_, p, planes(named.high[s]) + planes(named.low[s]), packed(named.least[s]), None) for p, s in by_part(named.part)]
     return sent(rows)
 
 
+def back(rows: list[dict], bits: list[bytes]) -> pa.Table:
+    return pa.table({"bucket": pa.array([r["home"] for r in rows], pa.int64()), "round": pa.array([r["round"] for r in rows], pa.int32()), "part": pa.array([r["part"] for r in rows], pa.int32()), "bits": pa.array(bits, pa.binary())})
+
+
 def answer(table: pa.Table) -> pa.Table:
-    """One range's names from all buckets: a bit for each, whether the name repeats (round 1) or is
+    """One range's names from all buckets: a bit for each, whether a short name repeats or a name is
     in a smaller document of another bucket. What a bucket sent to itself goes back as it is."""
     rows = table.to_pylist()
     if rows[0]["to"] < 0:
-        return pa.table({"bucket": [r["home"] for r in rows], "round": pa.array([r["round"] for r in rows], pa.int32()), "part": pa.array([r["part"] for r in rows], pa.int32()), "bits": pa.array([r["names"] for r in rows], pa.binary())})
-    first = rows[0]["round"] == 1
-    sizes = [len(r["names"]) // (4 if first else 12) for r in rows]
-    if first:
-        name = np.concatenate([np.frombuffer(r["names"], np.uint32) for r in rows])
-        multi = np.concatenate([np.unpackbits(np.frombuffer(r["flags"], np.uint8), count=n) for r, n in zip(rows, sizes, strict=True)])
+        return back(rows, [r["names"] for r in rows])
+    done = [back(some, bits_of(some)) for some in ([r for r in rows if r["flags"] is not None], [r for r in rows if r["flags"] is None]) if some]
+    return pa.concat_tables(done)
+
+
+def bits_of(rows: list[dict]) -> list[bytes]:
+    short = rows[0]["flags"] is not None
+    sizes = [len(r["names"]) // (4 if short else 12) for r in rows]
+    each = list(zip(rows, sizes, strict=True))
+    if short:
+        name = np.concatenate([unplaned(r["names"], np.uint32, n) for r, n in each])
+        multi = np.concatenate([np.unpackbits(np.frombuffer(r["flags"], np.uint8), count=n) for r, n in each])
         _, of, many = np.unique(name, return_inverse=True, return_counts=True)
-        hit = (many > 1) | (np.bincount(of, multi) > 0)
-        bits = hit[of]
+        bits = ((many > 1) | (np.bincount(of, multi) > 0))[of]
     else:
-        high = np.concatenate([np.frombuffer(r["names"], np.uint64, n) for r, n in zip(rows, sizes, strict=True)])
-        low = np.concatenate([np.frombuffer(r["names"], np.uint32, n, 8 * n) for r, n in zip(rows, sizes, strict=True)])
-        doc = np.concatenate([unpacked(r["docs"]) for r in rows])
-        order = np.lexsort((doc, low, high))
+        high = np.concatenate([unplaned(r["names"], np.uint64, n) for r, n in each])
+        low = np.concatenate([unplaned(r["names"], np.uint32, n, 8 * n) for r, n in each])
+        doc = np.concatenate([unpacked(r["docs"], n) for r, n in each])
+        order = np.lexsort((low, high))
         h, lo, d = high[order], low[order], doc[order]
         new = np.ones(len(order), bool)
         new[1:] = (h[1:] != h[:-1]) | (lo[1:] != lo[:-1])
         bits = np.empty(len(order), bool)
-        bits[order] = d > d[np.flatnonzero(new)][np.cumsum(new) - 1]
+        bits[order] = d > np.minimum.reduceat(d, np.flatnonzero(new))[np.cumsum(new) - 1]
     out, at = [], 0
     for n in sizes:
         out.append(np.packbits(bits[at : at + n]).tobytes())
         at += n
-    return pa.table({"bucket": [r["home"] for r in rows], "round": pa.array([r["round"] for r in rows], pa.int32()), "part": pa.array([r["part"] for r in rows], pa.int32()), "bits": pa.array(out, pa.binary())})
+    return out
 
 
 def told(table: pa.Table) -> dict[int, dict[int, bytes]]:
@@ -301,19 +371,12 @@ def told(table: pa.Table) -> dict[int, dict[int, bytes]]:
 
 def repeated_starts(bucket: Bucket) -> tuple[np.ndarray, np.ndarray]:
     """(row, place) of every window of the bucket that occurs earlier."""
-    names, _, of = bucket.anchors()
-    at = bucket.candidates(names, of)
-    whole = bucket.runs(at).repeated(2)
-    some = at[~whole]
-    named = bucket.windows(some)
+    at = bucket.candidates()
+    whole = at[bucket.runs(at).repeated(2)]
+    place, of = spread_out(bucket.start[whole], (bucket.start + bucket.last - bucket.first)[whole])
+    named = bucket.windows(*bucket.left(at))
     hit = named.repeated(3)
-    whole = at[whole]
-    place, of = spread_out(bucket.start[whole].astype(np.int64), (bucket.start + bucket.last - bucket.first)[whole].astype(np.int64))
-    single, of_single = spread_out(bucket.start[some].astype(np.int64), (bucket.start + bucket.last - bucket.first)[some].astype(np.int64))
-    by_batch = np.argsort(bucket.batch_of[some], kind="stable") if len(some) else some
-    if len(by_batch) and (by_batch != np.arange(len(by_batch))).any():
-        raise AssertionError("runs are in the order of their batches")
-    return np.concatenate([bucket.row[whole][of], bucket.row[some][of_single][hit]]).astype(np.int64), np.concatenate([place, single[hit]])
+    return np.concatenate([bucket.row[whole][of], named.row[hit]]), np.concatenate([place, named.start[hit]])
 
 
 def covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:

@@ -5,8 +5,9 @@ h bytes at h further on). Names, equal for equal strings only, take the place of
 strings is smaller never matters here, whether they are equal does. Names of 1, 2, 4, 8 and 16 bytes
 come from the text alone. At the next offset, 24 bytes, one position of every window of 50 bytes
 (the least name in it) is sorted over all documents, and positions with a unique name drop out. Then
-come pairs of window names, and pairs of 25 bytes and 25 bytes, which are the threshold. At each
-offset Spark deals the pairs out by ranges of names; a range is sorted and what is unique drops out.
+come 37 bytes, of which a window has some to the left or to the right of its position, pairs of
+window names, and at last pairs of 25 bytes and 25 bytes, which are the threshold. At each offset
+Spark deals the pairs out by ranges of names; a range is sorted and what is unique drops out.
 
 Names of the sorted pairs have 96 bits, so two of a million million different windows share one with
 a chance of 1 in 100,000."""
@@ -24,9 +25,26 @@ from docketry.llm.repeats import PLACE, PLACE_BITS, Batch, Scheme, doubled, leas
 _BYTES = pair_name(np.arange(1, 257, dtype=np.uint64), np.arange(257, 513, dtype=np.uint64))
 
 
+#: Bytes of an anchor.
+ANCHOR = 24
+
+
 class HalfNames(Batch):
     """Windows named by their halves; a half's name is that of two strings of 16 bytes in it."""
 
+    def halves(self):
+        """Of the windows around an anchor some hold `more` bytes to its left, the others to its right."""
+        more = (2 * self.second - ANCHOR + 1) // 2
+        run = np.arange(len(self.first))
+        a, z = np.minimum(self.last, self.anchor - more), np.maximum(self.first, self.anchor - more + 1)
+        left, right = run[self.first <= a], run[z <= self.last]
+        p, q = self.anchor[left], self.anchor[right]
+        one = lambda at: pair_name(self.base[at], self.base[at + ANCHOR - 16])
+        of = np.r_[left, right]
+        order = np.argsort(of, kind="stable")
+        name = np.r_[pair_name(self.base[p - more], one(p)), pair_name(one(q), self.base[q + ANCHOR + more - 16])]
+        return of[order], np.r_[self.first[left], z[right]][order], np.r_[a[left], self.last[right]][order], name[order]
+
     def part(self, at: np.ndarray) -> np.ndarray:
         return pair_name(self.base[at], self.base[at + self.second - 16])
 
@@ -59,10 +77,10 @@ def byte_scheme(window: int) -> Scheme:
     def batch(pieces: list) -> Batch:
         data = np.frombuffer(b"".join(p[2] for p in pieces), np.uint8)
         sixteen = doubled(_BYTES[data], 4)
-        anchors = pair_name(sixteen[:-8], sixteen[8:])
+        anchors = pair_name(sixteen[: 16 - ANCHOR], sixteen[ANCHOR - 16 :])
         place = np.arange(len(anchors), dtype=np.uint64)
         place |= anchors >> PLACE_BITS << PLACE_BITS
-        anchor = (least_of(place, window - 23) & PLACE).astype(np.int64)
+        anchor = (least_of(place, window - ANCHOR + 1) & PLACE).astype(np.int64)
         first, last, row, start = runs_of(pieces, anchor, window)
         return HalfNames(sixteen, window // 2, first, last, anchor[first], anchors[anchor[first]], row, start)
 
