@@ -32,8 +32,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffixes.without_earlier_bytes(table(spark, sf_dir, "documents"), 50)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffixes.without_earlier_bytes(table(spark, sf_dir, "documents"), 50, texts=False)
 
 
 @query
@@ -44,5 +43,4 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = recompress.without_earlier_words(table(spark, sf_dir, "documents"), 20)
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return recompress.without_earlier_words(table(spark, sf_dir, "documents"), 20, texts=False)

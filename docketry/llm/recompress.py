@@ -113,7 +113,7 @@ def word_scheme(window: int, rounds: int = ROUNDS) -> Scheme:
         first, last, row, start = runs_of(pieces, anchor, window)
         return Batch(doubled(names, 4), window - 16, first, last, anchor[first], name[first], row, start)
 
-    return Scheme(window, 1 << 16, True, lambda text: text.split(), batch)
+    return Scheme(window, 1 << 14, True, lambda text: text.split(), batch)
 
 
 def finish(words: list[bytes], gone: np.ndarray) -> tuple[int, int, str, bytes]:
@@ -121,7 +121,7 @@ def finish(words: list[bytes], gone: np.ndarray) -> tuple[int, int, str, bytes]:
     return len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()
 
 
-def without_earlier_words(docs: DataFrame, window: int = 20) -> DataFrame:
+def without_earlier_words(docs: DataFrame, window: int = 20, texts: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) of every row of docs (doc_id, text).
 
     Words are separated by blanks and the characters 9 to 13. Removed is each word that a window of
@@ -129,8 +129,7 @@ def without_earlier_words(docs: DataFrame, window: int = 20) -> DataFrame:
     the same document, judged on the texts as given. kept are the other words, joined by one blank.
     A null text has no words; a null doc_id counts as larger than all others; rows with equal doc_id
     are not earlier than one another, so repeated rows get equal results. No rows give no rows; other
-    columns are not read. Texts are processed whole, long ones in overlapping pieces."""
-    return without_repeats(
-        docs, word_scheme(window), finish, "n_words long, n_removed long, kept_sha256 string, kept string",
-        [pa.int64(), pa.int64(), pa.string(), pa.string()],
-    )
+    columns are not read. Texts are processed whole, long ones in overlapping pieces. Without `texts`
+    the column kept is left out."""
+    columns = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept": pa.string()}
+    return without_repeats(docs, word_scheme(window), finish, columns if texts else dict(list(columns.items())[:-1]))

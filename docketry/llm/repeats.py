@@ -1,14 +1,14 @@
 """Windows of texts that occur again, for the suffix-array and the recompression operator.
 
-Documents are dealt into buckets of bounded size, names of positions into ranges of names. Three
+Documents are dealt into buckets of bounded size, names of positions into ranges of names. Four
 rounds narrow down the positions at which a repeated window can start:
 
 1. Anchors. Each window picks one position inside it from its own content, so equal windows pick the
-   same anchor. Names of anchors go to their ranges; those that occur once drop out.
+   same anchor. Short names of anchors go to their ranges; those that occur once drop out.
 2. Runs. Consecutive windows with one anchor are named by the pair (name of the first, name of the
    last window). A run whose content is known from an earlier document is wholly repeated.
-   Halves of a run can be cut off here by the name of a longer string that all their windows hold.
-3. Windows. What is left is named window by window, as a pair of the names of its parts.
+3. Windows. Short names of what is left; windows that occur once drop out.
+4. Windows by full names, which are pairs of the names of their parts.
 
 A round sends a name once per bucket with the bucket's smallest document, so a line that is in every
 document is one entry per bucket; it gets one bit back per name it sent. Texts are shuffled once:
@@ -90,11 +90,6 @@ class Batch:
     def part(self, at: np.ndarray) -> np.ndarray:
         return self.base[at]
 
-    def halves(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-        """Each run cut in two, if that pays: run, first and last window, and the name of a string
-        longer than the anchor that is in all windows of the half."""
-        return None
-
 
 def wide(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pair_name(a, b), (pair_name(b ^ _ONE, a) >> np.uint64(32)).astype(np.uint32)
@@ -179,37 +174,17 @@ class Bucket:
         names, _, of = self.anchors()
         return np.flatnonzero(self.shared(1, names, of))
 
-    def halves(self, at: np.ndarray):
-        """Run, first and last window and name of the halves of the given runs, or None."""
-        mine = np.zeros(len(self.first), bool)
-        mine[at] = True
-        got, base = [], 0
-        for b in self.batches:
-            h = b.halves()
-            if h is None:
-                return None
-            keep = mine[h[0] + base]
-            got.append((h[0][keep] + base, h[1][keep], h[2][keep], h[3][keep]))
-            base += len(b.first)
-        return tuple(joined([g[k] for g in got], np.uint64 if k == 3 else np.int64) for k in range(4))
-
-    def left(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Run, first and last window of what has to be looked at window by window."""
-        some = at[~self.runs(at).repeated(2)]
-        cut = self.halves(at)
-        if cut is None:
-            return some, self.first[some], self.last[some]
-        run, first, last, name = cut
-        names, _, of = self.short(name, self.row[run], None)
-        keep = self.shared(4, names, of) & np.isin(run, some)
-        return run[keep], first[keep], last[keep]
+    def left(self) -> "Places":
+        """Windows of the runs that occur again and are not known as a whole from earlier."""
+        at = self.candidates()
+        at = at[~self.runs(at).repeated(2)]
+        return self.windows(at)
 
     def unpacked(self, round_: int, part: np.ndarray) -> np.ndarray:
         """One bit for each name sent, given the names' parts in order."""
         out, got = np.zeros(len(part), bool), self.bits.get(round_, {})
-        borders = np.flatnonzero(np.diff(part, prepend=-1))
-        for a, b in zip(borders, [*borders[1:], len(part)], strict=True):
-            out[a:b] = np.unpackbits(np.frombuffer(got[int(part[a])], np.uint8), count=b - a)
+        for p, s in by_part(part):
+            out[s] = np.unpackbits(np.frombuffer(got[p], np.uint8), count=s.stop - s.start)
         return out
 
     def runs(self, at: np.ndarray) -> "Named":
@@ -223,19 +198,39 @@ class Bucket:
             low[mine] = (pair_name(l0.astype(np.uint64) + (size << np.uint64(32)), l1.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
         return Named(self, high, low, self.row[at], self.start[at])
 
-    def windows(self, run: np.ndarray, first: np.ndarray, last: np.ndarray) -> "Named":
-        """All windows of the given stretches, which are in the order of the runs."""
+    def windows(self, at: np.ndarray) -> "Places":
+        """All windows of the given runs, in their order."""
         high, low, row, start = [], [], [], []
         for k, b in enumerate(self.batches):
-            mine = self.batch_of[run] == k
-            place, of = spread_out(first[mine], last[mine])
-            own = run[mine][of]
+            mine = at[self.batch_of[at] == k]
+            place, of = spread_out(self.first[mine], self.last[mine])
+            own = mine[of]
             h, lo = b.window(place)
             high.append(h)
             low.append(lo)
             row.append(self.row[own])
             start.append(self.start[own] + place - self.first[own])
-        return Named(self, joined(high, np.uint64), joined(low, np.uint32), joined(row, np.int64), joined(start, np.int64))
+        return Places(self, joined(high, np.uint64), joined(low, np.uint32), joined(row, np.int64), joined(start, np.int64))
+
+
+@dataclass
+class Places:
+    """Windows of a bucket by row and start."""
+
+    bucket: Bucket
+    high: np.ndarray
+    low: np.ndarray
+    row: np.ndarray
+    start: np.ndarray
+
+    def short(self):
+        return self.bucket.short(self.high, self.row, (self.row << 40) + self.start if self.bucket.scheme.within else None)
+
+    def again(self) -> "Named":
+        """Those whose short name occurs again, sorted."""
+        names, _, of = self.short()
+        keep = self.bucket.shared(3, names, of)
+        return Named(self.bucket, self.high[keep], self.low[keep], self.row[keep], self.start[keep])
 
 
 class Named:
@@ -273,8 +268,9 @@ def sent(rows: list[tuple]) -> pa.Table:
 
 
 def by_part(part: np.ndarray) -> Iterator[tuple[int, slice]]:
-    borders = np.flatnonzero(np.diff(part, prepend=-1))
-    for a, b in zip(borders, [*borders[1:], len(part)], strict=True):
+    """Each part and where it lies; parts are in order."""
+    borders = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for a, b in zip(borders, [*borders, len(part)][1:], strict=True):
         yield int(part[a]), slice(a, b)
 
 
@@ -310,14 +306,10 @@ def ask(bucket: Bucket, home: int, round_: int) -> pa.Table:
     if round_ == 1:
         names, multi, _ = bucket.anchors()
         return sent(rows + short_rows(home, 1, names, multi))
-    at = bucket.candidates()
-    if round_ == 2:
-        named = bucket.runs(at)
-        if (cut := bucket.halves(at)) is not None:
-            names, multi, _ = bucket.short(cut[3], bucket.row[cut[0]], None)
-            rows += short_rows(home, 4, names, multi)
-    else:
-        named = bucket.windows(*bucket.left(at))
+    if round_ == 3:
+        names, multi, _ = bucket.left().short()
+        return sent(rows + short_rows(home, 3, names, multi))
+    named = bucket.runs(bucket.candidates()) if round_ == 2 else bucket.left().again()
     rows += [(p, home, round_, p, planes(named.high[s]) + planes(named.low[s]), packed(named.least[s]), None) for p, s in by_part(named.part)]
     return sent(rows)
 
@@ -332,8 +324,7 @@ def answer(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
     if rows[0]["to"] < 0:
         return back(rows, [r["names"] for r in rows])
-    done = [back(some, bits_of(some)) for some in ([r for r in rows if r["flags"] is not None], [r for r in rows if r["flags"] is None]) if some]
-    return pa.concat_tables(done)
+    return back(rows, bits_of(rows))
 
 
 def bits_of(rows: list[dict]) -> list[bytes]:
@@ -374,8 +365,8 @@ def repeated_starts(bucket: Bucket) -> tuple[np.ndarray, np.ndarray]:
     at = bucket.candidates()
     whole = at[bucket.runs(at).repeated(2)]
     place, of = spread_out(bucket.start[whole], (bucket.start + bucket.last - bucket.first)[whole])
-    named = bucket.windows(*bucket.left(at))
-    hit = named.repeated(3)
+    named = bucket.left().again()
+    hit = named.repeated(4)
     return np.concatenate([bucket.row[whole][of], named.row[hit]]), np.concatenate([place, named.start[hit]])
 
 
@@ -387,29 +378,24 @@ def covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
-def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[bytes, np.ndarray], tuple], columns: str, types: list, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, columns) of every row: finish(text, removed elements) of its whole text.
+def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[object, np.ndarray], tuple], columns: dict[str, pa.DataType], bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(doc_id, columns) of every row: what finish(elements, removed elements) says of its whole text.
 
-    types: the Arrow types of the columns. See the module for how the rounds are laid out."""
+    See the module for how the rounds are laid out."""
     total = text_bytes(docs)
     buckets, parts = parts_of(total, bucket_bytes, LEAST_PARTS), parts_of(total, RANGE_BYTES, LEAST_PARTS)
-    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).alias("bucket"), F.col("doc_id").cast("long"), "text").groupBy("bucket")
-
-    def begin(table: pa.Table) -> pa.Table:
-        return ask(Bucket(scheme, table, parts, {}), table["bucket"][0].as_py(), 1)
+    bucket_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).alias("bucket")
+    dealt = docs.select(bucket_of, F.col("doc_id").cast("long"), "text").groupBy("bucket")
+    schema = pa.schema([("doc_id", pa.int64()), *columns.items()])
 
     def go_on(round_: int):
         def run(table: pa.Table, bits: pa.Table) -> pa.Table:
-            if not table.num_rows:
-                return sent([])
             return ask(Bucket(scheme, table, parts, told(bits)), table["bucket"][0].as_py(), round_)
 
         return run
 
     def end(table: pa.Table, bits: pa.Table) -> pa.Table:
-        bucket = Bucket(scheme, table, parts, told(bits)) if table.num_rows else None
-        if bucket is None:
-            return pa.table({"doc_id": pa.array([], pa.int64())} | {c.split()[0]: pa.array([], t) for c, t in zip(columns.split(", "), types, strict=True)})
+        bucket = Bucket(scheme, table, parts, told(bits))
         row, place = repeated_starts(bucket)
         order = np.argsort(row, kind="stable")
         row, place = row[order], place[order]
@@ -417,12 +403,14 @@ def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[bytes, np
         for k, text in enumerate(bucket.texts):
             own = scheme.elements(text or b"")
             a, b = np.searchsorted(row, [k, k + 1])
-            out.append(finish(own, covered(len(own), place[a:b], scheme.window)))
+            out.append((bucket.ids[k], *finish(own, covered(len(own), place[a:b], scheme.window))))
         made = zip(*out, strict=True)
-        return pa.table({"doc_id": pa.array(bucket.ids, pa.int64())} | {c.split()[0]: pa.array(list(x), t) for c, t, x in zip(columns.split(", "), types, made, strict=True)})
+        return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(made, schema, strict=False)], schema=schema)
 
+    begin = lambda table: ask(Bucket(scheme, table, parts, {}), table["bucket"][0].as_py(), 1)
     bits = dealt.applyInArrow(begin, _SENT).groupBy("to").applyInArrow(answer, _BACK)
-    for round_ in (2, 3):
+    for round_ in (2, 3, 4):
         asked = dealt.cogroup(bits.groupBy("bucket")).applyInArrow(go_on(round_), _SENT)
         bits = asked.groupBy("to").applyInArrow(answer, _BACK)
-    return dealt.cogroup(bits.groupBy("bucket")).applyInArrow(end, f"doc_id long, {columns}")
+    names = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
+    return dealt.cogroup(bits.groupBy("bucket")).applyInArrow(end, ", ".join(f"{f.name} {names[f.type]}" for f in schema))

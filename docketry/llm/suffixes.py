@@ -5,9 +5,9 @@ h bytes at h further on). Names, equal for equal strings only, take the place of
 strings is smaller never matters here, whether they are equal does. Names of 1, 2, 4, 8 and 16 bytes
 come from the text alone. At the next offset, 24 bytes, one position of every window of 50 bytes
 (the least name in it) is sorted over all documents, and positions with a unique name drop out. Then
-come 37 bytes, of which a window has some to the left or to the right of its position, pairs of
-window names, and at last pairs of 25 bytes and 25 bytes, which are the threshold. At each offset
-Spark deals the pairs out by ranges of names; a range is sorted and what is unique drops out.
+come pairs of the names of two overlapping windows, and at last pairs of 25 bytes and 25 bytes, which
+are the threshold. At each offset Spark deals the pairs out by ranges of names; a range is sorted and
+what is unique drops out.
 
 Names of the sorted pairs have 96 bits, so two of a million million different windows share one with
 a chance of 1 in 100,000."""
@@ -32,19 +32,6 @@ ANCHOR = 24
 class HalfNames(Batch):
     """Windows named by their halves; a half's name is that of two strings of 16 bytes in it."""
 
-    def halves(self):
-        """Of the windows around an anchor some hold `more` bytes to its left, the others to its right."""
-        more = (2 * self.second - ANCHOR + 1) // 2
-        run = np.arange(len(self.first))
-        a, z = np.minimum(self.last, self.anchor - more), np.maximum(self.first, self.anchor - more + 1)
-        left, right = run[self.first <= a], run[z <= self.last]
-        p, q = self.anchor[left], self.anchor[right]
-        one = lambda at: pair_name(self.base[at], self.base[at + ANCHOR - 16])
-        of = np.r_[left, right]
-        order = np.argsort(of, kind="stable")
-        name = np.r_[pair_name(self.base[p - more], one(p)), pair_name(one(q), self.base[q + ANCHOR + more - 16])]
-        return of[order], np.r_[self.first[left], z[right]][order], np.r_[a[left], self.last[right]][order], name[order]
-
     def part(self, at: np.ndarray) -> np.ndarray:
         return pair_name(self.base[at], self.base[at + self.second - 16])
 
@@ -84,24 +71,24 @@ def byte_scheme(window: int) -> Scheme:
         first, last, row, start = runs_of(pieces, anchor, window)
         return HalfNames(sixteen, window // 2, first, last, anchor[first], anchors[anchor[first]], row, start)
 
-    return Scheme(window, 1 << 18, False, lambda text: text, batch)
+    return Scheme(window, 1 << 16, False, lambda text: text, batch)
 
 
 def finish(text: bytes, gone: np.ndarray) -> tuple[int, int, int, str, bytes]:
+    """Digests and text of what stays."""
     spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
     kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if spans else text
     return len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept
 
 
-def without_earlier_bytes(docs: DataFrame, window: int = 50) -> DataFrame:
+def without_earlier_bytes(docs: DataFrame, window: int = 50, texts: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row of docs (doc_id, text).
 
     Removed is each byte that a string of `window` bytes covers which also starts in a document with
     a smaller doc_id, judged on the texts as given. kept are the remaining bytes, which may cut a
     character. A null text is empty; a null doc_id counts as larger than all others; rows with equal
     doc_id are not smaller than one another, so repeated rows get equal results. No rows give no
-    rows; other columns are not read. Texts are processed whole, long ones in overlapping pieces."""
-    return without_repeats(
-        docs, byte_scheme(window), finish, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
-        [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()],
-    )
+    rows; other columns are not read. Texts are processed whole, long ones in overlapping pieces.
+    Without `texts` the column kept is left out."""
+    columns = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "kept": pa.binary()}
+    return without_repeats(docs, byte_scheme(window), finish, columns if texts else dict(list(columns.items())[:-1]))
