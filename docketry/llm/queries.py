@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docketry.llm import recompress, sharding, simhash, suffixes
+from docketry.llm import contain, pstable, quality, recompress, secrets, sharding, simhash, suffixes, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 SLOTS = 6_553
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -24,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the labels whose document's number leaves a remainder."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    scored = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document, by its number."""
@@ -35,12 +46,41 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_earlier_bytes(table(spark, sf_dir, "documents"), 50, texts=False)
 
 
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = tokens.with_tokens(table(spark, sf_dir, "documents"), RANKS, PATTERN)
+    return tokens.decoded(encoded, RANKS, data=False)
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected grade of every document; the labels have two grades."""
+    return toxicity.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.found_secrets(table(spark, sf_dir, "documents"), RANKS, PATTERN, mask=None)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")
+
+
+@query
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 @query
 def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.without_earlier_words(table(spark, sf_dir, "documents"), 20, texts=False)
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds."""
+    return contain.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

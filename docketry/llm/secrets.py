@@ -12,7 +12,6 @@ import hashlib
 import re
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from docketry.llm.tokens import Encoder, read_ranks
@@ -88,12 +87,12 @@ def masked(text: str | None, spans: list[tuple[int, int, str]], mask: str) -> st
     return "".join([*out, text[at:]])
 
 
-def found_secrets(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO, mask: str = "<secret>") -> DataFrame:
+def found_secrets(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO, mask: str | None = "<secret>") -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans, masked) of every row of docs.
 
     spans are kind:start:end by start and kind, in code points, end exclusive; base_sha256 is of the
     spans of the fixed forms alone. A run of the token test that overlaps a fixed form is not
-    reported again. masked is the text with its spans replaced. A null text has no spans and stays
+    reported again. masked is the text with its spans replaced, null without a mask. A null text has no spans and stays
     null, a null doc_id stays null, repeated rows stay repeated, no rows give no rows, and other
     columns are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
@@ -108,9 +107,35 @@ def found_secrets(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO
                 base = [[s for s in x if s[2] != "random"] for x in spans]
                 many = [pa.array([sum(s[2] == kind for s in x) for x in spans], pa.int64()) for kind in KINDS]
                 sha = pa.array([hashlib.sha256(written(x).encode()).hexdigest() for x in base])
-                new = pa.array([masked(x, s, mask) for x, s in zip(texts, spans, strict=True)], pa.string())
+                new = pa.array([mask and masked(x, s, mask) for x, s in zip(texts, spans, strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), *many, sha, pa.array(map(written, spans), pa.string()), new], names)
 
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "masked"]
     columns = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, masked string"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
+
+
+def with_masked(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO, mask: str = "<secret>") -> DataFrame:
+    """All columns of docs, with secrets in text replaced and n_chars, if there, the new length.
+
+    Rows without secrets stay as they are, a null text and its n_chars too. Of repeated column names
+    other than text and n_chars nothing is assumed."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
+    names = docs.columns
+
+    def run(batches):
+        encode = Encoder(shared.value, pattern)
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                old = part.column(names.index("text")).to_pylist()
+                new = [masked(x, all_spans(x, encode, ratio), mask) for x in old]
+                columns = list(part.columns)
+                columns[names.index("text")] = pa.array(new, pa.string())
+                if "n_chars" in names:
+                    many = part.column(names.index("n_chars"))
+                    sizes = [n if x == y else len(y) for n, x, y in zip(many.to_pylist(), old, new, strict=True)]
+                    columns[names.index("n_chars")] = pa.array(sizes, many.type)
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -10,8 +10,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -121,17 +121,6 @@ class Decoder:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-@lru_cache(1)
-def encoder_of(shared, pattern: str) -> Encoder:
-    """One encoder per worker and set of ranks."""
-    return Encoder(shared.value, pattern)
-
-
-@lru_cache(1)
-def decoder_of(shared) -> Decoder:
-    return Decoder(shared.value)
-
-
 def with_tokens(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) of every row of docs (doc_id, text): the token ids of its whole text.
 
@@ -145,42 +134,53 @@ def with_tokens(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
                 ids = [encode.ids(x) for x in part.column(1).to_pylist()]
-                offsets = pa.array([0, *_sums(len(x) for x in ids)], pa.int32())
-                values = array("i")
-                for x in ids:
-                    values.extend(x)
-                flat = pa.Array.from_buffers(pa.int32(), len(values), [None, pa.py_buffer(values.tobytes())])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), lists(ids)], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def _sums(sizes):
-    total = 0
-    for n in sizes:
-        total += n
-        yield total
-
-
-def decoded(rows: DataFrame, path: str) -> DataFrame:
+def decoded(rows: DataFrame, path: str, data: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, data) of rows (doc_id, ids).
 
-    data are the bytes of the ids one after the other; null ids count as none. An id that the ranks
-    do not have is an error."""
+    data are the bytes of the ids one after the other, left out without `data`; null ids count as
+    none. An id that the ranks do not have is an error."""
     shared = rows.sparkSession.sparkContext.broadcast(read_ranks(rows.sparkSession, path))
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["data"] * data]
 
     def run(batches):
         decode = Decoder(shared.value)
         for b in batches:
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
-                out = []
-                for ids in part.column(1).to_pylist():
-                    data = decode.data(ids or [])
-                    text = ",".join(map(str, ids or []))
-                    out.append((len(ids or []), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(data).hexdigest(), data))
-                n, a, c, d = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(c), pa.array(d, pa.binary())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "data"])
-
-    columns = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, data binary"
+                ids = [x or [] for x in part.column(1).to_pylist()]
+                got = [decode.data(x) for x in ids]
+                text = [",".join(map(str, x)).encode() for x in ids]
+                sha = [pa.array([hashlib.sha256(x).hexdigest() for x in some], pa.string()) for some in (text, got)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, ids), pa.int64()), *sha, *[pa.array(got, pa.binary())] * data], names)
+
+    columns = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", data binary" * data
     return rows.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, columns)
+
+
+def encoded_and_decoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of every row of docs, in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
+
+    def run(batches):
+        encode, decode = Encoder(shared.value, pattern), Decoder(shared.value)
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
+                ids = [encode.ids(x) for x in part.column(1).to_pylist()]
+                text = [",".join(map(str, x)).encode() for x in ids]
+                sha = [pa.array([hashlib.sha256(x).hexdigest() for x in some], pa.string()) for some in (text, map(decode.data, ids))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, ids), pa.int64()), lists(ids), *sha], names)
+
+    names = ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    columns = "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
+
+
+def lists(ids: list[array]) -> pa.ListArray:
+    flat = np.concatenate([np.frombuffer(x, np.int32) for x in ids])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(flat))
