@@ -51,7 +51,7 @@ def usable(vector: Column) -> Column:
 
 
 def keyed(classes: DataFrame, tables: int, projections: int, width: float) -> DataFrame:
-    """(node, keys) of classes (node, vector)."""
+    """(cls, keys) of classes (cls, vector)."""
 
     def run(batches):
         for b in batches:
@@ -62,22 +62,22 @@ def keyed(classes: DataFrame, tables: int, projections: int, width: float) -> Da
                 keys = bucket_keys(normalised([vectors[k] for k in at]), tables, projections, width).view(np.int64)
                 for k, row in zip(at, keys.tolist(), strict=True):
                     out[k] = row
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], ["node", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], ["cls", "keys"])
 
-    return classes.select("node", "vector").mapInArrow(run, "node long, keys array<long>")
+    return classes.select("cls", "vector").mapInArrow(run, "cls long, keys array<long>")
 
 
 def compare_group(table: pa.Table, least: float, tables: int, projections: int, width: float) -> pa.Table:
     """Links within the buckets of one group: role 0 rows meet role 1 rows, role 2 rows one another."""
-    node, many = table["node"].to_numpy(), table["many"].to_numpy()
-    nodes, first, place = np.unique(node, return_index=True, return_inverse=True)
+    ids, first, place = np.unique(table["cls"].to_numpy(), return_index=True, return_inverse=True)
+    nodes, weight = table["node"].to_numpy()[first], table["many"].to_numpy()[first]
     vectors = table["vector"].to_pylist()
     size = np.array([len(vectors[k]) for k in first])
-    x = np.zeros((len(nodes), size.max()))
+    x = np.zeros((len(ids), size.max()))
     for s in np.unique(size):
         mine = np.flatnonzero(size == s)
         x[mine, :s] = normalised([vectors[first[k]] for k in mine])
-    weight, forest, add = many[first], Forest(len(nodes)), np.zeros(len(nodes), np.int64)
+    forest, add = Forest(len(ids)), np.zeros(len(ids), np.int64)
     part, bucket, role, which = (table[c].to_numpy() for c in ("part", "bucket", "role", "tab"))
     order = np.lexsort((role, part, bucket))
     part, bucket, role, place, which = part[order], bucket[order], role[order], place[order], which[order]
@@ -109,7 +109,7 @@ def compare_group(table: pa.Table, least: float, tables: int, projections: int,
             np.add.at(add, q, weight[p])
     a, b = forest.links()
     hit = np.flatnonzero(add)
-    return pa.table({"a": np.r_[nodes[a], nodes[hit]], "b": np.r_[nodes[b], add[hit]], "link": np.r_[np.ones(len(a), bool), np.zeros(len(hit), bool)]})
+    return pa.table({"a": np.r_[nodes[a], ids[hit]], "b": np.r_[nodes[b], add[hit]], "link": np.r_[np.ones(len(a), bool), np.zeros(len(hit), bool)]})
 
 
 def near_vectors(rows: DataFrame, least: float = 0.9, tables: int = TABLES, projections: int = PROJECTIONS, width: float = WIDTH, tile: int = TILE) -> DataFrame:
@@ -119,38 +119,40 @@ def near_vectors(rows: DataFrame, least: float = 0.9, tables: int = TABLES, proj
     linked to one another. n_links counts the other rows linked directly, component_id is the
     smallest vec_id reached, kept says that it is the row's own. A vector that is null, empty or
     zero, or has a null or non-finite component, links with nothing, nor do vectors of different
-    sizes. A row without vec_id links with nothing and has no component_id; it is kept. Repeated
+    sizes. Rows with one vec_id are one item, so what they link to is one component. A row without
+    vec_id links with nothing and has no component_id; it is kept. Repeated
     rows are copies. No rows give no rows; other columns are not read."""
     given = rows.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
     good = given.where(usable(F.col("vector")) & F.col("vec_id").isNotNull())
-    classes = cut_lineage(good.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("many")))
-    placed = cut_lineage(keyed(classes, tables, projections, width).select("node", F.posexplode("keys").alias("tab", "bucket")))
+    classed = good.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("many"))
+    classes = cut_lineage(classed.withColumn("cls", F.monotonically_increasing_id()))
+    placed = cut_lineage(keyed(classes, tables, projections, width).select("cls", F.posexplode("keys").alias("tab", "bucket")))
     sizes = placed.groupBy("tab", "bucket").agg(F.count("*").alias("n")).where("n > 1").select(
         F.col("tab"), F.bitwise_not(F.bitwise_not("bucket")).alias("bucket"), "n"
     )
     total = placed.count()
     groups = parts_of(total, GROUP_ROWS, 64)
     parts = F.ceil(F.col("n") / F.lit(tile)).cast("int")
-    own = F.pmod(F.xxhash64("node"), "parts").cast("int")
+    own = F.pmod(F.xxhash64("cls"), "parts").cast("int")
     met = (
         placed.join(sizes, ["tab", "bucket"]).withColumn("parts", parts).withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
-            "node", "tab", "bucket",
+            "cls", "tab", "bucket",
             (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).alias("part"),
             F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("role"),
         )
         .withColumn("group", F.pmod(F.xxhash64("tab", "bucket", "part"), F.lit(groups)))
     )
     found = cut_lineage(
-        met.join(classes, "node").groupBy("group").applyInArrow(
+        met.join(classes, "cls").groupBy("group").applyInArrow(
             lambda t: compare_group(t, least, tables, projections, width), "a long, b long, link boolean"
         )
     )
     linked = components(found.where("link").select("a", "b")).select(F.col("node").alias("of"), "root")
     counted = found.where("not link").groupBy(F.col("a").alias("counted")).agg(F.sum("b").alias("others"))
     named = (
-        classes.join(linked, classes.node == linked.of, "left").join(counted, classes.node == F.col("counted"), "left")
+        classes.join(linked, classes.node == linked.of, "left").join(counted, classes.cls == F.col("counted"), "left")
         .select(
             F.col("vector").alias("class"),
             (F.coalesce("others", F.lit(0)) + F.col("many") - 1).alias("links"),

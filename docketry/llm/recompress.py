@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from docketry.llm.repeats import NONE, PLACE, PLACE_BITS, Batch, Scheme, doubled, pair_name, without_repeats
+from docketry.llm.repeats import NONE, PLACE, PLACE_BITS, Batch, Scheme, doubled, least_of, pair_name, without_repeats
 from docketry.llm.suffixes import runs_of
 
 #: Stands for an end of the stretch that lies outside the piece.
@@ -99,9 +99,10 @@ def word_scheme(window: int, rounds: int = ROUNDS) -> Scheme:
         words = np.arange(len(names), dtype=np.int64)
         n = len(names) - window + 1
         level = Symbols(names, words, words, words + 1, edge)
-        best = best_in_windows(level, n, window)
-        name = names[(best & PLACE).astype(np.int64)]
-        anchor = (best & PLACE).astype(np.int64)
+        # every word by itself is decided, so each window has an anchor
+        anchor = (least_of(names >> PLACE_BITS << PLACE_BITS | words.astype(np.uint64), window) & PLACE).astype(np.int64)
+        name = names[anchor]
+        anchor *= rounds + 1
         for r in range(rounds):
             level = level.runs().pairs(r)
             found = best_in_windows(level, n, window)
@@ -109,11 +110,10 @@ def word_scheme(window: int, rounds: int = ROUNDS) -> Scheme:
             at = (found[hit] & PLACE).astype(np.int64)
             name[hit] = level.name[np.searchsorted(level.begin, at)]
             anchor[hit] = at * (rounds + 1) + r + 1
-            anchor[~hit] = np.where(r, anchor[~hit], anchor[~hit] * (rounds + 1))
         first, last, row, start = runs_of(pieces, anchor, window)
         return Batch(doubled(names, 4), window - 16, first, last, anchor[first], name[first], row, start)
 
-    return Scheme(window, 1 << 14, True, lambda text: text.split(), batch)
+    return Scheme(window, 1 << 14, True, False, lambda text: text.split(), batch)
 
 
 def finish(words: list[bytes], gone: np.ndarray) -> tuple[int, int, str, bytes]:

@@ -7,7 +7,8 @@ rounds narrow down the positions at which a repeated window can start:
    same anchor. Short names of anchors go to their ranges; those that occur once drop out.
 2. Runs. Consecutive windows with one anchor are named by the pair (name of the first, name of the
    last window). A run whose content is known from an earlier document is wholly repeated.
-3. Windows. Short names of what is left; windows that occur once drop out.
+3. Windows. Short names of what is left; windows that occur once drop out. Texts of few elements a
+   byte do without this round.
 4. Windows by full names, which are pairs of the names of their parts.
 
 A round sends a name once per bucket with the bucket's smallest document, so a line that is in every
@@ -99,11 +100,13 @@ def wide(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Scheme:
     """What differs between the operators. window: elements of a window. elements: a text's elements.
     batch: makes a Batch of pieces (row, place of the piece in its document, elements, number of
-    windows that start in the piece). within: a window may also repeat within its own document."""
+    windows that start in the piece). within: a window may also repeat within its own document. sieve:
+    round 3 is worth its pass over the texts."""
 
     window: int
     piece: int
     within: bool
+    sieve: bool
     elements: Callable[[bytes], object]
     batch: Callable[[list[tuple[int, int, object, int]]], Batch]
 
@@ -148,22 +151,26 @@ class Bucket:
         for c in ("first", "last", "anchor", "name", "row", "start"):
             setattr(self, c, joined([getattr(b, c) for b in self.batches], np.uint64 if c == "name" else np.int64))
 
-    def short(self, name: np.ndarray, row: np.ndarray, place: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def short(self, name: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Short names in order, which of them are known to repeat, and each given name's.
 
-        Short ones are a range and 32 bits; two names that share one are only kept for longer."""
+        where tells places apart between which a repeat counts. Short names are a range and 32 bits;
+        two names that share one are only kept for longer."""
         part = (name >> np.uint64(32)) * np.uint64(self.parts) >> np.uint64(32)
-        names, of = np.unique(part << np.uint64(32) | (name & np.uint64(0xFFFFFFFF)), return_inverse=True)
-        if place is not None:
-            places = np.unique(np.stack([of, place]), axis=1) if len(of) else np.empty((2, 0), np.int64)
-            return names, np.bincount(places[0], minlength=len(names)) > 1, of
-        low, high = np.full(len(names), LAST), np.full(len(names), -LAST)
-        np.minimum.at(low, of, self.doc[row])
-        np.maximum.at(high, of, self.doc[row])
-        return names, low != high, of
+        short = part << np.uint64(32) | (name & np.uint64(0xFFFFFFFF))
+        order = np.argsort(short, kind="stable")
+        short, where = short[order], where[order]
+        new = np.ones(len(short), bool)
+        new[1:] = short[1:] != short[:-1]
+        group = np.cumsum(new) - 1
+        multi = np.zeros(group[-1] + 1 if len(group) else 0, bool)
+        multi[group[1:][~new[1:] & (where[1:] != where[:-1])]] = True
+        of = np.empty(len(group), np.int64)
+        of[order] = group
+        return short[new], multi, of
 
     def anchors(self):
-        return self.short(self.name, self.row, (self.batch_of << 42) + self.anchor if self.scheme.within else None)
+        return self.short(self.name, (self.batch_of << 42) + self.anchor if self.scheme.within else self.doc[self.row])
 
     def shared(self, round_: int, names: np.ndarray, of: np.ndarray) -> np.ndarray:
         """Which of the names given to short() occur again."""
@@ -224,10 +231,13 @@ class Places:
     start: np.ndarray
 
     def short(self):
-        return self.bucket.short(self.high, self.row, (self.row << 40) + self.start if self.bucket.scheme.within else None)
+        within = self.bucket.scheme.within
+        return self.bucket.short(self.high, (self.row << 40) + self.start if within else self.bucket.doc[self.row])
 
     def again(self) -> "Named":
         """Those whose short name occurs again, sorted."""
+        if not self.bucket.scheme.sieve:
+            return Named(self.bucket, self.high, self.low, self.row, self.start)
         names, _, of = self.short()
         keep = self.bucket.shared(3, names, of)
         return Named(self.bucket, self.high[keep], self.low[keep], self.row[keep], self.start[keep])
@@ -409,7 +419,7 @@ def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[object, n
 
     begin = lambda table: ask(Bucket(scheme, table, parts, {}), table["bucket"][0].as_py(), 1)
     bits = dealt.applyInArrow(begin, _SENT).groupBy("to").applyInArrow(answer, _BACK)
-    for round_ in (2, 3, 4):
+    for round_ in (2, 3, 4) if scheme.sieve else (2, 4):
         asked = dealt.cogroup(bits.groupBy("bucket")).applyInArrow(go_on(round_), _SENT)
         bits = asked.groupBy("to").applyInArrow(answer, _BACK)
     names = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}

@@ -66,11 +66,11 @@ def near_steps(radius: int) -> list[tuple[int, int]]:
 
 
 def compare_tile(table: pa.Table, radius: int) -> pa.Table:
-    """Links between a tile (role 0) and a block of rows near it (role 1), by the rows' numbers."""
+    """Links between a tile (role 0) and a block of rows near it (role 1), by the rows' nodes."""
     fp, role, node = (table[c].to_numpy() for c in ("fp", "role", "node"))
-    nodes, first, place = np.unique(node, return_index=True, return_inverse=True)
-    fps, left, right = fp.view(np.uint64)[first], place[role == 0], place[role == 1]
-    forest, step = Forest(len(nodes)), max(1, CELLS // max(1, len(right)))
+    fps, first, place = np.unique(fp.view(np.uint64), return_index=True, return_inverse=True)
+    nodes, left, right = node[first], place[role == 0], place[role == 1]
+    forest, step = Forest(len(fps)), max(1, CELLS // max(1, len(right)))
     for at in range(0, len(left), step):
         some = left[at : at + step]
         i, j = np.nonzero(np.bitwise_count(fps[some][:, None] ^ fps[right][None, :]) <= radius)
@@ -118,7 +118,8 @@ def near_copies(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int =
     component_id is the smallest doc_id that links of at most `radius` differing bits reach. Equal
     fingerprints are one node, so copies cost nothing; texts without words, null ones too, share
     fingerprint 0. A row without doc_id has a fingerprint but is in no group: its component_id is
-    null and it links nothing. Repeated rows stay repeated, no rows give no rows, other columns are
+    null and it links nothing. Rows with one doc_id are one document, so their groups are one. Repeated
+    rows stay repeated, no rows give no rows, other columns are
     not read."""
     prints = cut_lineage(fingerprints(docs, shingle))  # read again below
     nodes = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))

@@ -71,7 +71,7 @@ def byte_scheme(window: int) -> Scheme:
         first, last, row, start = runs_of(pieces, anchor, window)
         return HalfNames(sixteen, window // 2, first, last, anchor[first], anchors[anchor[first]], row, start)
 
-    return Scheme(window, 1 << 16, False, lambda text: text, batch)
+    return Scheme(window, 1 << 16, False, True, lambda text: text, batch)
 
 
 def finish(text: bytes, gone: np.ndarray) -> tuple[int, int, int, str, bytes]:
