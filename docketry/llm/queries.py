@@ -48,8 +48,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = tokens.with_tokens(table(spark, sf_dir, "documents"), RANKS, PATTERN)
-    return tokens.decoded(encoded, RANKS, data=False)
+    return tokens.encoded_and_decoded(table(spark, sf_dir, "documents"), RANKS, PATTERN, ids=False)
 
 
 @query

@@ -107,7 +107,7 @@ class Scheme:
     piece: int
     within: bool
     sieve: bool
-    elements: Callable[[bytes], object]
+    elements: Callable[[bytes], np.ndarray | bytes]
     batch: Callable[[list[tuple[int, int, object, int]]], Batch]
 
     def batches(self, texts: list) -> Iterator[Batch]:
@@ -388,8 +388,8 @@ def covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
-def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[object, np.ndarray], tuple], columns: dict[str, pa.DataType], bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, columns) of every row: what finish(elements, removed elements) says of its whole text.
+def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[bytes, np.ndarray], tuple], columns: dict[str, pa.DataType], bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(doc_id, columns) of every row: what finish(text, removed elements) says of its whole text.
 
     See the module for how the rounds are laid out."""
     total = text_bytes(docs)
@@ -411,9 +411,8 @@ def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[object, n
         row, place = row[order], place[order]
         out = []
         for k, text in enumerate(bucket.texts):
-            own = scheme.elements(text or b"")
             a, b = np.searchsorted(row, [k, k + 1])
-            out.append((bucket.ids[k], *finish(own, covered(len(own), place[a:b], scheme.window))))
+            out.append((bucket.ids[k], *finish(text or b"", covered(len(scheme.elements(text or b"")), place[a:b], scheme.window))))
         made = zip(*out, strict=True)
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(made, schema, strict=False)], schema=schema)
 

@@ -162,8 +162,9 @@ def decoded(rows: DataFrame, path: str, data: bool = True) -> DataFrame:
     return rows.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, columns)
 
 
-def encoded_and_decoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of every row of docs, in one pass."""
+def encoded_and_decoded(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row of docs, in one pass; without
+    `ids` that column is left out. Rows are treated as in `with_tokens`."""
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
 
     def run(batches):
@@ -171,13 +172,13 @@ def encoded_and_decoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
-                ids = [encode.ids(x) for x in part.column(1).to_pylist()]
-                text = [",".join(map(str, x)).encode() for x in ids]
-                sha = [pa.array([hashlib.sha256(x).hexdigest() for x in some], pa.string()) for some in (text, map(decode.data, ids))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, ids), pa.int64()), lists(ids), *sha], names)
+                got = [encode.ids(x) for x in part.column(1).to_pylist()]
+                text = [",".join(map(str, x)).encode() for x in got]
+                sha = [pa.array([hashlib.sha256(x).hexdigest() for x in some], pa.string()) for some in (text, map(decode.data, got))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, got), pa.int64()), *sha, *[lists(got)] * ids], names)
 
-    names = ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
-    columns = "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string"
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids]
+    columns = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
 
 
