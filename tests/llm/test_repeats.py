@@ -124,6 +124,21 @@ def test_anchors_follow_from_the_window_alone(scheme):
     assert seen and len(name_of) <= seen
 
 
+def test_words_are_split_and_named_alike_in_long_texts(monkeypatch):
+    monkeypatch.setattr(recompress, "STRETCH", 64)
+    rng = random.Random(1)
+    name_of = {}
+    for _ in range(60):
+        text = "".join(rng.choice(" \t\n\r\x0b\x0c" + "abé" * 3) for _ in range(rng.randrange(900))) + "x" * rng.choice((0, 300)) + " y"
+        words = text.encode().split()
+        names = recompress.word_names(text.encode())
+        assert len(names) == len(words)
+        for w, n in zip(words, names.tolist(), strict=True):
+            assert name_of.setdefault(w, n) == n
+    assert len(set(name_of.values())) == len(name_of)
+    assert len(recompress.word_names(b" \n ")) == len(recompress.word_names(b"")) == 0
+
+
 def test_names_of_documents_and_planes_round_trip():
     ids = np.array([5, 7, 1 << 40, LAST], np.int64)
     assert (repeats.unpacked(repeats.packed(ids), 4) == ids).all()
