@@ -25,7 +25,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Labels are those of `labels`; the model learns from the texts of docs that have one."""
     model = toxicity.fitted(docs, table(spark, sf_dir, "labels"), "toxic")
-    return without(docs, toxicity.severities(docs, model).where("toxic"))
+    return toxicity.below_limit(docs, model)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

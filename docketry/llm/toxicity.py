@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from docketry.session import cut_lineage
+
 #: At most so many labelled rows, those first by a hash of their number.
 SAMPLE = 20_000
 PLACES = 1 << 20
@@ -88,34 +90,36 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def kept_places(sets: list[np.ndarray], grade: np.ndarray, kept: int) -> np.ndarray:
+def by_chance(both, above, n_both: float, n_above: float):
+    """Chi-square statistic of a place that `both` of n_both documents have, `above` of n_above of
+    them above the lowest grade; numbers, arrays or columns."""
+    expected = both * n_above / n_both
+    return (above - expected) * (above - expected) / (expected * (1 - both / n_both) + 1e-9)
+
+
+def kept_places(sets: list[np.ndarray], grade: np.ndarray, kept: int = KEPT) -> np.ndarray:
     """Places that documents above the lowest grade have most clearly more often than the others.
 
     Of a million places some thousand pass a weaker test by chance and then raise clean documents."""
     high = grade > grade.min()
-    count = np.zeros((2, PLACES))
-    for side in (0, 1):
-        if some := [s for s, h in zip(sets, high, strict=True) if h == side]:
-            count[side] = np.bincount(np.concatenate(some), minlength=PLACES)
-    n = np.array([(~high).sum(), high.sum()], float)
-    both = count.sum(axis=0)
-    expected = both * n[1] / n.sum()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = np.where((both >= 3) & (count[1] > expected), (count[1] - expected) ** 2 / (expected * (1 - both / n.sum()) + 1e-9), 0)
+    count = [np.bincount(np.concatenate([np.empty(0, np.int64), *some]), minlength=PLACES) for some in (sets, [s for s, h in zip(sets, high, strict=True) if h])]
+    both, above = count[0].astype(float), count[1].astype(float)
+    chi = np.where((both >= 3) & (above * len(sets) > both * high.sum()), by_chance(both, above, len(sets), high.sum()), 0)
     best = np.argsort(-chi, kind="stable")[:kept]
     return np.sort(best[chi[best] > CHI])
 
 
-def fit_severity(sets: list[np.ndarray], grade: np.ndarray, kept: int = KEPT, steps: int = STEPS, penalty: float = 2e-4, rate: float = 0.05) -> Severity:
+def fit_severity(sets: list[np.ndarray], grade: np.ndarray, place: np.ndarray | None = None, steps: int = STEPS, penalty: float = 2e-4, rate: float = 0.05) -> Severity:
     """Weights and cuts of the least ordinal loss, by Adam steps over all rows.
 
-    The limit is the severity that tells the lowest grade from the others with the best F1 on the
-    rows. Rows of one grade only give no weights, and a limit that no document reaches."""
+    place: the places to use; else those kept_places() gives. The limit is the severity that tells
+    the lowest grade from the others with the best F1 on the rows. Rows of one grade only give no
+    weights, and a limit that no document reaches."""
     levels = np.unique(grade) if len(grade) else np.array([0])
     if len(levels) < 2:
         return Severity(np.empty(0, np.int64), np.empty(0), np.zeros(1), np.inf)
     level = np.searchsorted(levels, grade)
-    place = kept_places(sets, grade, kept)
+    place = kept_places(sets, grade) if place is None else place
     at = [np.searchsorted(place, s[np.isin(s, place)]) for s in sets]
     row = np.repeat(np.arange(len(sets)), [len(a) for a in at])
     col = np.concatenate(at).astype(np.int64)
@@ -160,9 +164,12 @@ def best_limit(severity: np.ndarray, toxic: np.ndarray) -> float:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, grade: str, sample: int = SAMPLE) -> Severity:
-    """Fitted on the labelled documents with a grade; of more than `sample` those first by a hash."""
-    known = labels.where(F.col(grade).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.max(grade).alias("grade"))
-    first = known.orderBy(F.xxhash64("of"), "of").limit(sample)
+    """Fitted on the labelled documents with a grade; of more than `sample` those first by a hash.
+
+    The sample's numbers are broadcast. Places are counted and chosen in Spark; the driver gets the
+    kept places and which of them each document of the sample has."""
+    known = labels.where(F.col(grade).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.max(grade).cast("long").alias("grade"))
+    first = F.broadcast(known.orderBy(F.xxhash64("of"), "of").limit(sample))
 
     def run(batches):
         for b in batches:
@@ -170,32 +177,54 @@ def fitted(docs: DataFrame, labels: DataFrame, grade: str, sample: int = SAMPLE)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), sets], ["doc_id", "grade", "places"])
 
     own = docs.select(F.col("doc_id").cast("long"), "text").join(first, F.col("doc_id") == F.col("of"))
-    told = own.select("doc_id", F.col("grade").cast("long"), "text").mapInArrow(run, "doc_id long, grade long, places array<int>")
-    table = told.orderBy("doc_id", F.size("places")).toArrow()
-    flat = table["places"].combine_chunks()
-    flat = flat if isinstance(flat, pa.Array) else pa.concat_arrays(flat.chunks)
-    values, bounds = flat.flatten().to_numpy(), np.cumsum(np.r_[0, flat.value_lengths().to_numpy()])
-    sets = [values[a:z].astype(np.int64) for a, z in zip(bounds[:-1], bounds[1:], strict=True)]
-    return fit_severity(sets, table["grade"].to_numpy())
+    told = own.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade long, places array<int>")
+    told = cut_lineage(told.groupBy("doc_id", "grade").agg(F.min("places").alias("places")))  # repeated rows count once
+    low, n = told.agg(F.min("grade"), F.count("*")).first()
+    if not n:
+        return fit_severity([], np.empty(0, np.int64))
+    n_above = told.where(F.col("grade") > low).count()
+    counted = told.select((F.col("grade") > low).cast("int").alias("high"), F.explode("places").alias("place")).groupBy("place").agg(F.count("*").alias("both"), F.sum("high").alias("above"))
+    chi = by_chance(F.col("both"), F.col("above"), n, n_above)
+    clear = counted.where((F.col("both") >= 3) & (F.col("above") * n > F.col("both") * n_above) & (chi > CHI))
+    place = np.sort(np.array([r["place"] for r in clear.orderBy(chi.desc(), "place").limit(KEPT).collect()], np.int64))
+    has = F.array_intersect("places", F.array(*map(F.lit, place.tolist())).cast("array<int>")) if len(place) else F.array().cast("array<int>")
+    rows = told.select("doc_id", "grade", has.alias("has")).orderBy("doc_id").collect()
+    return fit_severity([np.sort(np.array(r["has"], np.int64)) for r in rows], np.array([r["grade"] for r in rows]), place)
+
+
+def scorer(docs: DataFrame, model: Severity):
+    """A function for tasks that gives texts' severities; the weights, of fixed number, are broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.table(), model.cuts))
+
+    def score(texts: list) -> np.ndarray:
+        weight, cuts = shared.value
+        strength = np.array([weight[feature_places(t)].sum(dtype=np.float64) for t in texts], np.float64)
+        return logistic(strength[:, None] - cuts[None, :]).sum(axis=1)
+
+    return score
 
 
-def severities(docs: DataFrame, model: Severity, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `keep`, severity and toxic of every row of docs (doc_id, text)."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((model.table(), model.cuts))  # PLACES numbers and the cuts
-    limit = model.limit
+def severities(docs: DataFrame, model: Severity) -> DataFrame:
+    """(doc_id, severity, toxic) of every row of docs (doc_id, text)."""
+    score, limit = scorer(docs, model), model.limit
+
+    def run(batches):
+        for b in batches:
+            got = score(b.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.float64()), pa.array(got >= limit)], ["doc_id", "severity", "toxic"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, severity double, toxic boolean")
+
+
+def below_limit(docs: DataFrame, model: Severity) -> DataFrame:
+    """The rows of docs, all columns, whose severity is below the model's limit."""
+    score, limit, at = scorer(docs, model), model.limit, docs.columns.index("text")
 
     def run(batches):
-        weight, cuts = shared.value
-        one = Severity(np.empty(0), np.empty(0), cuts, limit)
         for b in batches:
-            strength = np.array([weight[feature_places(t)].sum(dtype=np.float64) for t in b.column(b.num_columns - 1).to_pylist()])
-            got = one.severity(strength)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.float64()), pa.array(got >= limit)], [*b.schema.names[:-1], "severity", "toxic"])
+            yield b.filter(pa.array(score(b.column(at).to_pylist()) < limit))
 
-    own = docs.select(*keep, F.col("text").alias("text of the row"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
-    return own.mapInArrow(run, f"{kinds}, severity double, toxic boolean")
+    return docs.mapInArrow(run, docs.schema)
 
 
 def graded(docs: DataFrame, labels: DataFrame, grade: str = "toxic", sample: int = SAMPLE) -> DataFrame:
@@ -207,4 +236,4 @@ def graded(docs: DataFrame, labels: DataFrame, grade: str = "toxic", sample: int
     texts have no features and get the severity of the cuts alone. With labels of one level or none
     nothing is toxic. Repeated rows stay repeated, a null doc_id stays null, no rows give no rows,
     other columns are not read."""
-    return severities(docs.withColumn("doc_id", F.col("doc_id").cast("long")), fitted(docs, labels, grade, sample))
+    return severities(docs, fitted(docs, labels, grade, sample))

@@ -27,8 +27,7 @@ def plain(rows, labels, items, ranks):
     model = toxicity.fit_severity([toxicity.feature_places(t) for _, t in known], np.array([grade[d] for d, _ in known]))
     weight = model.table()
     strength = np.array([weight[toxicity.feature_places(t)].sum(dtype=np.float64) for _, t in rows])
-    bad = {d for (d, _), s in zip(rows, model.severity(strength), strict=True) if s >= model.limit and d is not None}
-    rows = [r for r in rows if r[0] not in bad]
+    rows = [r for r, s in zip(rows, model.severity(strength), strict=True) if s < model.limit]
     away = {d for d, _, c in by_simhash(rows) if d is not None and d != c}
     rows = [r for r in rows if r[0] not in away]
     held = {p[0] for p in by_sets(rows, items)}
