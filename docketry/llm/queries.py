@@ -83,3 +83,65 @@ def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds."""
     return contain.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# ---- the same in SQL, by comparing everything with everything
+
+SQL["op2_sharding"] = f"""
+with recursive p as (select s, ('0x' || substr(md5(name || '/offset'), 1, 15))::bigint % {SLOTS} as first_slot, ('0x' || substr(md5(name || '/skip'), 1, 15))::bigint % {SLOTS - 1} + 1 as skip
+  from (select i as s, 'shard-' || lpad(i::varchar, 2, '0') as name from range({len(SHARDS)}) t(i))),
+fill(turn, slot, taken) as (
+  select -1::bigint, -1::bigint, bitstring('0', {SLOTS}) union all
+  select turn + 1, x, set_bit(taken, x::int, 1) from (
+    select turn, taken, (first_slot + list_filter(range({SLOTS}), lambda j: get_bit(taken, ((first_slot + j * skip) % {SLOTS})::int) = 0)[1] * skip) % {SLOTS} as x
+    from fill join p on s = (turn + 1) % {len(SHARDS)} where turn < {SLOTS - 1}))
+select doc_id, slot::int as slot, (turn % {len(SHARDS)})::int as shard, 'shard-' || lpad((turn % {len(SHARDS)})::varchar, 2, '0') as shard_name
+from (select doc_id, ('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint % {SLOTS} as slot from documents) join (select turn, slot from fill where turn >= 0) using (slot)
+"""
+
+SQL["op3_suffix_dedup"] = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, '')))::bigint as n from documents),
+w as (select doc_id, i, substr(h, 2 * i + 1, 100) as s from (select doc_id, h, unnest(range(0, n - 49)) as i from d)),
+bad as (select doc_id, i from (select doc_id, i, min(doc_id) over (partition by s) as earliest from w) where earliest < doc_id),
+marked as (select *, case when i <= lag(i) over (partition by doc_id order by i) + 50 then 0 else 1 end as opens from bad),
+spans as (select doc_id, min(i) as a, max(i) + 50 as z from (select *, sum(opens) over (partition by doc_id order by i) as g from marked) group by doc_id, g),
+listed as (select doc_id, list(a order by a) as a, list(z order by a) as z, sum(z - a)::bigint as removed, count(*) as many from spans group by 1)
+select doc_id, n as n_bytes, coalesce(removed, 0) as n_removed, coalesce(many, 0) as n_spans,
+  sha256(unhex(case when many is null then h else substr(h, 1, 2 * a[1]) ||
+    array_to_string(list_transform(range(1, many + 1), lambda k: substr(h, 2 * z[k] + 1, 2 * (coalesce(a[k + 1], n) - z[k]))), '') end)) as kept_sha256
+from d left join listed using (doc_id)
+"""
+
+_WORDS = r"list_filter(regexp_split_to_array(coalesce({}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+SQL["op9_recompression"] = f"""
+with d as (select doc_id, {_WORDS.format("text")} as ws from documents),
+w as (select doc_id, i, ws[i : i + 19] as s from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as i from d)),
+bad as (select doc_id, i from (select doc_id, i, row_number() over (partition by s order by doc_id, i) as r from w) where r > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as i from bad),
+per as (select doc_id, list(i) as places, count(*) as n from gone group by 1)
+select doc_id, len(ws)::bigint as n_words, coalesce(n, 0) as n_removed,
+  sha256(array_to_string(case when n is null then ws else list_transform(list_filter(range(1, len(ws) + 1), lambda k: not list_contains(places, k)), lambda k: ws[k]) end, ' ')) as kept_sha256
+from d left join per using (doc_id)
+"""
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op10_decontamination"] = f"""
+with grams as (select distinct doc_id, array_to_string(ws[i : i + 4], ' ') as g from (
+    select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from (select doc_id, {_WORDS.format(_LOWER.format("text"))} as ws from documents))),
+items as (select distinct item_id, array_to_string(ws[i : i + 4], ' ') as g from (
+    select item_id, ws, unnest(range(1, len(ws) - 3)) as i from (select item_id, {_WORDS.format(_LOWER.format("text"))} as ws from benchmark))),
+size as (select item_id, count(*) as n from items group by 1)
+select doc_id, item_id, n as n_shingles, count(*) as n_shared, count(*)::double / n as containment
+from grams join items using (g) join size using (item_id) group by doc_id, item_id, n having count(*) >= 0.8::double * n
+"""
+
+SQL["op8_embeddings"] = """
+with recursive pairs as (select a.vec_id as x, b.vec_id as y from embeddings a join embeddings b on a.vec_id <> b.vec_id
+  and list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= 0.9),
+reach as (select vec_id as x, vec_id as y from embeddings union select r.x, p.y from reach r join pairs p on p.x = r.y),
+least as (select x as vec_id, min(y) as component_id from reach group by 1)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from least left join (select x as vec_id, count(*) as n from pairs group by 1) using (vec_id)
+"""
