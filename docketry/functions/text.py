@@ -112,8 +112,9 @@ def words(text: Column) -> Column:
 
 
 def element_key(collection: Column, file_name: Column, page: Column, location: Column) -> Column:
-    """Key of a stored picture: collection, file, page and the box to four places."""
-    box = F.array_join(F.transform(location, lambda x: F.round(x, 4).cast("string")), "_")
+    """Key of a stored picture: collection, file, page and the box to four places, in decimals."""
+    plain = lambda x: F.regexp_replace(F.round(x, 4).cast("decimal(38,4)").cast("string"), r"(\.\d+?)0+$", "$1")
+    box = F.array_join(F.transform(location, plain), "_")
     return F.concat(
         collection, F.lit("_::_"), file_name, F.lit("_::_"), page.cast("string"), F.lit("_"), box
     )

@@ -11,23 +11,35 @@ from pyspark.sql import functions as F
 from docketry.functions.rows import bind
 from docketry.functions.text import trim_all
 
-# Accepted spellings, as Spark pattern and Python pattern.
+# Accepted spellings after `_normal`, as Spark pattern and Python pattern.
 TIME_FORMATS = (
     ("yyyy/M/d H:mm:ss", "%Y/%m/%d %H:%M:%S"),
     ("yyyy/M/d H:mm", "%Y/%m/%d %H:%M"),
+    ("yyyy/M/d h:mm a", "%Y/%m/%d %I:%M %p"),
     ("yyyy/M/d", "%Y/%m/%d"),
     ("M/d/yyyy H:mm:ss", "%m/%d/%Y %H:%M:%S"),
     ("M/d/yyyy H:mm", "%m/%d/%Y %H:%M"),
+    ("M/d/yyyy h:mm a", "%m/%d/%Y %I:%M %p"),
     ("M/d/yyyy", "%m/%d/%Y"),
-    ("MMMM d, yyyy h:mm a", "%B %d, %Y %I:%M %p"),
-    ("MMMM d, yyyy H:mm", "%B %d, %Y %H:%M"),
-    ("MMMM d, yyyy", "%B %d, %Y"),
-    ("MMM d, yyyy h:mm a", "%b %d, %Y %I:%M %p"),
-    ("MMM d, yyyy H:mm", "%b %d, %Y %H:%M"),
-    ("MMM d, yyyy", "%b %d, %Y"),
-    ("d MMMM yyyy", "%d %B %Y"),
+    ("MMM d yyyy h:mm a", "%b %d %Y %I:%M %p"),
+    ("MMM d yyyy H:mm", "%b %d %Y %H:%M"),
+    ("MMM d yyyy", "%b %d %Y"),
+    ("d MMM yyyy h:mm a", "%d %b %Y %I:%M %p"),
+    ("d MMM yyyy H:mm", "%d %b %Y %H:%M"),
     ("d MMM yyyy", "%d %b %Y"),
 )
+#: What brings a spelling to the form of the formats: pattern and replacement, in order; letters are
+#: in the case of a name before. Full month names become short ones, commas after the day go, a day
+#: and a month may be joined by hyphens, and eight digits are year, month and day.
+NORMAL = (
+    (r"(?i)(?<=\d) ?am$", " AM"),
+    (r"(?i)(?<=\d) ?pm$", " PM"),
+    (r"\b(Jan)uary\b|\b(Feb)ruary\b|\b(Mar)ch\b|\b(Apr)il\b|\b(Jun)e\b|\b(Jul)y\b|\b(Aug)ust\b|\b(Sep)tember\b|\b(Oct)ober\b|\b(Nov)ember\b|\b(Dec)ember\b", "".join(f"${i}" for i in range(1, 12))),
+    (r"^([A-Z][a-z]{2} \d{1,2}),? (?=\d{4}\b)", "$1 "),
+    (r"^(\d{1,2})-([A-Z][a-z]{2})-(?=\d{4}\b)", "$1 $2 "),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1/$2/$3"),
+    (r"^(\d{4})-(\d{1,2})-(\d{1,2}) (?=.*[AP]M$)", "$1/$2/$3 "),
+)
 ISO_SHAPE = r"^\d{4}-\d{1,2}(-\d{1,2}([T ].*)?)?$"
 
 
@@ -52,9 +64,10 @@ def parse_time(text: Column) -> Column:
 
 def _read_time(plain: Column) -> Column:
     iso = F.when(F.regexp_like(plain, F.lit(ISO_SHAPE)), plain.try_cast("timestamp"))
-    cased = F.initcap(F.lower(plain))
-    cased = F.regexp_replace(cased, r"(?i)(?<=\d) ?am$", " AM")
-    cased = F.regexp_replace(cased, r"(?i)(?<=\d) ?pm$", " PM")
+    # a hyphen joins no words for initcap
+    cased = F.regexp_replace(F.initcap(F.regexp_replace(F.lower(plain), "-", " - ")), " - ", "-")
+    for pattern, put in NORMAL:
+        cased = F.regexp_replace(cased, pattern, put)
 
     def listed(text: Column) -> Column:
         return F.coalesce(
@@ -67,6 +80,14 @@ def _read_time(plain: Column) -> Column:
     return F.coalesce(iso, bind(cased, listed))
 
 
+def _normal(text: str) -> str:
+    """What `_read_time` makes of a spelling before it tries the formats."""
+    text = re.sub(r"[a-z]+", lambda m: m[0].capitalize(), text.lower())
+    for pattern, put in NORMAL:
+        text = re.sub(pattern, re.sub(r"\$(\d+)", r"\\g<\1>", put), text)
+    return text
+
+
 def is_date_only(text: str) -> bool:
     """No clock part: neither a colon nor an hour after an ISO date."""
     _, mark, tail = text.partition("T")
@@ -81,9 +102,10 @@ def literal_time(text: str) -> datetime:
         found = datetime.fromisoformat(text)
     except ValueError:
         found = None
+        normal = _normal(text)
         for _, python_format in TIME_FORMATS:
             try:
-                found = datetime.strptime(text, python_format)
+                found = datetime.strptime(normal, python_format)
                 break
             except ValueError:
                 continue

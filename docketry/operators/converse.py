@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.functions.text import escape_braces, trim_all
-from docketry.operators.ordered import PART_ROWS, joined_in_order
+from docketry.operators.ordered import joined_in_order
 
 HISTORY_MESSAGES = 30
 
@@ -35,14 +35,14 @@ def history_text(messages: DataFrame, n: int = HISTORY_MESSAGES) -> DataFrame:
     )
 
 
-def combined_query(messages: DataFrame, last_n: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+def combined_query(messages: DataFrame, last_n: int | None = None, part_rows: int | None = None) -> DataFrame:
     """User texts in order joined by ". ", the asked one last: all, or the last_n before it.
 
-    One row per conversation and part; a conversation of ordinary length is part 0.
+    One row per conversation; with part_rows one per part, see `joined_in_order`.
     """
     users = messages.where(F.col("role") == "user")
     if last_n is not None:
-        users, part_rows = last_messages(users, last_n + 1), None
+        users = last_messages(users, last_n + 1)
     return joined_in_order(users, ["conv_id"], "turn", "text", ". ", part_rows)
 
 
@@ -77,24 +77,17 @@ def split_request(messages: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def system_prompt(messages: DataFrame, base: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """The base prompt followed by the system messages, in parts as in `combined_query`.
+def system_prompt(messages: DataFrame, base: str) -> DataFrame:
+    """The base prompt followed by the system messages in order, one row per conversation.
 
     A conversation without system messages has the base prompt alone.
     """
-    said = joined_in_order(
-        messages.where(F.col("role") == "system"), ["conv_id"], "turn", "text", " ", part_rows
-    )
+    said = joined_in_order(messages.where(F.col("role") == "system"), ["conv_id"], "turn", "text", " ")
     every = messages.select("conv_id").distinct().join(said, "conv_id", "left")
-    first = F.coalesce("part_no", F.lit(0)) == 0
-    return every.select(
-        "conv_id",
-        F.coalesce("part_no", F.lit(0)).alias("part_no"),
-        F.concat_ws(" ", F.when(first, F.lit(base)), "text").alias("prompt"),
-    )
+    return every.select("conv_id", F.concat_ws(" ", F.lit(base), "text").alias("prompt"))
 
 
-def question_answer_text(pairs: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def question_answer_text(pairs: DataFrame, part_rows: int | None = None) -> DataFrame:
     """Question and answer blocks in order, three line breaks between: conv_id, pos, question, answer."""
     block = pairs.withColumn(
         "block", F.concat(F.lit("Question: "), "question", F.lit("\nAnswer: "), "answer")

@@ -16,7 +16,6 @@ from docketry.session import cut_lineage
 
 # Cuts at which recall is measured.
 RECALL_AT = (1, 3, 5, 10)
-EVALUATION_ROWS = 50
 
 
 def page_name(document: Column, page: Column) -> Column:
@@ -185,13 +184,15 @@ def mean_recall(recall: DataFrame, top_k: int, questions: DataFrame | None = Non
 
 
 def evaluation_set(
-    questions: DataFrame, contexts: DataFrame, responses: DataFrame, n: int = EVALUATION_ROWS
+    questions: DataFrame, contexts: DataFrame, responses: DataFrame, n: int | None = None
 ) -> DataFrame:
-    """First n questions with their contexts in rank order, response and reference.
+    """All questions, or the first n, with their contexts in rank order, response and reference.
 
     `contexts` (question_id, rank, text) is cut to k per question before.
     """
-    first = questions.select("question_id", "question", "reference").orderBy("question_id").limit(n)
+    first = questions.select("question_id", "question", "reference")
+    if n is not None:
+        first = first.orderBy("question_id").limit(n)
     listed = F.sort_array(F.collect_list(F.struct("rank", "text")))
     per_question = (
         contexts.join(first.select("question_id"), "question_id", "left_semi")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from docketry.functions.chunking import split_long_text
 from docketry.functions.rows import exploded
 from docketry.functions.text import base_name, element_key, extension, tokens
-from docketry.operators.ordered import PART_ROWS, joined_in_order
+from docketry.operators.ordered import joined_in_order
 from docketry.sources.tables import first_per_key
 
 # File kinds that are refused, and those with the audio size limit.
@@ -34,15 +34,12 @@ MAX_FIELDS = 10_000
 def size_reason(
     name: Column, length: Column, accepted=ACCEPTED, max_mb: float = 400, max_audio_mb: float | None = None
 ) -> Column:
-    """Why a file may not be uploaded, null if it may."""
+    """Why a file may not be uploaded, null if it may; audio has a reason of its own if it has a limit."""
     kind = extension(name)
-    is_audio = kind.isin(*AUDIO)
-    audio_limit = max_audio_mb or max_mb
-    return (
-        F.when(~kind.isin(*accepted), "file type not supported")
-        .when(is_audio & (length > audio_limit * 1024 * 1024), "audio file too large")
-        .when(length > max_mb * 1024 * 1024, "file too large")
-    )
+    reason = F.when(~kind.isin(*accepted), "file type not supported")
+    if max_audio_mb:
+        reason = reason.when(kind.isin(*AUDIO) & (length > max_audio_mb * 1024 * 1024), "audio file too large")
+    return reason.when(length > max_mb * 1024 * 1024, "file too large")
 
 
 def gate_files(
@@ -214,8 +211,8 @@ def payload_rows(elements: DataFrame) -> DataFrame:
     )
 
 
-def document_texts(chunks: DataFrame, pos: str = "pos", part_rows: int = PART_ROWS) -> DataFrame:
-    """Whole text of each document in parts: element texts joined by a blank."""
+def document_texts(chunks: DataFrame, pos: str = "pos", part_rows: int | None = None) -> DataFrame:
+    """Whole text of each document: element texts joined by a blank; in parts if part_rows is given."""
     return joined_in_order(chunks, ["collection", "source_name"], pos, "text", " ", part_rows)
 
 
@@ -279,12 +276,13 @@ def fold_summaries(
 ) -> DataFrame:
     """One summary per document: the first piece starts it, each further one updates it.
 
-    Pieces of a document stream through one task in order and only the running
-    summary is held, so a document of any length fits.
+    Pieces are those of the whole text, whether it comes whole or in parts (part_no), so the result
+    depends on the text alone. They stream through one task in order; only the running summary is held.
     """
     keys = ["collection", "source_name"]
-    pieces = split_long_text(parts, "text", limit, overlap).select(*keys, "part_no", "piece_no", "piece")
-    sorted_pieces = pieces.repartition(*keys).sortWithinPartitions(*keys, "part_no", "piece_no")
+    whole = joined_in_order(parts, keys, "part_no", "text", " ") if "part_no" in parts.columns else parts
+    pieces = split_long_text(whole, "text", limit, overlap).select(*keys, "piece_no", "piece")
+    sorted_pieces = pieces.repartition(*keys).sortWithinPartitions(*keys, "piece_no")
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, summary = None, None

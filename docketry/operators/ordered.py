@@ -1,26 +1,26 @@
-"""Ordered joining of many rows' texts into few, without one large group."""
+"""Joining of many rows' texts into one per key, in order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PART_ROWS = 1_000
-
 
 def joined_in_order(
-    df: DataFrame, keys: list[str], order: str, text: str, separator: str, part_rows: int | None = PART_ROWS
+    df: DataFrame, keys: list[str], order: str, text: str, separator: str, part_rows: int | None = None
 ) -> DataFrame:
-    """Texts joined in order: one row per key and part, with keys, part_no and text.
+    """Texts joined in order of `order`: one row per key, with keys and text.
 
-    `order` is a whole number that does not repeat within a key. A part covers
-    `part_rows` of its values, so however long a key's list is, no task gathers
-    more than one part of it; a key with fewer rows has the one part 0. Lists that
-    were cut to a few rows before need no parts (None).
+    The result holds a key's whole text in one cell, so that much is in one task's memory. A caller
+    who wants less asks for parts of `part_rows` rows each; the rows then also have part_no, and the
+    texts of a key's parts joined in order give its whole text.
     """
-    part = F.lit(0) if part_rows is None else F.floor(F.col(order) / part_rows).cast("int")
+    if part_rows is not None:
+        by = Window.partitionBy(*keys).orderBy(order)
+        df = df.withColumn("part_no", F.floor((F.row_number().over(by) - 1) / part_rows).cast("int"))
+        keys = [*keys, "part_no"]
     return (
-        df.groupBy(*keys, part.alias("part_no"))
+        df.groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("x")))).alias("xs"))
-        .select(*keys, "part_no", F.array_join(F.transform("xs", lambda e: e["x"]), separator).alias("text"))
+        .select(*keys, F.array_join(F.transform("xs", lambda e: e["x"]), separator).alias("text"))
     )

@@ -45,14 +45,14 @@ def history_lines(spark, sf):
 
 
 @query("""
-select conv_id, floor(turn / 1000)::int as part_no, string_agg(text, '. ' order by turn) as text from conversations where role = 'user' group by 1, 2
+select conv_id, string_agg(text, '. ' order by turn) as text from conversations where role = 'user' group by 1
 """)
 def combined_queries(spark, sf):
     return converse.combined_query(messages(spark, sf))
 
 
 @query("""
-select conv_id, 0::int as part_no, string_agg(text, '. ' order by turn) as text from (
+select conv_id, string_agg(text, '. ' order by turn) as text from (
   select *, row_number() over (partition by conv_id order by turn desc) as rn from conversations where role = 'user') where rn <= 2 group by 1
 """)
 def combined_with_last(spark, sf):
@@ -82,7 +82,7 @@ def request_history(spark, sf):
 
 
 @query("""
-select conv_id, 0::int as part_no, 'Answer briefly.' || coalesce(' ' || string_agg(text, ' ' order by turn) filter (role = 'system'), '') as prompt
+select conv_id, 'Answer briefly.' || coalesce(' ' || string_agg(text, ' ' order by turn) filter (role = 'system'), '') as prompt
 from conversations group by 1
 """)
 def system_prompts(spark, sf):
@@ -90,12 +90,11 @@ def system_prompts(spark, sf):
 
 
 @query(f"""
-with {SQL_TALKS}, s as (select conv_id, floor(turn / 1000)::int as part_no, string_agg(text, ' ' order by turn) as text from talks where role = 'system' group by 1, 2)
-select c.conv_id, coalesce(part_no, 0) as part_no, concat_ws(' ', case when coalesce(part_no, 0) = 0 then 'Answer briefly.' end, text) as prompt
-from (select distinct conv_id from talks) c left join s using (conv_id)
+with {SQL_TALKS} select conv_id, 'Answer briefly.' || coalesce(' ' || string_agg(text, ' ' order by turn) filter (role = 'system'), '') as prompt
+from talks group by 1
 """)
 def system_prompts_of_long_talks(spark, sf):
-    """System texts of long conversations come in parts, so none is gathered whole."""
+    """Turns of many thousands, so the order column is no count of messages."""
     return converse.system_prompt(long_talks(spark, sf), "Answer briefly.")
 
 
@@ -130,10 +129,10 @@ def multipart_content(spark, sf):
 
 
 @query("""
-select q.conv_id, floor(q.turn / 1000)::int as part_no,
+select q.conv_id,
   string_agg('Question: ' || q.text || chr(10) || 'Answer: ' || a.text, chr(10) || chr(10) || chr(10) order by q.turn) as text
 from conversations q join conversations a on a.conv_id = q.conv_id and a.turn = q.turn + 1
-where q.role = 'user' and a.role = 'assistant' group by 1, 2
+where q.role = 'user' and a.role = 'assistant' group by 1
 """)
 def question_answer_texts(spark, sf):
     return converse.question_answer_text(converse.question_answer_pairs(messages(spark, sf)))

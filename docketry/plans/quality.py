@@ -220,7 +220,7 @@ def alike_pages(spark, sf):
 
 
 SQL_EVALUATION = f"""
-with {SQL_DOCS}, {SQL_DENSE.format(k=2)}, first as (select * from asked order by query_id limit 50),
+with {SQL_DOCS}, {SQL_DENSE.format(k=2)}, first as (select * from asked),
 e as (select query_id as question_id, f.text as question, lower(f.text) as reference,
   (select string_agg(d.text, '|' order by rank) from dense d where d.query_id = f.query_id and d.collection = 'en') as contexts,
   f.text[-20:] as response from first f)

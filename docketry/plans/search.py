@@ -192,7 +192,7 @@ hybrid as (select * from (select *, row_number() over (partition by query_id, co
 @query(SQL_HYBRID + "select query_id, collection, chunk_id, coalesce(dense_rank, 0) as dense_rank, coalesce(sparse_rank, 0) as sparse_rank, score, rank from hybrid")
 def hybrid_top_k(spark, sf):
     search.check_search("hybrid", ["documents"], rerank=False)
-    hits = hybrid_hits(spark, sf)
+    hits = hybrid_hits(spark, sf).withColumn("score", F.round("score", 9))
     for name in ("rank", "dense_rank", "sparse_rank"):
         hits = _long_rank(hits, name).fillna(0, [name])
     return hits

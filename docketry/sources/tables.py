@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 HISTORY_TYPE = (
     "version long, timestamp timestamp, operation string, rows_written long, "
-    "rows_inserted long, rows_updated long, rows_deleted long, batch_id long, "
+    "rows_inserted long, rows_updated long, rows_deleted long, stream string, batch_id long, "
     "folders array<string>, row_type string"
 )
 MARK = "_mark"
@@ -86,7 +86,7 @@ class VersionedTable:
 
     def _commit(
         self, entry: Row | None, df: DataFrame, operation: str, marks: dict[str, Column] | None = None,
-        kept: list[str] | None = None, batch_id: int | None = None,
+        kept: list[str] | None = None, batch: tuple[str, int] | None = None,
     ) -> int:
         """Write df as the version after `entry`, beside the `kept` folders of that one; without
         them df is the whole table."""
@@ -107,7 +107,7 @@ class VersionedTable:
         added = sizes.get("rows_inserted", 0)
         rows = sizes["seen"] if kept is None else entry["rows_written"] + added - gone
         row = (
-            version, datetime.now(UTC), operation, rows, added, sizes.get("rows_updated", 0), gone, batch_id,
+            version, datetime.now(UTC), operation, rows, added, sizes.get("rows_updated", 0), gone, *(batch or (None, None)),
             [*(kept or []), *self._folders(version, row_type)], row_type.json(),
         )
         self.spark.createDataFrame([row], HISTORY_TYPE).coalesce(1).write.mode("append").json(
@@ -117,7 +117,7 @@ class VersionedTable:
 
     def _change(
         self, entry: Row, touched: DataFrame, change, operation: str, marks: dict[str, Column],
-        added: DataFrame | None = None, batch_id: int | None = None,
+        added: DataFrame | None = None, batch: tuple[str, int] | None = None,
     ) -> int:
         """Rewrite the partitions of the `touched` rows through `change`, add the `added` rows."""
         current, folders = self._rows(entry), entry["folders"]
@@ -135,16 +135,16 @@ class VersionedTable:
         rows = change(current)
         if added is not None:
             rows = rows.unionByName(added)
-        return self._commit(entry, rows, operation, marks, kept, batch_id)
+        return self._commit(entry, rows, operation, marks, kept, batch)
 
-    def overwrite(self, df: DataFrame, batch_id: int | None = None) -> int:
-        return self._commit(self._entry(), df, "write", batch_id=batch_id)
+    def overwrite(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
+        return self._commit(self._entry(), df, "write", batch=batch)
 
-    def append(self, df: DataFrame, batch_id: int | None = None) -> int:
+    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
         entry = self._require()
         columns = T.StructType.fromJson(json.loads(entry["row_type"])).names
         return self._commit(
-            entry, df.select(*columns), "append", {"rows_inserted": F.lit(1)}, entry["folders"], batch_id,
+            entry, df.select(*columns), "append", {"rows_inserted": F.lit(1)}, entry["folders"], batch,
         )
 
     def update(self, condition: Column, values: dict[str, Column]) -> int:
@@ -172,7 +172,7 @@ class VersionedTable:
 
     def merge(
         self, source: DataFrame, keys: list[str], update: dict[str, Column] | None = None,
-        insert: bool = True, batch_id: int | None = None,
+        insert: bool = True, batch: tuple[str, int] | None = None,
     ) -> int:
         """Update matched rows and insert unmatched ones; see `merge_rows`."""
         entry = self._require()
@@ -186,7 +186,7 @@ class VersionedTable:
             "merge",
             {"rows_updated": F.col(MARK) == "update", "rows_inserted": F.col(MARK) == "insert"},
             added,
-            batch_id,
+            batch,
         )
 
     def dedupe(self, keys: list[str], order: list[Column]) -> int:

@@ -30,22 +30,29 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, available_now:
 
 def merge_stream(
     stream: DataFrame, table: VersionedTable, keys: list[str], order: list[str], checkpoint: str,
-    available_now: bool = False, update: dict[str, Column] | None = None,
+    available_now: bool = False, update: dict[str, Column] | None = None, name: str | None = None,
 ) -> StreamingQuery:
     """Merge each batch into a table; the last row of a key by `order` counts.
 
-    The batch id is kept with the version, so a batch that is played again is skipped.
+    The stream's name and the batch id are kept with the version, so a batch that is played again is
+    skipped, and batches of other streams into the same table are not. The name is the checkpoint
+    folder unless given; a stream that gets a new checkpoint keeps its identity by its name.
     """
+    stream_name = name or checkpoint
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        if not table.history().where(F.col("batch_id") == batch_id).isEmpty():
+        done = (F.col("stream") == stream_name) & (F.col("batch_id") == batch_id)
+        if not table.history().where(done).isEmpty():
             return
         latest = F.max_by(F.struct(*batch.columns), F.struct(*order))
-        once = batch.groupBy(*keys).agg(latest.alias("r")).select("r.*")
-        if table.latest() is None:
-            table.overwrite(once, batch_id)
-        else:
-            table.merge(once, keys, update, batch_id=batch_id)
+        once = batch.groupBy(*keys).agg(latest.alias("r")).select("r.*").persist()
+        try:
+            if table.latest() is None:
+                table.overwrite(once, (stream_name, batch_id))
+            else:
+                table.merge(once, keys, update, batch=(stream_name, batch_id))
+        finally:
+            once.unpersist()
 
     writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     if available_now:

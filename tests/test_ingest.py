@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions.chunking import split_by_kind, split_long_text, split_separators, split_tokens
 from docketry.functions.text import extension, stem
+from docketry.functions.text import element_key
 from docketry.operators import ingest
 
 
@@ -30,6 +31,14 @@ def test_size_reasons(spark):
         "a.mp3": None, "b.MP3": "audio file too large", "c.txt": None, "d.txt": "file too large",
         "e.exe": "file type not supported", "noext": "file type not supported",
     }
+    plain = files.select("name", ingest.size_reason(F.col("name"), F.col("length"), max_mb=50).alias("r"))
+    assert {r.name: r.r for r in plain.collect()}["b.MP3"] == "file too large"
+
+
+def test_picture_keys_are_in_decimals(spark):
+    df = spark.createDataFrame([("c", "f.pdf", 3, [0.0005, 12345678.5, 2.0, 0.12345])], "c string, f string, p int, box array<double>")
+    got = df.select(element_key(F.col("c"), F.col("f"), F.col("p"), F.col("box")).alias("k")).first().k
+    assert got == "c_::_f.pdf_::_3_0.0005_12345678.5_2.0_0.1235"
 
 
 def test_reports(spark):
@@ -158,14 +167,23 @@ def test_documents_in_parts_and_folded(spark):
     got = {(r.source_name, r.part_no): r.text for r in parts.collect()}
     assert got[("a", 0)] == "a0 a1 a2" and sorted(p for n, p in got if n == "hot") == [0, 1, 2]
     assert " ".join(got[("hot", p)] for p in range(3)) == " ".join(f"hot{i}" for i in range(25))
+    whole = {r.source_name: r.text for r in ingest.document_texts(chunks).collect()}
+    assert whole == {name: " ".join(f"{name}{i}" for i in range(n)) for name, n in (("a", 3), ("hot", 25))}
+
+
+@pytest.mark.parametrize("part_rows", [1, 3, 1_000, None])
+def test_folds_do_not_depend_on_parts(spark, part_rows):
+    # places in the text that are no count of rows
+    rows = [("c", name, 1_500 * i, f"{name}{i}") for name, n in (("a", 3), ("hot", 25)) for i in range(n)]
+    chunks = spark.createDataFrame(rows, "collection string, source_name string, pos int, text string").repartition(4)
+    parts = ingest.document_texts(chunks, part_rows=part_rows)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     try:
         folded = ingest.fold_summaries(parts, lambda p: f"[{p}]", lambda s, p: f"{s}[{p}]", limit=20, overlap=0).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    summaries = {r.file_name: r.summary for r in folded}
-    want = "".join(f"[{p}]" for n in range(3) for p in split_separators(got[("hot", n)], 20, 0))
-    assert summaries == {"a": "[a0 a1 a2]", "hot": want}
+    want = "".join(f"[{p}]" for p in split_separators(" ".join(f"hot{i}" for i in range(25)), 20, 0))
+    assert {r.file_name: r.summary for r in folded} == {"a": "[a0 a1 a2]", "hot": want}
 
 
 def test_embedding(spark):

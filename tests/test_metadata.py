@@ -132,3 +132,21 @@ def test_times(spark):
     assert is_date_only("October 5, 2024") and is_date_only("2024-10-05") and not is_date_only("2024-10-05T00:00:00Z")
     with pytest.raises(ValueError):
         literal_time("soon")
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Jan 15 2024", "2024-01-15 00:00:00"), ("15-Jan-2024", "2024-01-15 00:00:00"), ("20240115", "2024-01-15 00:00:00"),
+    ("2024-01-15 10:30 PM", "2024-01-15 22:30:00"), ("january 5, 2024 3:04 pm", "2024-01-05 15:04:00"), ("5 MAY 2024", "2024-05-05 00:00:00"),
+    ("2024/1/5 7:08", "2024-01-05 07:08:00"), ("Sep 9, 2023", "2023-09-09 00:00:00"), ("1/15/2024 11:00 am", "2024-01-15 11:00:00"), ("2024-01-15", "2024-01-15 00:00:00"),
+    ("15/01/2024", None), ("Janember 5 2024", None), ("20241315", None), ("soon", None),
+])
+def test_spellings_of_times(spark, text, want):
+    from docketry.functions.times import literal_time, parse_time
+
+    got = spark.createDataFrame([(text,)], "t string").select(F.date_format(parse_time(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("t")).first().t
+    assert got == want
+    if want is None:
+        with pytest.raises(ValueError, match="not a date"):
+            literal_time(text)
+    else:
+        assert str(literal_time(text)) == want

@@ -37,7 +37,7 @@ def test_merge_skips_replayed_batches(spark, folder):
 
     def run(offsets):
         stream = json_stream(spark, str(folder), TYPE, 10)
-        merge_stream(stream, table, ["Name"], ["Amount"], offsets, available_now=True).awaitTermination()
+        merge_stream(stream, table, ["Name"], ["Amount"], offsets, available_now=True, name="amounts").awaitTermination()
 
     run(work_path(spark, "offsets"))
     want = [("Alice", 2), ("Bob", 1), ("Eve", 3)]
@@ -47,6 +47,16 @@ def test_merge_skips_replayed_batches(spark, folder):
     assert table.latest() == 0 and sorted(tuple(r) for r in table.read().collect()) == want
 
 
+def test_two_streams_merge_into_one_table(spark, tmp_path):
+    table = VersionedTable(spark, work_path(spark, "merged"))
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        put(tmp_path / name, "d.json", f'{{"Name": "{name}", "Amount": 1}}')
+        stream = json_stream(spark, str(tmp_path / name), TYPE, 10)
+        merge_stream(stream, table, ["Name"], ["Amount"], work_path(spark, "offsets"), available_now=True).awaitTermination()
+    assert sorted(tuple(r) for r in table.read().collect()) == [("a", 1), ("b", 1)]
+
+
 def test_update_mode(spark, tmp_path):
     for i in range(3):
         put(tmp_path, f"r{i}.json", f'{{"method": "GET", "endpoint": "/{i % 2}"}}')

@@ -35,8 +35,9 @@ def test_conversations(spark):
     assert converse.last_messages(m).where("conv_id = 1").agg(F.min("turn"), F.count("*")).first()[:] == (10, 30)
     history = {r.conv_id: r.history for r in converse.history_text(m).collect()}
     assert history[1].split("\n")[0] == "User: m10" and history[2] == "User: hi {x}\nAssistant:   \nAssistant: yes"
-    combined = {(r.conv_id, r.part_no): r.text for r in converse.combined_query(m, part_rows=20).collect()}
+    combined = {(r.conv_id, r.part_no): r.text for r in converse.combined_query(m, part_rows=10).collect()}
     assert combined[(1, 0)] == ". ".join(f"m{t}" for t in range(0, 20, 2)) and combined[(1, 1)].endswith("m38")
+    assert {r.conv_id: r.text for r in converse.combined_query(m).collect()} == {1: ". ".join(f"m{t}" for t in range(0, 40, 2)), 2: "hi {x}"}
     assert {r.conv_id: r.text for r in converse.combined_query(m, last_n=1).collect()} == {1: "m36. m38", 2: "hi {x}"}
     request = converse.split_request(m)
     assert {r.conv_id: r.query for r in request["query"].collect()} == {1: "m38", 2: "hi {{x}}"}
@@ -45,6 +46,8 @@ def test_conversations(spark):
     assert request["history"].where("conv_id = 3").count() == 1
     prompts = {r.conv_id: r.prompt for r in converse.system_prompt(m, "Base").collect()}
     assert prompts == {1: "Base", 2: "Base be {kind} and short", 3: "Base"}
+    late = spark.createDataFrame([(1, 1500, "system", "S"), (1, 99_000, "system", "T"), (1, 99_001, "user", "u")], MESSAGES)
+    assert [tuple(r) for r in converse.system_prompt(late, "Base").collect()] == [(1, "Base S T")]
 
 
 def test_multipart(spark):
