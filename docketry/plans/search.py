@@ -421,7 +421,7 @@ def _decomposed(spark, sf):
         flat = texts.str.replace(r"\s+", " ", regex=True).str.partition(". ")
         return pd.Series([f"1. {a}\n2. {c}" if c else f"1. {a}" for a, c in zip(flat[0], flat[2], strict=True)])
 
-    def further(texts, past):
+    def further(texts, past, contexts):
         return pd.Series(["" if len(p) > 1500 else f'"{t}"' for t, p in zip(texts, past, strict=True)])
 
     return rerank.decompose(

@@ -19,7 +19,7 @@ def test_agrees_with_sql(spark, sf, con, name):
     assert difference(got, con.sql(SQL[name]).df()) is None
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in SQL and not n.startswith("decomposed")])
+@pytest.mark.parametrize("name", [n for n in queries() if n not in SQL])
 def test_has_rows(spark, sf, name):
     assert not queries()[name](spark, sf).isEmpty()
 
