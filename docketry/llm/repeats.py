@@ -110,10 +110,12 @@ class Scheme:
     elements: Callable[[bytes], np.ndarray | bytes]
     batch: Callable[[list[tuple[int, int, object, int]]], Batch]
 
-    def batches(self, texts: list) -> Iterator[Batch]:
+    def batches(self, texts: list, sizes: list[int]) -> Iterator[Batch]:
+        """Batches of all texts; the number of elements of each is added to sizes."""
         pieces, held = [], 0
         for row, text in enumerate(texts):
             own = self.elements(text)
+            sizes.append(len(own))
             n = len(own) - self.window + 1
             for at in range(0, n, self.piece):
                 many = min(self.piece, n - at)
@@ -146,7 +148,8 @@ class Bucket:
         self.ids = ids.to_pylist()
         self.doc = ids.fill_null(LAST).to_numpy().astype(np.int64)
         self.texts = table["text"].cast(pa.binary()).to_pylist()
-        self.batches = list(scheme.batches([x or b"" for x in self.texts]))
+        self.sizes: list[int] = []
+        self.batches = list(scheme.batches([x or b"" for x in self.texts], self.sizes))
         self.batch_of = np.repeat(np.arange(len(self.batches)), [len(b.first) for b in self.batches])
         for c in ("first", "last", "anchor", "name", "row", "start"):
             setattr(self, c, joined([getattr(b, c) for b in self.batches], np.uint64 if c == "name" else np.int64))
@@ -382,6 +385,8 @@ def repeated_starts(bucket: Bucket) -> tuple[np.ndarray, np.ndarray]:
 
 def covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     """Which of n elements lie in a window that starts at one of the places."""
+    if not len(starts):
+        return np.zeros(n, bool)
     step = np.zeros(n + 1, np.int32)
     np.add.at(step, starts, 1)
     np.add.at(step, starts + window, -1)
@@ -412,7 +417,7 @@ def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[bytes, np
         out = []
         for k, text in enumerate(bucket.texts):
             a, b = np.searchsorted(row, [k, k + 1])
-            out.append((bucket.ids[k], *finish(text or b"", covered(len(scheme.elements(text or b"")), place[a:b], scheme.window))))
+            out.append((bucket.ids[k], *finish(text or b"", covered(bucket.sizes[k], place[a:b], scheme.window))))
         made = zip(*out, strict=True)
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(made, schema, strict=False)], schema=schema)
 

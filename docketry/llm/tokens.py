@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from array import array
 
 import numpy as np
@@ -58,8 +59,6 @@ LONG = 256
 
 def fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """As `fold`, in time that grows little faster than the word."""
-    import heapq
-
     whole = ranks.get(word)
     if whole is not None:
         return [whole]

@@ -114,7 +114,7 @@ def test_anchors_follow_from_the_window_alone(scheme):
     name_of = {}
     for piece in (scheme.piece, 64, 100_000):
         one = repeats.Scheme(scheme.window, piece, scheme.within, scheme.sieve, scheme.elements, scheme.batch)
-        for b in one.batches(texts):
+        for b in one.batches(texts, []):
             for f, z, n, r, s in zip(b.first, b.last, b.name, b.row, b.start, strict=True):
                 own = one.elements(texts[r])
                 for k in range(z - f + 1):
