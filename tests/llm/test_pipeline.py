@@ -5,7 +5,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from test_groups import by_simhash
-from test_texts import base_of, by_sets
+from test_tokens import base_of, by_sets
 
 import corpus_pipeline
 from docketry.llm import secrets, tokens, toxicity
