@@ -147,6 +147,13 @@ def test_plain_documents_have_no_random_strings(spark, sf):
     assert got == 0
 
 
+def test_long_runs_take_linear_time(ranks):
+    """A run that is no identifier only at its end, long enough to show any backtracking."""
+    encode = tokens.Encoder(ranks, PATTERN)
+    for run in ("abcdefgh" * 20_000 + "A", "password" * 500 + "X1", "Ab" * 5_000 + "-" * 5_000 + "c"):
+        assert secrets.all_spans(f"see {run} there", encode) is not None
+
+
 def test_random_recall(ranks):
     """Of random base64 strings of 32 characters at least nine in ten are found."""
     rng, encode = random.Random(9), tokens.Encoder(ranks, PATTERN)
