@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -73,8 +74,17 @@ def all_spans(text: str | None, encode: Encoder, ratio: float = RATIO) -> list[t
     """Spans of the fixed forms and, apart from those, of the token-efficiency test."""
     text = text or ""
     found = base_spans(text)
-    taken = [(a, b) for a, b, _ in found]
-    found += [s for s in random_spans(text, encode, ratio) if not any(a < s[1] and s[0] < b for a, b in taken)]
+    starts, ends = [], []  # of the stretches that fixed forms cover
+    for a, b, _ in found:
+        if starts and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    for span in random_spans(text, encode, ratio):
+        k = bisect_left(starts, span[1]) - 1  # the last that starts before the span ends
+        if k < 0 or ends[k] <= span[0]:
+            found.append(span)
     return sorted(found, key=in_order)
 
 
