@@ -140,15 +140,17 @@ def cell_top_k(
     celled_chunks: DataFrame, queries: DataFrame, cells: Cells, k: int = RESULTS,
     probes: int = CELLS_PROBED, **bounds,
 ) -> DataFrame:
-    """Approximate nearest chunks: each query looks into its nearest cells only."""
-    items = celled_chunks.select(
+    """Approximate nearest chunks: each query looks into its nearest cells only.
+
+    Cells that no query probes are not read where the chunks are laid out by cell."""
+    probed = cells.nearest(queries.select("query_id", "vector"), probes)
+    wanted = [r["cell"] for r in probed.select("cell").distinct().collect()]  # at most one per centroid
+    items = celled_chunks.where(F.col("cell").isin(wanted)).select(
         F.col("chunk_id").alias("item_id"),
         F.col("collection").alias("grp"),
         F.col("cell").alias("route"),
         "vector",
     )
-    asked = cells.nearest(queries.select("query_id", "vector"), probes).select(
-        "query_id", F.col("cell").alias("route"), "vector"
-    )
+    asked = probed.select("query_id", F.col("cell").alias("route"), "vector")
     pairs = best_pairs(items, asked, SquaredDistance(), k, VECTOR_BYTES, **bounds)
     return _hits(pairs, celled_chunks)

@@ -78,7 +78,7 @@ left join orders o on o.o_custkey = r.k group by 1
 def range_of_keys(spark, sf):
     orders = table(spark, sf, "orders")
     top = orders.agg(F.max("o_custkey")).first()[0]
-    keys = spark.range(0, top + 1).repartition(8).withColumnRenamed("id", "custkey")
+    keys = spark.range(0, top + 1).withColumnRenamed("id", "custkey")
     counts = orders.groupBy(F.col("o_custkey").alias("custkey")).agg(F.count("*").alias("n"))
     return keys.join(counts, "custkey", "left").select(
         "custkey", F.coalesce("n", F.lit(0)).alias("n_orders")

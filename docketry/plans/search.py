@@ -30,9 +30,10 @@ def vector_queries(spark, sf):
 
 
 def document_vectors(spark, sf):
-    """Documents that have an embedding, with text and metadata."""
-    docs = texts(spark, sf)
-    return table(spark, sf, "embeddings").join(docs, F.col("vec_id") == F.col("doc_id")).select(
+    """All documents with text and metadata; the embeddings are dealt out to them in turn."""
+    docs, vectors = texts(spark, sf), table(spark, sf, "embeddings")
+    own = F.col("vec_id") == F.col("doc_id") % F.lit(vectors.count())
+    return docs.join(vectors, own).select(
         F.col("lang").alias("collection"),
         F.col("doc_id").alias("chunk_id"),
         "text",
@@ -52,7 +53,7 @@ def benchmark_queries(spark, sf):
 
 SQL_DOCS = """
 chunks as (select lang as collection, doc_id as chunk_id, text, '/data/' || source || '.txt' as source, embedding as vector, label, n_chars
-  from documents join embeddings on vec_id = doc_id),
+  from documents join embeddings on vec_id = doc_id % (select count(*) from embeddings)),
 asked as (select item_id as query_id, text, embedding as vector from benchmark join embeddings on item_id = vec_id)
 """
 SQL_DENSE = f"""
@@ -103,7 +104,7 @@ SPEC = {
     ]
 }
 SQL_FILTERED = f"""
-with {SQL_DOCS.replace("on vec_id = doc_id)", "on vec_id = doc_id where lang in ('en', 'de', 'fr') and n_chars between 500 and 9000 and label <> 3)")},
+with {SQL_DOCS.replace("from embeddings)),", "from embeddings) where lang in ('en', 'de', 'fr') and n_chars between 500 and 9000 and label <> 3),")},
 {SQL_DENSE.format(k=10)}
 """
 

@@ -14,11 +14,18 @@ from docketry.streaming.usage import count_requests, current_totals, keep_change
 EVENT_TYPE = "event_id long, user_id long, event_type string, value double"
 
 
+FILE_ROWS = 100_000
+
+
+def _n_files(rows) -> int:
+    """Files to write: as many as the rows fill, but enough for several batches."""
+    return max(8, -(-rows.count() // FILE_ROWS))
+
+
 def _event_stream(spark, sf):
     folder = work_path(spark, "incoming")
-    table(spark, sf, "events").select("event_id", "user_id", "event_type", "value").repartitionByRange(
-        8, "event_id"
-    ).write.json(folder)
+    rows = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    rows.repartitionByRange(_n_files(rows), "event_id").write.json(folder)
     return json_stream(spark, folder, EVENT_TYPE, files_per_trigger=3)
 
 
@@ -45,7 +52,7 @@ def stream_merge(spark, sf):
 def _request_stream(spark, sf):
     folder = work_path(spark, "requests")
     rows = requests(spark, sf)
-    rows.repartition(8).write.json(folder)
+    rows.repartition(_n_files(rows)).write.json(folder)
     return json_stream(spark, folder, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema), 3)
 
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SPREAD_SPLITS = 32
 
 
 def local_session(name: str = "docketry", cores: str = "8", partitions: int = 8) -> SparkSession:
@@ -57,6 +58,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def spread(scan: DataFrame) -> DataFrame:
     """Even out a scan that comes in fewer splits than there are cores, such as a file of
-    one row group; a scan of many splits is left as it is. For heavy work per row only."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
+    one row group. A scan of SPREAD_SPLITS or more is never moved, so on a large cluster
+    no more than that many splits are shuffled. For heavy work per row only."""
+    cores = min(scan.sparkSession.sparkContext.defaultParallelism, SPREAD_SPLITS)
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

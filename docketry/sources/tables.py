@@ -12,7 +12,6 @@ import json
 from datetime import UTC, datetime
 from urllib.parse import quote, unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +24,11 @@ HISTORY_TYPE = (
 MARK = "_mark"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 class VersionedTable:
     """A table of snapshots. With `partition_by`, a text column that is never null, a change
     rewrites only the partitions it touches; an append rewrites nothing."""
@@ -34,12 +38,10 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """One row per version: when, what operation, how many rows."""
-        try:
-            return self.spark.read.schema(HISTORY_TYPE).json(f"{self.root}/history")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        folder = f"{self.root}/history"
+        if not exists(self.spark, folder):
             return self.spark.createDataFrame([], HISTORY_TYPE)
+        return self.spark.read.schema(HISTORY_TYPE).json(folder)
 
     def latest(self) -> int | None:
         return self.history().agg(F.max("version")).first()[0]
@@ -76,13 +78,13 @@ class VersionedTable:
         )
 
     def _folders(self, version: int, row_type: T.StructType) -> list[str]:
-        """Folders a version wrote, from its file names."""
+        """Folders a version wrote, one per partition value, gathered where the files are read."""
         name = f"version={version}"
         if not self.partition_by:
             return [name]
-        files = self.spark.read.schema(row_type).parquet(f"{self.root}/data/{name}").inputFiles()
-        tails = [unquote(f).rsplit("/", 1)[0].split(f"/data/{name}", 1)[1] for f in files]
-        return sorted({name + tail for tail in tails})
+        written = self.spark.read.schema(row_type).parquet(f"{self.root}/data/{name}")
+        tail = F.regexp_extract(F.input_file_name(), f"/data/{name}(/.*)?/[^/]*$", 1)
+        return sorted(name + unquote(r[0]) for r in written.select(tail).distinct().collect())
 
     def _commit(
         self, entry: Row | None, df: DataFrame, operation: str, marks: dict[str, Column] | None = None,

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from docketry.operators import keyword, search
+from docketry.operators import keyword, search, tiles
 from docketry.session import work_path
 
 CHUNKS = "collection string, chunk_id long, vector array<float>"
@@ -194,3 +194,34 @@ def test_a_word_in_every_chunk_is_a_hit(spark):
     asked = spark.createDataFrame([(1, "the")], "query_id long, text string")
     got = keyword.keyword_top_k(chunks, asked, 10, k1=1e-7).collect()
     assert sorted(r.chunk_id for r in got) == list(range(10))
+
+
+def test_tiles_stay_within_their_bound(spark):
+    """Ten pages a document and one hot document: page numbers and hot routes make no tile large."""
+    pages = spark.range(20_000).select(
+        (F.col("id") % 10).alias("item_id"), F.lit(None).cast("string").alias("grp"), (F.col("id") / 10).cast("long").cast("string").alias("route")
+    )
+    hot = spark.range(20_000).select(F.col("id").alias("item_id"), F.lit(None).cast("string").alias("grp"), F.lit("hot").alias("route"))
+    cut = tiles.with_tiles(pages.union(hot), "8", ["route", "grp", "item_id"], "item_tile", 100, 400)
+    found = cut.groupBy("bucket", "item_tile").count().agg(F.max("count"), F.sum("count"), F.count("*")).first()
+    assert found[0] < 2 * 400 and found[1] == 40_000 and found[2] >= 100
+
+
+def test_last_cut_in_two_steps(spark):
+    pairs = spark.range(5_000).select(
+        (F.col("id") % 3).alias("query_id"), F.lit(None).cast("string").alias("grp"), F.col("id").alias("item_id"), (F.col("id") % 7).cast("double").alias("score")
+    )
+    got = {(r.query_id, r.rank): r.item_id for r in tiles._cut(pairs, 40).collect()}
+    for q in range(3):
+        want = sorted(range(q, 5_000, 3), key=lambda i: (i % 7, i))[:40]
+        assert [got[q, n] for n in range(1, 41)] == want
+
+
+def test_cells_read_only_probed_folders(spark):
+    chunks, queries, _, _ = make(spark, 120, 1)
+    cells = search.train_cells(chunks, cells=6)
+    path = work_path(spark, "few cells")
+    search.write_cells(chunks, cells, path)
+    hits = search.cell_top_k(spark.read.parquet(path), queries, cells, 3, probes=2)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "cell#" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
