@@ -39,7 +39,7 @@ def stream_append(spark, sf):
 @query("select user_id, max(event_id) as event_id, arg_max(event_type, event_id) as event_type, arg_max(value, event_id) as value from events group by 1")
 def stream_merge(spark, sf):
     """The last event of each user, kept by merging batch after batch."""
-    stored = VersionedTable(spark, work_path(spark, "last_events"))
+    stored = VersionedTable(spark, work_path(spark, "last_events"), bucket_by=["user_id"], buckets=8)
     stored.overwrite(spark.createDataFrame([], EVENT_TYPE))
     stream = _event_stream(spark, sf)
     latest = {c: F.when(F.col("s.event_id") > F.col("t.event_id"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in ("event_id", "event_type", "value")}

@@ -11,8 +11,8 @@ from docketry.sources.payloads import PAYLOAD_TYPE, delete_payloads, get_payload
 from docketry.sources.tables import VersionedTable, first_per_key, insert_new
 
 
-def _stored(spark, sf, name: str, columns: list[str]) -> VersionedTable:
-    stored = VersionedTable(spark, work_path(spark, name))
+def _stored(spark, sf, name: str, columns: list[str], **layout) -> VersionedTable:
+    stored = VersionedTable(spark, work_path(spark, name), **layout)
     stored.overwrite(table(spark, sf, name).select(*columns))
     return stored
 
@@ -54,7 +54,7 @@ select coalesce(s_suppkey, c_custkey) as s_suppkey,
 from supplier full join customer on s_suppkey = c_custkey
 """)
 def table_merge(spark, sf):
-    stored = _stored(spark, sf, "supplier", SUPPLIER)
+    stored = _stored(spark, sf, "supplier", SUPPLIER, bucket_by=["s_suppkey"], buckets=16)
     stored.merge(_accounts(spark, sf), ["s_suppkey"], {"s_acctbal": F.col("s.s_acctbal")})
     return stored.read()
 

@@ -22,6 +22,7 @@ HISTORY_TYPE = (
     "folders array<string>, row_type string"
 )
 MARK = "_mark"
+BUCKET = "_bucket"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -31,10 +32,25 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 class VersionedTable:
     """A table of snapshots. With `partition_by`, a text column that is never null, a change
-    rewrites only the partitions it touches; an append rewrites nothing."""
-
-    def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None):
-        self.spark, self.root, self.partition_by = spark, root.rstrip("/"), partition_by
+    rewrites only the partitions it touches; an append rewrites nothing.
+
+    With `bucket_by`, a list of columns, the partitions are that many `buckets` by a hash of them. A
+    merge on these columns reads and rewrites only the buckets its source falls into, which the
+    source alone tells. Both settings stay the same for all changes of a table."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, partition_by: str | None = None,
+        bucket_by: list[str] | None = None, buckets: int = 64,
+    ):
+        if partition_by and bucket_by:
+            raise ValueError("either partition_by or bucket_by")
+        self.spark, self.root, self.bucket_by, self.buckets = spark, root.rstrip("/"), bucket_by, buckets
+        self.partition_by = BUCKET if bucket_by else partition_by
+
+    def _bucket(self, types: T.StructType) -> Column:
+        """The bucket of a row, its columns taken as the table's types so that equal keys agree."""
+        keys = [F.col(c).cast(types[c].dataType) for c in self.bucket_by]
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("string").alias(BUCKET)
 
     def history(self) -> DataFrame:
         """One row per version: when, what operation, how many rows."""
@@ -52,9 +68,17 @@ class VersionedTable:
             rows = rows.where(F.col("version") == version)
         return rows.orderBy(F.desc("version")).first()
 
+    def state(self, stream: str, batch_id: int) -> tuple[Row | None, bool]:
+        """The newest history row, and whether this batch of the stream has a version, in one job."""
+        rows = self.history()
+        played = F.coalesce((F.col("stream") == stream) & (F.col("batch_id") == batch_id), F.lit(False))
+        newest = F.max_by(F.struct(*rows.columns), "version")
+        got = rows.agg(newest.alias("newest"), F.max(played).alias("played")).first()
+        return got["newest"], bool(got["played"])
+
     def read(self, version: int | None = None) -> DataFrame:
         """The current table, or version N."""
-        return self._rows(self._require(version))
+        return self._rows(self._require(version)).drop(BUCKET)
 
     def _require(self, version: int | None = None) -> Row:
         entry = self._entry(version)
@@ -93,6 +117,10 @@ class VersionedTable:
         """Write df as the version after `entry`, beside the `kept` folders of that one; without
         them df is the whole table."""
         version = 0 if entry is None else entry["version"] + 1
+        if self.bucket_by:
+            # files per bucket do not follow the number of tasks, and a large bucket is split; the
+            # counts are taken behind it, where an empty result does not take them away
+            df = df.select("*", self._bucket(df.schema)).hint("rebalance", BUCKET)
         counted = Observation()
         sums = [F.coalesce(F.sum(mark.cast("long")), F.lit(0)).alias(n) for n, mark in (marks or {}).items()]
         seen = df.observe(counted, F.count(F.lit(1)).alias("seen"), *sums)
@@ -119,9 +147,10 @@ class VersionedTable:
 
     def _change(
         self, entry: Row, touched: DataFrame, change, operation: str, marks: dict[str, Column],
-        added: DataFrame | None = None, batch: tuple[str, int] | None = None,
+        added=None, batch: tuple[str, int] | None = None,
     ) -> int:
-        """Rewrite the partitions of the `touched` rows through `change`, add the `added` rows."""
+        """Rewrite the partitions of the `touched` rows through `change`, a function of their rows, and
+        add the rows that `added`, another such function, gives."""
         current, folders = self._rows(entry), entry["folders"]
         if self.partition_by:
             # one value per partition, so the list is as short as the folder list
@@ -134,9 +163,10 @@ class VersionedTable:
         else:
             kept = folders if touched.isEmpty() else []
             current = current.where(F.lit(not kept))
+        current = current.drop(BUCKET)
         rows = change(current)
         if added is not None:
-            rows = rows.unionByName(added)
+            rows = rows.unionByName(added(current))
         return self._commit(entry, rows, operation, marks, kept, batch)
 
     def overwrite(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
@@ -144,7 +174,8 @@ class VersionedTable:
 
     def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
         entry = self._require()
-        columns = T.StructType.fromJson(json.loads(entry["row_type"])).names
+        types = T.StructType.fromJson(json.loads(entry["row_type"]))
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in types if f.name != BUCKET]
         return self._commit(
             entry, df.select(*columns), "append", {"rows_inserted": F.lit(1)}, entry["folders"], batch,
         )
@@ -174,27 +205,35 @@ class VersionedTable:
 
     def merge(
         self, source: DataFrame, keys: list[str], update: dict[str, Column] | None = None,
-        insert: bool = True, batch: tuple[str, int] | None = None,
+        insert: bool = True, batch: tuple[str, int] | None = None, entry: Row | None = None,
     ) -> int:
-        """Update matched rows and insert unmatched ones; see `merge_rows`."""
-        entry = self._require()
+        """Update matched rows and insert unmatched ones; see `merge_rows`. `entry` is the newest
+        history row, if the caller has read it."""
+        entry = entry or self._require()
         target = self._rows(entry)
-        touched = target.join(source.select(*keys), keys, "left_semi")
-        added = unmatched_rows(target, source, keys).withColumn(MARK, F.lit("insert")) if insert else None
+        if self.bucket_by and set(self.bucket_by) <= set(keys):
+            touched = source.select(self._bucket(target.schema))
+        else:
+            touched = target.join(source.select(*keys), keys, "left_semi")
+
+        def added(rows: DataFrame) -> DataFrame:
+            # all rows that match are in touched partitions, so the others need not be read
+            return unmatched_rows(rows, source, keys).withColumn(MARK, F.lit("insert"))
+
         return self._change(
             entry,
             touched,
             lambda rows: matched_rows(rows, source, keys, update),
             "merge",
             {"rows_updated": F.col(MARK) == "update", "rows_inserted": F.col(MARK) == "insert"},
-            added,
+            added if insert else None,
             batch,
         )
 
     def dedupe(self, keys: list[str], order: list[Column]) -> int:
         """Keep one row per key and write the rest away as a new version."""
         entry = self._require()
-        return self._commit(entry, first_per_key(self._rows(entry), keys, order), "dedupe")
+        return self._commit(entry, first_per_key(self._rows(entry).drop(BUCKET), keys, order), "dedupe")
 
 
 def set_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:

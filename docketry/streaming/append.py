@@ -41,16 +41,16 @@ def merge_stream(
     stream_name = name or checkpoint
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        done = (F.col("stream") == stream_name) & (F.col("batch_id") == batch_id)
-        if not table.history().where(done).isEmpty():
+        newest, played = table.state(stream_name, batch_id)
+        if played:
             return
         latest = F.max_by(F.struct(*batch.columns), F.struct(*order))
         once = batch.groupBy(*keys).agg(latest.alias("r")).select("r.*").persist()
         try:
-            if table.latest() is None:
+            if newest is None:
                 table.overwrite(once, (stream_name, batch_id))
             else:
-                table.merge(once, keys, update, batch=(stream_name, batch_id))
+                table.merge(once, keys, update, batch=(stream_name, batch_id), entry=newest)
         finally:
             once.unpersist()
 

@@ -107,6 +107,38 @@ def test_only_touched_partitions_are_written(spark):
     assert table.read().count() == 0 and table.read().columns == ["collection", "id", "text"]
 
 
+def test_merge_reads_and_writes_touched_buckets_only(spark):
+    kind = "id long, text string"
+    table = VersionedTable(spark, work_path(spark, "bucketed"), bucket_by=["id"], buckets=16)
+    every = spark.createDataFrame([*((i, f"t{i}") for i in range(200)), (None, "none")], kind)
+    table.overwrite(every)
+    first = table.history().first()
+    assert len(first.folders) == 16 and table.read().columns == ["id", "text"]
+    # an int key falls into the bucket of the equal long one; a null key matches nothing
+    source = spark.createDataFrame([(3, "three"), (900, "new"), (900, "newer"), (None, "also")], "id int, text string")
+    table.merge(source, ["id"])
+    want = [*((i, "three" if i == 3 else f"t{i}") for i in range(200)), (900, "new"), (900, "newer"), (None, "none"), (None, "also")]
+    assert sorted(map(repr, map(tuple, table.read().collect()))) == sorted(map(repr, want))
+    second = table.history().where("version = 1").first()
+    old = {f for f in second.folders if f.startswith("version=0/")}
+    new = {f.split("/")[1] for f in second.folders if f.startswith("version=1/")}
+    assert len(new) <= 3 and len(old) == 16 - len(new) and not new & {f.split("/")[1] for f in old}
+    assert (second.rows_written, second.rows_updated, second.rows_inserted) == (204, 1, 3)
+    table.append(spark.createDataFrame([(5, "twice")], "id int, text string"))
+    table.merge(spark.createDataFrame([(5, "five")], kind), ["id"], insert=False)
+    assert [r.text for r in table.read().where("id = 5").collect()] == ["five", "five"]
+    table.update(F.col("id") == 7, {"id": F.lit(5)})  # moves to another bucket
+    table.merge(spark.createDataFrame([(5, "V")], kind), ["id"])
+    assert [r.text for r in table.read().where("id = 5").collect()] == ["V"] * 3
+    table.merge(every.where("false"), ["id"])
+    assert table.read().count() == 205 and table.read(0).count() == 201
+    table.dedupe(["id"], [F.col("text")])
+    table.delete(F.col("id") < 900)
+    assert rows(table.read().where("id is not null")) == [(900, "new")]
+    with pytest.raises(ValueError):
+        VersionedTable(spark, "x", partition_by="a", bucket_by=["b"])
+
+
 def test_a_version_without_history_row_does_not_exist(spark, amounts):
     table = VersionedTable(spark, work_path(spark, "torn"))
     table.overwrite(amounts)
