@@ -9,7 +9,7 @@ from docketry.functions.scores import sigmoid
 from docketry.functions.text import score_reply
 from docketry.operators import keyword, rerank, search
 from docketry.operators.metadata import Field
-from docketry.plans.registry import query, sql_distance, sql_tokens, table, texts
+from docketry.plans.registry import query, sql_distance, sql_tokens, sql_words, table, texts
 from docketry.session import work_path
 
 CHUNK_FIELDS = [Field("label", "integer"), Field("lang", "string"), Field("n_chars", "integer")]
@@ -384,7 +384,23 @@ def _questions(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
-@query()
+def sql_distinct_words(text: str) -> str:
+    return f"list_distinct({sql_words(text)})"
+
+
+@query(f"""
+with d as (select 'documents' as collection, doc_id as chunk_id, text from documents),
+v1 as (select item_id, 1 as round, text from benchmark),
+v2 as (select item_id, 2 as round, case when contains(text, ' ') then substr(text, strpos(text, ' ') + 1) else '' end as text from v1),
+v3 as (select item_id, 3 as round, case when contains(text, ' ') then substr(text, strpos(text, ' ') + 1) else '' end as text from v2),
+q as (select item_id * 10 + round as query_id, * from (select * from v1 union all select * from v2 union all select * from v3)),
+{sql_keyword('q', 'd', 3)},
+seen as (select query_id, list_distinct(flatten(list({sql_distinct_words('text')}))) as words from keyword join d using (chunk_id) group by 1),
+shared as (select item_id, round, text, len(list_intersect({sql_distinct_words('text')}, coalesce(words, []))) as n from q left join seen using (query_id)),
+graded as (select *, case when n > 12 then 2 when n > 9 then 1 else 0 end as grade from shared)
+select item_id as query_id, text, grade, grade > 0 as accepted, round from graded g
+where (grade > 0 or round = 3) and not exists (select 1 from graded e where e.item_id = g.item_id and e.round < g.round and e.grade > 0)
+""")
 def relevance_rounds(spark, sf):
     """The stand-in judge wants three words of the query in the contexts; the rewriter drops the first word."""
     def judge(queries, contexts):
@@ -397,7 +413,14 @@ def relevance_rounds(spark, sf):
     return out["queries"]
 
 
-@query()
+@query(f"""
+with a as (select r.conv_id * 1000 + r.turn as query_id, u.text as context, r.text as answer from conversations r
+  join conversations u on u.conv_id = r.conv_id and u.turn + 1 = r.turn where r.role = 'assistant' and u.role = 'user'),
+s as (select *, len(list_intersect({sql_distinct_words('context')}, {sql_distinct_words('answer')})) > 8 as first_good,
+  length(context) < 100 as outside, len({sql_distinct_words('context')}) > 8 as next_good from a)
+select query_id, case when first_good or outside then answer else context end as answer,
+  first_good or (not outside and next_good) as grounded, case when first_good or outside then 1 when next_good then 2 else 3 end as round from s
+""")
 def groundedness_rounds(spark, sf):
     """Assistant messages as answers, the user message before them as context."""
     conv = table(spark, sf, "conversations")
@@ -431,11 +454,42 @@ def _decomposed(spark, sf):
     )
 
 
-@query()
+SQL_DECOMPOSED = rf"""
+with d as (select 'documents' as collection, doc_id as chunk_id, text from documents),
+flat as (select item_id, text as query_text, regexp_replace(text, '\s+', ' ', 'g') as t from benchmark),
+cut as (select item_id, query_text, trim(substr(t, 1, strpos(t, '. ') - 1)) as head, trim(substr(t, strpos(t, '. ') + 2)) as rest from flat where contains(t, '. ')),
+two as (select * from cut where rest <> ''),
+steps as (select item_id, text as query_text, 0 as step, text from benchmark
+  union all select item_id, query_text, 1, head from two union all select item_id, query_text, 2, rest from two
+  union all select item_id, query_text, 3, translate(query_text, chr(39) || chr(34), '') from two),
+q as (select item_id * 10 + step as query_id, * from steps),
+{sql_keyword('q', 'd', 5)},
+f as (select k.query_id, k.rank, k.chunk_id, d.text, q.query_text, q.item_id, q.step from keyword k join d using (chunk_id) join q using (query_id)),
+best as (select * from (select *, row_number() over (partition by query_id order by s desc, rank) as rn from (select *, {SQL_OVERLAP} as s from f)) where rn <= 3),
+size as (select query_id, sum(length(text)) + count(*) - 1 as n from best group by 1),
+told as (select item_id, step, text, coalesce(n, 0)::bigint || ' characters' as answer from q left join size using (query_id) where step > 0),
+past as (select *, sum(length('Question: ' || text || chr(10) || 'Answer: ' || answer) + 3) over (partition by item_id order by step) - 3 as length_so_far from told),
+third as (select p.* from past p join past before on p.item_id = before.item_id and p.step = 3 and before.step = 2 where before.length_so_far <= 1500 and p.text <> '')
+"""
+
+
+@query(SQL_DECOMPOSED + """
+select item_id as query_id, step, text as question, text as rewritten, answer from (
+  select item_id, step, text, answer from told where step < 3 union all select item_id, step, text, answer from third
+  union all select item_id, 4, text, answer from third where length_so_far <= 1500)
+""")
 def decomposed_history(spark, sf):
     return _decomposed(spark, sf)["history"]
 
 
-@query()
+@query(SQL_DECOMPOSED + f""",
+lists as (select item_id, step, rn, chunk_id, text, query_text from best where step < 3 or item_id in (select item_id from third)),
+firsts as (select * from (select *, row_number() over (partition by item_id, text order by step, rn) as copy from lists) where copy = 1),
+scored as (select *, {SQL_OVERLAP} as score from firsts),
+merged as (select *, row_number() over (partition by item_id order by score desc, step, rn) as new_rank from scored)
+select item_id as query_id, chunk_id, round(1 / (1 + exp(-0.1 * score)), 6) as score, new_rank from merged where new_rank <= 20
+""")
 def decomposed_contexts(spark, sf):
-    return _decomposed(spark, sf)["contexts"].select("query_id", "chunk_id", "score", "new_rank")
+    return _decomposed(spark, sf)["contexts"].select(
+        "query_id", "chunk_id", F.round("score", 6).alias("score"), F.col("new_rank").cast("long").alias("new_rank")
+    )
