@@ -7,7 +7,11 @@ Jaccard similarity that the containment threshold asks for stays high, however l
 A window and an item that agree in one of the MinHash values are candidates. Besides, each value of
 an item's signature comes from one of its shingles; a document that holds enough of those anywhere is
 a candidate too, which covers items whose shingles lie scattered. A candidate counts if the share of
-the item's distinct shingles that the whole document has reaches the threshold."""
+the item's distinct shingles that the whole document has reaches the threshold.
+
+The permutations are one-to-one, so a window and an item agree in a value only through a shingle that
+the signatures come from. A document without any such shingle has no candidate and is left out before
+its windows are looked at."""
 
 from __future__ import annotations
 
@@ -19,6 +23,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from docketry.session import cut_lineage
+
 HASHES = 32
 #: Bytes of item texts that are broadcast at once; more are compared in blocks, one scan each.
 BLOCK_BYTES = 8 << 20
@@ -48,7 +54,8 @@ def permuted(hashes: np.ndarray) -> np.ndarray:
 @dataclass
 class Items:
     """Items of one block: distinct shingles of each, by size partition the length of its windows and
-    the signature values in order with their items, and the shingles behind the signatures."""
+    the signature values in order with their items, and the shingles behind the signatures, with
+    their items in order of the shingle and as a set."""
 
     ids: list
     own: list[np.ndarray]
@@ -56,6 +63,7 @@ class Items:
     signed: np.ndarray
     signed_by: np.ndarray
     many: np.ndarray
+    known: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[int, np.ndarray]]) -> "Items":
@@ -72,7 +80,13 @@ class Items:
         many = np.array([len(x) for x in signed], int)
         shingle, by = np.concatenate(signed or [np.empty(0, np.uint64)]), np.repeat(np.arange(len(ids)), many)
         order = np.argsort(shingle, kind="stable")
-        return cls(ids, own, partitions, shingle[order], by[order], many)
+        return cls(ids, own, partitions, shingle[order], by[order], many, np.unique(shingle))
+
+    def touched_by(self, grams: np.ndarray) -> bool:
+        """Whether any of the shingles is behind a signature."""
+        at = np.searchsorted(self.known, grams)
+        at[at == len(self.known)] = 0
+        return bool((self.known[at] == grams).any())
 
 
 def window_least(values: np.ndarray, size: int) -> np.ndarray:
@@ -118,6 +132,9 @@ def contained(docs: DataFrame, items: DataFrame, size: int = 5, least: float = 0
         rows = [(r["item_id"], shingles(r["text"], size)) for r in some.orderBy("item_id", "text").collect()]
         shared = spark.sparkContext.broadcast([r for r in rows if len(r[1])])
         found = in_block(docs, shared, size, least)
+        if blocks > 1:  # one block of items at a time is held by the executors
+            found = cut_lineage(found)
+            shared.unpersist()
         result = found if result is None else result.unionAll(found)
     return result
 
@@ -131,7 +148,7 @@ def in_block(docs: DataFrame, shared, size: int, least: float) -> DataFrame:
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 grams = shingles(text, size)
-                if not len(grams) or not items.ids:
+                if not len(grams) or not items.ids or not items.touched_by(grams):
                     continue
                 have = np.unique(grams)
                 for i in candidates(grams, have, items).tolist():
