@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docketry.llm import contain, pstable, quality, recompress, secrets, sharding, simhash, suffixes, tokens, toxicity
+from docketry.llm import contain, negatives, pstable, quality, recompress, secrets, sharding, simhash, suffixes, token_counts, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 SLOTS = 6_553
+COUNTED = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
@@ -85,6 +87,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contain.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), Path(COUNTED).read_text())
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth vector against all; labels of every seventh are moved on by one."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), lambda vec_id: vec_id % 100 == 0)
+
+
 # ---- the same in SQL, by comparing everything with everything
 
 SQL["op2_sharding"] = f"""
@@ -145,3 +160,15 @@ least as (select x as vec_id, min(y) as component_id from reach group by 1)
 select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
 from least left join (select x as vec_id, count(*) as n from pairs group by 1) using (vec_id)
 """
+
+SQL["op12_hard_negatives"] = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as x
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_inner_product(a.x, b.x)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (select anchor_id, id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+found as (select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank, id as negative_id, positive_score, score as negative_score
+  from positives join pairs using (anchor_id) where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select * from found where rank <= 5
+"""
