@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docketry.llm import contain, negatives, pstable, quality, recompress, secrets, sharding, simhash, suffixes, token_counts, tokens, toxicity
+from docketry.llm import contain, lexical, negatives, pstable, quality, recompress, secrets, sharding, simhash, suffixes, token_counts, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -100,6 +100,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows.withColumn("label", moved), lambda vec_id: vec_id % 100 == 0)
 
 
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 50 of all documents for each benchmark item."""
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
 # ---- the same in SQL, by comparing everything with everything
 
 SQL["op2_sharding"] = f"""
@@ -172,3 +178,18 @@ found as (select anchor_id, positive_id, row_number() over (partition by anchor_
   from positives join pairs using (anchor_id) where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
 select * from found where rank <= 5
 """
+
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL["op13_ranked_search"] = f"""
+with d as (select doc_id, {_TERMS.format(_LOWER.format("text"))} as ts from documents),
+sizes as (select doc_id, len(ts)::bigint as n from d where len(ts) > 0),
+whole as (select count(*)::bigint as docs, sum(n)::bigint as total from sizes),
+tfs as (select doc_id, t, count(*)::bigint as tf from (select doc_id, unnest(ts) as t from d) group by all),
+items as (select distinct item_id, t from (select item_id, unnest({_TERMS.format(_LOWER.format("text"))}) as t from benchmark)),
+weights as (select t, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w from (select t, count(*)::bigint as df from tfs group by t), whole),
+scores as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::bigint as score
+  from items join weights using (t) join tfs using (t) join sizes using (doc_id), whole group by item_id, doc_id)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from scores where score > 0
+qualify rank <= 50
+"""
