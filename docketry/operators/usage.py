@@ -13,6 +13,11 @@ DURATIONS = (
     "rag_ttft_ms", "llm_ttft_ms", "context_reranker_time_ms", "retrieval_time_ms", "llm_generation_time_ms",
 )
 
+QUANTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+#: Size of a quantile sketch. With this size the rank of an estimate is within RANK_ERROR of the one
+#: asked for, with 99 % confidence; up to this many values it is exact.
+SKETCH_SIZE, RANK_ERROR = 2_000, 0.002
+
 
 def bucket_bound(value: Column, bounds=BUCKETS) -> Column:
     """Upper bound of the value's bucket, bounds included; null above the last."""
@@ -71,3 +76,21 @@ def latency_percentiles(latencies: DataFrame, durations=DURATIONS, accuracy: int
         )
         .select("metric", "n", *[F.col("p")[i].alias(q) for i, q in enumerate(("p50", "p95", "p99"))])
     )
+
+
+def latency_sketches(latencies: DataFrame, durations=DURATIONS, size: int = SKETCH_SIZE) -> DataFrame:
+    """(metric, n, sketch): a quantile sketch per duration. Sketches of parts can be merged by
+    `merged_sketches`, so they also serve as running totals and per day or source."""
+    sketch = F.kll_sketch_agg_double(F.col("ms").cast("double"), F.lit(size))
+    return latency_rows(latencies, durations).groupBy("metric").agg(F.count("*").alias("n"), sketch.alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """One row (metric, n, sketch) per metric from those of several parts."""
+    return sketches.groupBy("metric").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(size)).alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, quantiles: dict[str, float] = QUANTILES) -> DataFrame:
+    """(metric, n, a column per quantile) of rows (metric, n, sketch): values that occurred, whose rank
+    is within the sketch's error of the one asked for."""
+    return sketches.select("metric", "n", *[F.kll_sketch_get_quantile_double("sketch", F.lit(q).cast("double")).alias(c) for c, q in quantiles.items()])

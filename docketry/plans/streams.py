@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docketry.operators.usage import QUANTILES, RANK_ERROR, latency_rows, sketch_quantiles
 from docketry.plans.quality import requests
 from docketry.plans.registry import query, table
 from docketry.session import work_path
 from docketry.sources.tables import VersionedTable
 from docketry.streaming.append import append_stream, json_stream, merge_stream
-from docketry.streaming.usage import count_requests, current_totals, keep_changes, latency_buckets
+from docketry.streaming.usage import count_requests, current_totals, keep_changes, latency_buckets, latency_quantiles
 
 EVENT_TYPE = "event_id long, user_id long, event_type string, value double"
 
@@ -74,3 +75,20 @@ def stream_latency(spark, sf):
     buckets = latency_buckets(_request_stream(spark, sf), ("rag_ttft_ms", "llm_ttft_ms"), (50, 500))
     keep_changes(buckets, path, work_path(spark, "offsets"), available_now=True).awaitTermination()
     return current_totals(spark, path, ["metric", "le"]).withColumn("total_ms", F.round("total_ms", 4))
+
+
+@query("""
+with l as (select unnest(['rag_ttft_ms', 'llm_ttft_ms']) as metric, unnest([case when event_type <> 'error' then value end, value * 10]) as ms from events)
+select metric, p, count(ms) as n, true as within_error from l, (select unnest(['p50', 'p95', 'p99']) as p) where ms is not null group by all
+""")
+def stream_percentiles(spark, sf):
+    """Percentiles of streamed durations from sketches; of each the share of all values below it and
+    the share up to it, taken over the table itself, are held against the rank asked for."""
+    path, durations = work_path(spark, "quantiles"), ("rag_ttft_ms", "llm_ttft_ms")
+    keep_changes(latency_quantiles(_request_stream(spark, sf), durations), path, work_path(spark, "offsets"), available_now=True).awaitTermination()
+    found = sketch_quantiles(current_totals(spark, path, ["metric"])).unpivot(["metric", "n"], list(QUANTILES), "p", "estimate")
+    rows = latency_rows(requests(spark, sf), durations).join(F.broadcast(found), "metric")
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in QUANTILES.items() for x in pair]), F.col("p"))
+    below, upto = F.avg((F.col("ms") < F.col("estimate")).cast("int")), F.avg((F.col("ms") <= F.col("estimate")).cast("int"))
+    held = (below - RANK_ERROR <= F.first(wanted)) & (F.first(wanted) <= upto + RANK_ERROR)
+    return rows.groupBy("metric", "p").agg(F.first("n").alias("n"), held.alias("within_error"))

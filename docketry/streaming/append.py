@@ -28,29 +28,36 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, available_now:
     return writer.start(path)
 
 
+def query_id(batch: DataFrame) -> str:
+    """Inside a batch function: the id of the running query. It is kept in the checkpoint, so it is the
+    same after a restart and another one with a new checkpoint, also under the same path."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def merge_stream(
     stream: DataFrame, table: VersionedTable, keys: list[str], order: list[str], checkpoint: str,
-    available_now: bool = False, update: dict[str, Column] | None = None, name: str | None = None,
+    available_now: bool = False, update: dict[str, Column] | None = None,
 ) -> StreamingQuery:
     """Merge each batch into a table; the last row of a key by `order` counts.
 
-    The stream's name and the batch id are kept with the version, so a batch that is played again is
-    skipped, and batches of other streams into the same table are not. The name is the checkpoint
-    folder unless given; a stream that gets a new checkpoint keeps its identity by its name.
+    The query's id and the batch's number are kept with the version, so a batch that is played again is
+    skipped, and batches of other streams into the same table are not. With a new checkpoint a
+    stream is another query and all its batches are merged, old files too; give an `update` that keeps
+    the later row if those may be older than what the table has.
     """
-    stream_name = name or checkpoint
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        newest, played = table.state(stream_name, batch_id)
+        own = (query_id(batch), batch_id)
+        newest, played = table.state(*own)
         if played:
             return
         latest = F.max_by(F.struct(*batch.columns), F.struct(*order))
         once = batch.groupBy(*keys).agg(latest.alias("r")).select("r.*").persist()
         try:
             if newest is None:
-                table.overwrite(once, (stream_name, batch_id))
+                table.overwrite(once, own)
             else:
-                table.merge(once, keys, update, batch=(stream_name, batch_id), entry=newest)
+                table.merge(once, keys, update, batch=own, entry=newest)
         finally:
             once.unpersist()
 
