@@ -20,11 +20,13 @@ is doubled until the two align or the text ends."""
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -37,6 +39,12 @@ CHUNK, OVERLAP = 1 << 15, 512
 AHEAD = 4
 #: Characters of texts that are encoded at once.
 BATCH = 1 << 20
+#: Fixed value: how the library's byte-level split cuts a text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Up to here (Latin, Greek, Cyrillic) all characters are of one kind in any version.
+LAST_PLAIN = "\u04ff"
+#: Distinct pieces that a task remembers; beyond it forgets all and goes on.
+MOST_PIECES = 500_000
 #: Bytes of chunks in one task.
 TASK_BYTES = 8 << 20
 _SHIFT = 20
@@ -50,8 +58,6 @@ def loaded(data: str) -> Tokenizer:
 
 def margin(data: str) -> int:
     """How close to a cut a border may lie; an error if the tokenizer is of a kind that is not covered."""
-    import json
-
     given = json.loads(data)
     split, model = given.get("pre_tokenizer") or {}, given["model"]
     plain = not given.get("normalizer") and not given.get("truncation") and not given.get("padding")
@@ -139,15 +145,53 @@ def in_steps(tokenizer: Tokenizer, text: str, near: int, chunk: int = CHUNK, ove
     return total + left.n - before
 
 
-def counted(texts: list[str], tokenizer: Tokenizer) -> list[int]:
-    return [len(x) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+class Counter:
+    """Numbers of tokens of whole texts.
+
+    The split pattern cuts a text into pieces that are encoded by themselves, so a piece has the same
+    number of tokens wherever it stands. The library encodes each distinct piece of a task once. A text
+    with an added token, or with characters on whose kind two versions of Unicode may differ, is
+    encoded by the library as it is."""
+
+    def __init__(self, data: str):
+        self.tokenizer, self.known = loaded(data), {}
+        added = [regex.escape(t["content"]) for t in json.loads(data).get("added_tokens") or []]
+        self.odd = regex.compile("|".join([f"[^\\x00-{LAST_PLAIN}]", *added]))
+        self.split = regex.compile(SPLIT).findall
+
+    def of(self, texts: list[str]) -> list[int]:
+        whole = [k for k, t in enumerate(texts) if self.odd.search(t)]
+        pieces = [self.split(t) for t in texts] if not whole else [[] if self.odd.search(t) else self.split(t) for t in texts]
+        if len(self.known) > MOST_PIECES:
+            self.known.clear()
+        self.learn(set().union(*pieces) - self.known.keys())
+        many = [sum(map(self.known.__getitem__, p)) for p in pieces]
+        for k, n in zip(whole, self.encoded([texts[k] for k in whole]), strict=True):
+            many[k] = n
+        return many
+
+    def encoded(self, texts: list[str]) -> list[int]:
+        return [len(x) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, new: set[str]) -> None:
+        """Words after a blank are encoded in a row, which the pattern cuts into just these words."""
+        words = [w for w in new if len(w) > 1 and w[0] == " " and w[1].isalpha()]
+        rest = list(new.difference(words))
+        for at in range(0, len(words), 20_000):
+            some = words[at : at + 20_000]
+            many = np.bincount(np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).word_ids, np.int64), minlength=len(some))
+            if len(many) == len(some):
+                self.known.update(zip(some, many.tolist(), strict=True))
+            else:
+                rest += some
+        self.known.update(zip(rest, self.encoded(rest), strict=True))
 
 
 def short_counts(docs: DataFrame, shared) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of rows with short texts."""
 
     def run(batches):
-        tokenizer = loaded(shared.value)
+        counter = Counter(shared.value)
         for b in batches:
             texts, at = b.column(2).to_pylist(), 0
             while at < len(texts):
@@ -155,7 +199,7 @@ def short_counts(docs: DataFrame, shared) -> DataFrame:
                 while to < len(texts) and (to == at or held + len(texts[to]) <= BATCH):
                     held += len(texts[to])
                     to += 1
-                yield pa.RecordBatch.from_arrays([*b.slice(at, to - at).columns[:2], pa.array(counted(texts[at:to], tokenizer), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+                yield pa.RecordBatch.from_arrays([*b.slice(at, to - at).columns[:2], pa.array(counter.of(texts[at:to]), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
                 at = to
 
     return docs.select("doc_id", "n_bytes", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")

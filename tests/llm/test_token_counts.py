@@ -111,3 +111,23 @@ def test_query_beside_the_library(spark, tmp_path, docs_of, tokenizer):
     rows = [(i, mixed(rng, n)) for i, n in enumerate([5, 400, 3_000, 50_000, 120_000])] + [(9, "=" * 70_000), (10, None)]
     docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
     assert result(QUERIES["op11_token_counts"](spark, str(tmp_path))) == library(tokenizer, rows)
+
+
+def test_pieces_are_those_of_the_library(tokenizer):
+    """Every character that is split here, in all neighbourhoods that the pattern tells apart."""
+    import regex
+
+    split = regex.compile(T.SPLIT).findall
+    for code in range(ord(T.LAST_PLAIN) + 1):
+        c = chr(code)
+        text = f"a{c}1{c}.{c} {c}a{c}{c}  {c}'{c}'ll{c}\n{c}"
+        assert [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)] == split(text)
+
+
+def test_pieces_encoded_in_a_row(tokenizer, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(T, "MOST_PIECES", 50)
+    counter = T.Counter(DATA)
+    for _ in range(20):
+        texts = [mixed(rng, rng.randrange(400)) for _ in range(30)] + ["", "Ünïcödé wörds и слова", "plain words here"]
+        assert counter.of(texts) == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
