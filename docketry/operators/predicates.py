@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import operator
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ COMPARE = {
     "==": operator.eq, "=": operator.eq, "!=": operator.ne, ">": operator.gt,
     ">=": operator.ge, "<": operator.lt, "<=": operator.le,
 }
+#: In a pattern a backslash only stands before %, _ or another backslash.
+LIKE_PATTERN = re.compile(r"(?:[^\\]|\\[\\%_])*", re.DOTALL)
 LIST_ONLY = ("in", "not in", "array_contains_all", "array_contains_any")
 LIST_OR_SCALAR = ("includes", "does not include")
 
@@ -95,6 +98,8 @@ def _check_leaf(leaf: dict, by_name: dict[str, Field]) -> None:
     elif op == "like":
         if not isinstance(value, str) or value == "":
             raise FilterError("'like' takes a pattern")
+        if not LIKE_PATTERN.fullmatch(value):
+            raise FilterError(f"{name}: in {value!r} a backslash stands before neither %, _ nor a backslash")
     else:
         _check_scalar(field.name, field.type, value)
 

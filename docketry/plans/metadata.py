@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docketry.functions.times import parse_time
 from docketry.operators.metadata import Field, validate_metadata
 from docketry.operators.predicates import accepting_collections, filter_chunks, from_conditions
 from docketry.plans.registry import query, stamp, table
+from docketry.session import spread
 
 PART_FIELDS = [
     Field("title", "string", required=True, max_length=14),
@@ -38,7 +40,7 @@ def _part_items(spark, sf):
         F.when(F.col("p_size") == 10, ', "extra": 1').otherwise(""),
         F.lit("}"),
     )
-    return table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size", body.alias("metadata"))
+    return spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size")).withColumn("metadata", body)
 
 
 BAD = """
@@ -236,3 +238,27 @@ def filter_flexible_collections(spark, sf):
 def filter_generated_rejected(spark, sf):
     """A machine-written filter that does not fit the schema filters nothing."""
     return filter_chunks(events(spark, sf), leaf("==", "author", "x"), EVENTS, generated=True).select("id")
+
+
+@query("select event_id as id from events")
+def filter_generated_broken_pattern(spark, sf):
+    """Nor does one whose pattern ends within an escape."""
+    return filter_chunks(events(spark, sf), leaf("like", "kind", "vi%\\"), EVENTS, generated=True).select("id")
+
+
+#: Ways of writing a time, as formats of Spark.
+SPELLED = (
+    "EEEE, MMMM d, yyyy h:mm:ss a", "MMM d, yyyy h:mm:ss a", "yyyy/MM/dd hh:mm:ss a", "dd MMM yyyy HH:mm:ss 'GMT'", "EEE, dd MMM yyyy HH:mm:ss 'GMT'",
+    "EEE MMM d HH:mm:ss yyyy", "yyyy.MM.dd HH:mm:ss", "M/d/yy H:mm:ss", "HH:mm:ss MMM d yyyy", "yyyyMMdd'T'HHmmss", "yyyyMMddHHmmss", "d-MMM-yyyy HH:mm:ss'Z'",
+    "yyyy-MM-dd'T'HH:mm:ss'+00:00'", "MMMM d yyyy 'at' h:mm:ss a",
+)
+
+
+@query(f"select event_id, (event_id % {len(SPELLED)})::int as spelling, date_trunc('second', ts) as ts from events")
+def dates_by_tokens(spark, sf):
+    """The events' times, each written in one of many ways and read again."""
+    rows = table(spark, sf, "events").withColumn("spelling", (F.col("event_id") % len(SPELLED)).cast("int"))
+    text = F.date_format("ts", SPELLED[0])
+    for k, spelled in enumerate(SPELLED[1:], 1):
+        text = F.when(F.col("spelling") == k, F.date_format("ts", spelled)).otherwise(text)
+    return rows.select("event_id", "spelling", parse_time(text).cast("timestamp_ntz").alias("ts"))

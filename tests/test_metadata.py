@@ -127,8 +127,9 @@ def test_schema_definitions(spark):
 def test_times(spark):
     texts = ["2024-01-05", "'2024-01-05'", "10:30", "2024", "2024-13-40", "5 January 2024"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(parse_time(F.col("t"))).collect()]
-    assert got == [datetime(2024, 1, 5), datetime(2024, 1, 5), None, None, None, datetime(2024, 1, 5)]
+    assert got == [datetime(2024, 1, 5), datetime(2024, 1, 5), None, datetime(2024, 1, 1), None, datetime(2024, 1, 5)]
     assert literal_time("2024-01-05T02:00:00+02:00") == datetime(2024, 1, 5)
+    assert not is_date_only("Jan 5, 2024 10 PM") and not is_date_only("20240105 1030") and is_date_only("Tuesday, 5 Mar 2024")
     assert is_date_only("October 5, 2024") and is_date_only("2024-10-05") and not is_date_only("2024-10-05T00:00:00Z")
     with pytest.raises(ValueError):
         literal_time("soon")
@@ -138,7 +139,18 @@ def test_times(spark):
     ("Jan 15 2024", "2024-01-15 00:00:00"), ("15-Jan-2024", "2024-01-15 00:00:00"), ("20240115", "2024-01-15 00:00:00"),
     ("2024-01-15 10:30 PM", "2024-01-15 22:30:00"), ("january 5, 2024 3:04 pm", "2024-01-05 15:04:00"), ("5 MAY 2024", "2024-05-05 00:00:00"),
     ("2024/1/5 7:08", "2024-01-05 07:08:00"), ("Sep 9, 2023", "2023-09-09 00:00:00"), ("1/15/2024 11:00 am", "2024-01-15 11:00:00"), ("2024-01-15", "2024-01-15 00:00:00"),
-    ("15/01/2024", None), ("Janember 5 2024", None), ("20241315", None), ("soon", None),
+    ("Monday, January 15, 2024", "2024-01-15 00:00:00"), ("Jan 15, 2024 10:30:15 PM", "2024-01-15 22:30:15"), ("2024/01/15 10:30:00 AM", "2024-01-15 10:30:00"),
+    ("15 Jan 2024 10:30:00 GMT", "2024-01-15 10:30:00"), ("Mon, 15 Jan 2024 10:30:00 GMT", "2024-01-15 10:30:00"), ("Mon Jan 15 10:30:00 2024", "2024-01-15 10:30:00"),
+    ("2024.01.15", "2024-01-15 00:00:00"), ("15.01.2024", "2024-01-15 00:00:00"), ("1/15/24", "2024-01-15 00:00:00"), ("Sept 5 2024", "2024-09-05 00:00:00"),
+    ("10:30 Jan 15 2024", "2024-01-15 10:30:00"), ("20240115T103000", "2024-01-15 10:30:00"), ("January 2024", "2024-01-01 00:00:00"), ("2024", "2024-01-01 00:00:00"),
+    # zones, clocks and compact forms
+    ("2024/01/15 10:30 +02:00", "2024-01-15 08:30:00"), ("2024/01/15T10:30-05", "2024-01-15 15:30:00"), ("15 Jan 2024 10:30:15.75Z", "2024-01-15 10:30:15"),
+    ("15th of January 2024 at 3pm", "2024-01-15 15:00:00"), ("12 am Jan 1 2024", "2024-01-01 00:00:00"), ("12:15 a.m. Jan 1 2024", "2024-01-01 00:15:00"), ("202401151030", "2024-01-15 10:30:00"),
+    # ambiguous ones, as the module says
+    ("3/4/2024", "2024-03-04 00:00:00"), ("3.4.2024", "2024-03-04 00:00:00"), ("15/01/2024", "2024-01-15 00:00:00"), ("2024-13-01", "2024-01-13 00:00:00"),
+    ("Jan 15 74", "2074-01-15 00:00:00"), ("15 Jan 75", "1975-01-15 00:00:00"), ("01/2024", "2024-01-01 00:00:00"),
+    ("Janember 5 2024", None), ("Mayor 2024", None), ("20241315", None), ("soon", None), ("Jan 5", None), ("10:30", None), ("2/30/2024", None), ("1/2/3", None),
+    ("14:30 pm 1/1/2024", None), ("1/15/2024 25:00", None), ("12345", None), ("15 Jan 2024 10:30 EST", None), ("...", None),
 ])
 def test_spellings_of_times(spark, text, want):
     from docketry.functions.times import literal_time, parse_time

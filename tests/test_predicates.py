@@ -22,7 +22,7 @@ def leaf(op, field, value=None, **more):
 @pytest.mark.parametrize(
     "spec",
     [
-        leaf("==", "title", "x"), leaf("LIKE", "title", "%x%"), leaf("NOT IN", "title", ["a", "b"]),
+        leaf("==", "title", "x"), leaf("LIKE", "title", "%x%"), leaf("like", "title", "50\\%\\_\\\\ \n%"), leaf("NOT IN", "title", ["a", "b"]),
         leaf("in", "pages", [1, 2]), leaf("in", "rating", [1, 2.5]), leaf("between", "pages", [1, 1]),
         leaf("between", "created", ["2024-01-01", "Jan 2, 2024"]), leaf("before", "created", "2024-01-01"),
         leaf("!=", "is_public", False), leaf("==", "tags", ["a"]), leaf("in", "tags", ["a"]),
@@ -50,7 +50,7 @@ def test_accepted(spec):
         leaf("array_length", "tags", 0), leaf("array_length", "tags", 0, cmp="!="), leaf("array_length", "tags", -1),
         leaf("array_length", "tags", 11, cmp="<"), leaf("array_length", "tags", 1.5), leaf("array_length", "title", 2),
         leaf("has", "title", "a"), leaf("has", "tags", ["a"]), leaf("array_contains", "tags", ["a"]),
-        leaf("in", "tags", ["a"] * 11), {"and": []}, {}, "title == 1", {"or": [leaf("==", "pages", 1)], "and": []},
+        leaf("in", "tags", ["a"] * 11), leaf("like", "title", "abc\\"), leaf("like", "title", "a\\b%"), leaf("like", "title", "%\\\\\\"), {"and": []}, {}, "title == 1", {"or": [leaf("==", "pages", 1)], "and": []},
     ],
 )
 def test_refused(spec):
@@ -90,6 +90,10 @@ def test_rows_kept(chunks, spec, want):
 
 
 def test_generated_and_missing_schema(chunks):
+    broken = leaf("like", "title", "abc\\")
+    assert ids(chunks, {"and": [broken, leaf("==", "pages", 5)]}, generated=True) == [1, 2, 3]
+    with pytest.raises(FilterError, match="backslash"):
+        ids(chunks, broken)
     bad = leaf("==", "author", "x")
     assert ids(chunks, bad, generated=True) == [1, 2, 3]
     with pytest.raises(FilterError):
