@@ -2,8 +2,8 @@
 
 The index has, for blocks of documents with about as many terms, a matrix of bits: a column is a
 document's Bloom signature, a row (slice) says for one bit which documents of the block have it. The
-and of a term's few slices marks all documents with the term and a few more. Terms that occur 2, 3, 5
-or 9 times are in the signature again under those counts, so the slices also bound how often.
+and of a term's few slices marks all documents with the term and a few more. Terms that occur 2, 3, 4,
+6, 9 times or more are in the signature again under those counts, so the slices also bound how often.
 Besides, the index has each document's number of terms and highest count, and in how many documents
 of a part each term occurs.
 
@@ -31,10 +31,10 @@ from docketry.session import cut_lineage, work_path
 
 #: A term's characters are ASCII letters, digits and all that is not ASCII.
 _TERM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-#: Counts from which on a term is in the signature again.
-TIERS = np.array([1, 2, 3, 5, 9])
-#: Slices of a term, and the least bits of a signature for one of its entries.
-SLICES, BITS = 3, 10
+#: Counts from which on a term is in the signature again; a share is bounded by that of the next one.
+TIERS = np.array([1, 2, 3, 4, 6, 9, 14, 22, 36, 60, 100, 200, 500])
+#: Slices of a term, the least bits of a signature for one of its entries, and for all.
+SLICES, BITS, LEAST_BITS = 3, 12, 512
 #: Documents of a block, at least 8 and no more than make so many bits.
 BLOCK, MOST_BITS = 1_024, 1 << 23
 #: Terms whose names a task remembers, and whose counts it holds before it sends them.
@@ -91,7 +91,7 @@ class Builder:
         self.seen.update(counts.keys())
         many = np.fromiter(counts.values(), np.int64, len(counts))
         tiers = np.searchsorted(TIERS, many, side="right")
-        bits = 1 << (int(tiers.sum()) * BITS - 1).bit_length()
+        bits = max(LEAST_BITS, 1 << (int(tiers.sum()) * BITS - 1).bit_length())
         own = self.held.setdefault(bits, [])
         own.append((key, len(words), int(many.max()), self.names.of(counts), tiers))
         if len(own) >= max(8, min(BLOCK, MOST_BITS // bits)):
@@ -288,7 +288,8 @@ def weighted(index: DataFrame, items: list[tuple], docs: int, total: int) -> Ite
 def searched(spark: SparkSession, index: DataFrame, docs: DataFrame, items: Items, most: int) -> DataFrame:
     """(item_id, rank, doc_id, score) of the items of one block."""
     shared = spark.sparkContext.broadcast(items)
-    likely = rescored(docs, highest_bounds(index, shared, most), shared)
+    # twice as many, since some of the highest bounds may be of documents that hardly match
+    likely = rescored(docs, highest_bounds(index, shared, 2 * most), shared)
     order = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     kth = likely.withColumn("r", F.row_number().over(order)).where(F.col("r") == most).select("item", "score").collect()
     least = np.ones(len(items.ids), np.int64)  # a score above 0
