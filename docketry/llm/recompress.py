@@ -7,18 +7,19 @@ agree over all documents without an exchange; so do borders of symbols away from
 substrings. With each symbol goes the stretch of words that decides it. A window takes as its anchor
 the highest symbol that the window's own words decide, so equal windows share it. Spark rounds then
 find the symbols that occur again, verify runs of windows around them, and at last single windows
-by names of all their words; see docketry.llm.repeats."""
+by names of all their words; see docketry.llm.repeats. A window's name has 64 bits from its two halves and
+32 bits from its words one by one."""
 
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
-from docketry.llm.repeats import NONE, PLACE, PLACE_BITS, Batch, Scheme, doubled, least_of, pair_name, without_repeats
+from docketry.llm.repeats import NONE, PLACE, PLACE_BITS, Batch, Scheme, doubled, eights, least_of, pair_name, without_repeats
 from docketry.llm.suffixes import runs_of
 
 #: Stands for an end of the stretch that lies outside the piece.
@@ -28,20 +29,19 @@ ROUNDS = 3
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
-_LETTER = pair_name(np.arange(1, 257, dtype=np.uint64), np.arange(513, 769, dtype=np.uint64))
+#: What is left of eight bytes if only so many belong to a word.
+_HEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: Bytes of a text whose words are named at once, if blanks allow.
 STRETCH = 1 << 18
-
-
-@lru_cache(4)
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of an odd number and of its inverse, modulo 2**64."""
-    base = 0x9E3779B97F4A7C15
-    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)]) for x in (base, pow(base, -1, 1 << 64)))
+#: Words with more bytes are named one by one.
+LONG = 64
 
 
 def word_names(text: bytes) -> np.ndarray:
-    """A 64-bit name of each word, from a polynomial over its bytes and its length."""
+    """A 64-bit name of each word: its length mixed with eight of its bytes after the other.
+
+    A step is one-to-one, so words of up to eight bytes have names of their own but for their length.
+    Long words have their XXH64."""
     out, at = [], 0
     while at < len(text):
         end = at + STRETCH
@@ -50,15 +50,26 @@ def word_names(text: bytes) -> np.ndarray:
             if not end:
                 found = [k for c in b" \t\n\v\f\r" if (k := text.find(c, at)) >= 0]
                 end = min(found, default=len(text)) + 1
-        data = np.frombuffer(text[at:end], np.uint8)
+        piece = text[at:end]
         at = end
-        border = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
+        border = np.flatnonzero(np.diff(~_SPACE[np.frombuffer(piece, np.uint8)], prepend=False, append=False))
         begin, stop = border[::2], border[1::2]
-        size = max(STRETCH, 1 << (len(data) - 1).bit_length())
-        up, down = powers(size)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_LETTER[data] * up[: len(data)], out=sums[1:])
-        out.append(pair_name((sums[stop] - sums[begin]) * down[begin], (stop - begin).astype(np.uint64)))
+        size = stop - begin
+        name = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        eight, open_ = eights(piece), np.flatnonzero(size <= LONG)
+        done = 0
+        while len(open_):
+            left = np.minimum(size[open_] - done, 8)
+            x = name[open_] ^ (eight[begin[open_] + done] & _HEAD[left])
+            x *= np.uint64(0xD6E8FEB86659FD93)
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0xFF51AFD7ED558CCD)
+            name[open_] = x ^ (x >> np.uint64(29))
+            done += 8
+            open_ = open_[size[open_] > done]
+        for k in np.flatnonzero(size > LONG).tolist():
+            name[k] = xxhash.xxh64_intdigest(piece[begin[k] : stop[k]])
+        out.append(name)
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -146,7 +157,7 @@ def word_scheme(window: int, rounds: int = ROUNDS) -> Scheme:
             name[hit] = level.name[np.searchsorted(level.begin, at)]
             anchor[hit] = at * (rounds + 1) + r + 1
         first, last, row, start = runs_of(pieces, anchor, window)
-        return Batch(doubled(names, 4), window - 16, first, last, anchor[first], name[first], row, start)
+        return Batch(doubled(names, 4), window - 16, names, window, first, last, anchor[first], name[first], row, start)
 
     return Scheme(window, 1 << 14, True, False, word_names, batch)
 

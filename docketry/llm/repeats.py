@@ -36,6 +36,7 @@ PLACE = np.uint64((1 << 21) - 1)
 NONE = np.uint64((1 << 64) - 1)
 
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_THREE, _FOUR = np.uint64(0x243F6A8885A308D3), np.uint64(0xFF51AFD7ED558CCD)
 _SENT = "to long, home long, round int, part int, names binary, docs binary, flags binary"
 _BACK = "bucket long, round int, part int, bits binary"
 _SENT_TYPES = pa.schema([("to", pa.int64()), ("home", pa.int64()), ("round", pa.int32()), ("part", pa.int32()), ("names", pa.binary()), ("docs", pa.binary()), ("flags", pa.binary())])
@@ -72,11 +73,13 @@ class Batch:
     """Pieces of documents, their windows gathered into runs with one anchor.
 
     base: names of 16 consecutive elements; second: where the second of the two parts starts that
-    name a window. Per run: the first and the last window (places in the batch), the anchor's place
+    name a window; elements: what a window consists of, and how many. Per run: the first and the last window (places in the batch), the anchor's place
     and name, the row, and the first window's place within its document."""
 
     base: np.ndarray
     second: int
+    elements: np.ndarray
+    size: int
     first: np.ndarray
     last: np.ndarray
     anchor: np.ndarray
@@ -85,15 +88,33 @@ class Batch:
     start: np.ndarray
 
     def window(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """96 bits that name the window at each place."""
-        return wide(self.part(at), self.part(at + self.second))
+        """The name of the window at each place: 64 bits from its parts, and 32 bits from its elements
+        that do not depend on the parts' names. So windows that have a part in common, or two parts
+        with one name, still differ in what the rest of them gives."""
+        return pair_name(self.part(at), self.part(at + self.second)), self.check(at)
 
     def part(self, at: np.ndarray) -> np.ndarray:
         return self.base[at]
 
+    def check(self, at: np.ndarray) -> np.ndarray:
+        """32 bits from all elements of each window, in their order."""
+        return fold(self.elements, at, range(self.size))
 
-def wide(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return pair_name(a, b), (pair_name(b ^ _ONE, a) >> np.uint64(32)).astype(np.uint32)
+
+def fold(values: np.ndarray, at: np.ndarray, steps) -> np.ndarray:
+    x = np.full(len(at), _THREE)
+    for k in steps:
+        x ^= values[at + k]
+        x *= _FOUR
+        x ^= x >> np.uint64(32)
+    return (x >> np.uint64(32)).astype(np.uint32)
+
+
+def eights(data: bytes | np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, without a copy; zeros follow the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = np.frombuffer(data, np.uint8)
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
 
 
 @dataclass

@@ -9,8 +9,9 @@ come pairs of the names of two overlapping windows, and at last pairs of 25 byte
 are the threshold. At each offset Spark deals the pairs out by ranges of names; a range is sorted and
 what is unique drops out.
 
-Names of the sorted pairs have 96 bits, so two of a million million different windows share one with
-a chance of 1 in 100,000."""
+Names of the sorted pairs have 96 bits: 64 from the pair and 32 from the window's bytes themselves,
+so two of a million million different windows share one with a chance of 1 in 100,000, also if they
+have a half in common."""
 
 from __future__ import annotations
 
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docketry.llm.repeats import PLACE, PLACE_BITS, Batch, Scheme, doubled, least_of, pair_name, without_repeats
+from docketry.llm.repeats import PLACE, PLACE_BITS, Batch, Scheme, doubled, eights, fold, least_of, pair_name, without_repeats
 
 _BYTES = pair_name(np.arange(1, 257, dtype=np.uint64), np.arange(257, 513, dtype=np.uint64))
 
@@ -35,6 +36,9 @@ class HalfNames(Batch):
     def part(self, at: np.ndarray) -> np.ndarray:
         return pair_name(self.base[at], self.base[at + self.second - 16])
 
+    def check(self, at: np.ndarray) -> np.ndarray:
+        return fold(self.elements, at, [*range(0, self.size - 7, 8), self.size - 8])
+
 
 def runs_of(pieces: list, anchor: np.ndarray, window: int):
     """First and last place, row and start of the runs of windows with one anchor in one piece."""
@@ -69,7 +73,7 @@ def byte_scheme(window: int) -> Scheme:
         place |= anchors >> PLACE_BITS << PLACE_BITS
         anchor = (least_of(place, window - ANCHOR + 1) & PLACE).astype(np.int64)
         first, last, row, start = runs_of(pieces, anchor, window)
-        return HalfNames(sixteen, window // 2, first, last, anchor[first], anchors[anchor[first]], row, start)
+        return HalfNames(sixteen, window // 2, eights(data), window, first, last, anchor[first], anchors[anchor[first]], row, start)
 
     return Scheme(window, 1 << 16, False, True, lambda text: text, batch)
 

@@ -152,3 +152,53 @@ def test_queries_beside_brute_force(spark, tmp_path, docs_of, name, columns, bru
     rows = texts_with_copies(21, 80)
     docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
     assert found(QUERIES[name](spark, str(tmp_path)), *columns) == brute_force(rows)
+
+
+def thue_morse(power, letters="ab"):
+    word = "0"
+    for _ in range(power):
+        word += word.translate(str.maketrans("01", "10"))
+    return word.translate(str.maketrans("01", letters))
+
+
+def test_words_that_sums_of_powers_confuse(spark, tmp_path, docs_of):
+    """A word of 1,024 letters and its complement have one polynomial modulo 2**64, but are two words."""
+    rest = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{thue_morse(10)} {rest}"), (2, f"{thue_morse(10, 'ba')} {rest}"), (3, f"{thue_morse(10)} {rest}")]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = found(QUERIES["op9_recompression"](spark, str(tmp_path)), *WORDS)
+    assert got == by_words(rows) and [r[2] for r in got] == [0, 0, 20]
+
+
+def test_words_have_names_of_their_own():
+    rng = random.Random(6)
+    words = {bytes(rng.choice(b"ab\xc3\xa9\x00") for _ in range(rng.randrange(1, 90))) for _ in range(20_000)} | {b"a" * n for n in range(1, 3_000, 7)} | {thue_morse(n, x).encode() for n in range(12) for x in ("ab", "ba")}
+    text = b" ".join(words)
+    names = recompress.word_names(text)
+    assert len(names) == len(words) == len(set(names.tolist()))
+    assert (recompress.word_names(b"\n" + text * 2) == np.r_[recompress.word_names(text * 2)]).all()
+    for w, name in list(zip(text.split(), names, strict=True))[::97]:
+        assert recompress.word_names(b"x " * 5 + w)[5] == name == recompress.word_names(w + b"\tyz")[0]
+
+
+def test_windows_with_a_half_in_common_are_checked_apart(monkeypatch):
+    """If all names of parts were equal, the check would still tell windows apart."""
+    for scheme, text in ((recompress.word_scheme(20), b" ".join(b"w%d" % (i % 37) for i in range(200))), (suffixes.byte_scheme(50), bytes(i * i % 251 for i in range(400)))):
+        batch = next(iter(scheme.batches([text], [])))
+        at = np.arange(scheme.elements(text) is not text and 150 or 300)
+        unlike = {}
+        for k, c in zip(at.tolist(), batch.check(at).tolist(), strict=True):
+            own = tuple(text.split()[k : k + 20]) if scheme.within else text[k : k + 50]
+            assert unlike.setdefault(own, c) == c
+        assert len(set(unlike.values())) == len(unlike)
+
+
+def test_one_word_of_many_bytes_takes_little_memory():
+    import tracemalloc
+
+    text = b"a b " + b"x" * 8_000_000 + b" c"
+    tracemalloc.start()
+    names = recompress.word_names(text)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(names) == 4 and most < 10 * len(text)
