@@ -154,11 +154,61 @@ def test_long_runs_take_linear_time(ranks):
         assert secrets.all_spans(f"see {run} there", encode) is not None
 
 
-def test_random_recall(ranks):
-    """Of random base64 strings of 32 characters at least nine in ten are found."""
+LETTERS, LOWER, UPPER = string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase
+
+
+@pytest.mark.parametrize("letters, size, least", [
+    (LETTERS, 16, 0.95), (LETTERS, 20, 0.95), (LETTERS, 32, 0.98), (LETTERS + string.digits, 16, 0.98), (LETTERS + string.digits, 64, 0.98),
+    (LETTERS + string.digits + "+/_-", 16, 0.98), (LOWER + string.digits, 16, 0.95), (UPPER, 20, 0.95), (LOWER, 20, 0.8), (LOWER, 24, 0.7), (LOWER, 64, 0.9),
+])
+def test_random_recall(ranks, letters, size, least):
+    """What the module states, by alphabet and length."""
     rng, encode = random.Random(9), tokens.Encoder(ranks, PATTERN)
-    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(32)) for _ in range(300)]
-    assert sum(bool(secrets.all_spans(f"x {k} y", encode)) for k in keys) >= 270
+    keys = ["".join(rng.choice(letters) for _ in range(size)) for _ in range(400)]
+    assert sum(bool(secrets.all_spans(f"x {k} y", encode)) for k in keys) >= least * len(keys)
+
+
+def plain_spans(text, library):
+    """All spans by their definition, the runs' tokens counted by the library."""
+    text = text or ""
+    base = base_of(text)
+    taken = [tuple(map(int, s.split(":")[1:])) for s in base]
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        run, (a, z) = m.group(), m.span()
+        core = run.strip("=-_/+")
+        known = re.fullmatch("[0-9a-f]+|[0-9A-F]+", core) and len(core) in (32, 40, 48, 56, 64, 96, 128) or re.fullmatch("[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}", core)
+        if z - a < 16 or known or len(set(core)) < 8 or not re.search("[A-Za-z]", core) or any(a < y and x < z for x, y in taken):
+            continue
+        ratio = len(run) / len(library.encode_ordinary(run))
+        if re.fullmatch("[A-Z]?[a-z]+|[A-Z]+", run):
+            random_ = ratio < 1.7 and len(run) >= 20
+        else:
+            words = re.findall("[A-Z]?[a-z]+|[A-Z]+", run)
+            named = not re.search("(?i)[0-9]{3}|[a-z][0-9]|[0-9][a-z]", run) and all(len(w) > 2 or len(w) == 2 and (w.isupper() or w.islower()) for w in words)
+            random_ = ratio < 1.9 and (not named or ratio < 1.5)
+        if random_:
+            found.append(f"random:{a}:{z}")
+    order = ("assign", "access", "hex", "random")
+    return sorted(base + found, key=lambda s: (int(s.split(":")[1]), order.index(s.split(":")[0]), int(s.split(":")[2])))
+
+
+def test_secrets_query_beside_a_plain_version(spark, tmp_path, docs_of, library):
+    rng = random.Random(12)
+    rows, alphabets = secret_rows(), [LETTERS, LETTERS + string.digits, LOWER, UPPER + string.digits, LETTERS + string.digits + "+/_-="]
+    for i in range(300):
+        some = ["".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randrange(12, 50))) for _ in range(3)]
+        rows.append((1_000 + i, " ".join([rng.choice(HARMLESS), *some, "plain words é", rng.choice(["token=", ""]) + some[0]])))
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op7_secrets"](spark, str(tmp_path)).collect()}
+    many = 0
+    for d, t in rows:
+        want = plain_spans(t, library)
+        assert got[d]["spans"] == ",".join(want)
+        assert got[d]["n_random"] == sum(s.startswith("random") for s in want)
+        assert got[d]["base_sha256"] == hashlib.sha256(",".join(base_of(t)).encode()).hexdigest()
+        many += got[d]["n_random"]
+    assert many > 500
 
 
 def test_masks(docs_of, spark):
