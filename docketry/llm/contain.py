@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from docketry.llm.common import picked
 from docketry.session import cut_lineage
 
 HASHES = 32
@@ -123,7 +124,7 @@ def contained(docs: DataFrame, items: DataFrame, size: int = 5, least: float = 0
     are not read. Items are broadcast in blocks of bounded size, with one scan of the documents
     for each, so neither side is capped."""
     spark = docs.sparkSession
-    given = items.select(F.col("item_id").cast("long"), F.col("text")).where("text is not null").withColumn("n", F.octet_length("text").cast("long"))
+    given = picked(items, "item_id", "text").select(F.col("item_id").cast("long"), F.col("text")).where("text is not null").withColumn("n", F.octet_length("text").cast("long"))
     total = given.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-total // block_bytes))
     result = None
@@ -158,4 +159,4 @@ def in_block(docs: DataFrame, shared, size: int, least: float) -> DataFrame:
             cols = zip(*out, strict=True) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(map(list, cols), [pa.int64()] * 4 + [pa.float64()], strict=True)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, item_id long, n_shingles long, n_shared long, containment double")
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, item_id long, n_shingles long, n_shared long, containment double")

@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from docketry.llm.common import picked
 from docketry.session import cut_lineage, work_path
 
 #: A term's characters are ASCII letters, digits and all that is not ASCII.
@@ -123,7 +124,7 @@ class Builder:
 
 def with_key(docs: DataFrame) -> DataFrame:
     """(doc_id, text, key); rows with one key are the same to the search until they are rescored."""
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    given = picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return given.withColumn("key", F.xxhash64("doc_id", "text"))
 
 
@@ -317,7 +318,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, most: int = 50, item_bytes:
     spark = docs.sparkSession
     index = written_index(docs)
     n = index.where("bits is not null").agg(F.sum(F.size("n")).alias("docs"), F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)).alias("total")).first()
-    given = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    given = picked(items, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     held = given.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
     parts, result = max(1, -(-held // item_bytes)), None
     for part in range(parts if n["docs"] else 0):

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docketry.llm.common import parts_of
+from docketry.llm.common import parts_of, picked
 from docketry.session import cut_lineage
 
 #: Bytes of anchors that are broadcast; of a tile of anchors or rows if there are more.
@@ -213,7 +213,7 @@ def hard_negatives(rows: DataFrame, is_anchor: Callable[[Column], Column], posit
     one with the least label, then vector is the anchor. A score beyond 64 bits is an error. No rows
     give no rows; other columns are not read."""
     vector = F.col("embedding").cast("array<double>")
-    given = rows.where(usable(vector, F.col("label"))).select(F.col("vec_id").cast("long").alias("id"), F.col("label").cast("long").alias("label"), numbers(vector).alias("vector")).where("id is not null")
+    given = picked(rows, "vec_id", "label", "embedding").where(usable(vector, F.col("label"))).select(F.col("vec_id").cast("long").alias("id"), F.col("label").cast("long").alias("label"), numbers(vector).alias("vector")).where("id is not null")
     chosen = given.where(is_anchor(F.col("id"))).groupBy("id").agg(F.min(F.struct("label", "vector")).alias("own"))
     anchors = cut_lineage(chosen.select("id", "own.label", "own.vector"))
     how = {"positives": positives, "negatives": negatives, "low": low}

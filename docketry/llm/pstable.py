@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docketry.llm.common import Forest, components, parts_of
+from docketry.llm.common import Forest, components, parts_of, picked
 from docketry.session import cut_lineage
 
 TABLES, PROJECTIONS, WIDTH, SEED = 32, 12, 2.0, 20_240_501
@@ -122,7 +122,7 @@ def near_vectors(rows: DataFrame, least: float = 0.9, tables: int = TABLES, proj
     sizes. Rows with one vec_id are one item, so what they link to is one component. A row without
     vec_id links with nothing and has no component_id; it is kept. Repeated
     rows are copies. No rows give no rows; other columns are not read."""
-    given = rows.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
+    given = picked(rows, "vec_id", "embedding").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
     good = given.where(usable(F.col("vector")) & F.col("vec_id").isNotNull())
     classed = good.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("many"))
     classes = cut_lineage(classed.withColumn("cls", F.monotonically_increasing_id()))

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from docketry.llm.common import picked
+
 #: At most so many labelled rows, those first by a hash of their number, and so many pairs of them.
 SAMPLE, PAIRS = 20_000, 100_000
 THRESHOLD = 0.3
@@ -62,7 +64,7 @@ def with_features(docs: DataFrame, weights: "Ranking | None" = None) -> DataFram
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.float64())], ["doc_id", "strength"])
 
     kind = "features array<double>" if weights is None else "strength double"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, {kind}")
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, {kind}")
 
 
 @dataclass
@@ -116,9 +118,9 @@ def ranked(docs: DataFrame, labels: DataFrame, learn_from, sample: int = SAMPLE)
     """A ranking fitted on the labelled documents for which the column `learn_from` holds, and how many.
 
     Of more than `sample` such documents those first by a hash of their number are taken."""
-    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.max("quality").alias("good"))
+    known = picked(labels, "doc_id", "quality").where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.max("quality").alias("good"))
     first = known.withColumnRenamed("of", "doc_id").where(learn_from).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "of")
-    own = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(first), F.col("doc_id") == F.col("of"))
+    own = picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").join(F.broadcast(first), F.col("doc_id") == F.col("of"))
     told = with_features(own.select("doc_id", "text")).groupBy("doc_id").agg(F.min("features").alias("features"))  # repeated rows count once
     rows = told.join(F.broadcast(first), F.col("doc_id") == F.col("of")).orderBy("doc_id").collect()
     x = np.array([r["features"] for r in rows], np.float64).reshape(-1, len(FEATURES))

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docketry.llm.common import LAST, parts_of, text_bytes
+from docketry.llm.common import LAST, parts_of, picked, text_bytes
 
 BUCKET_BYTES = 4 << 20
 RANGE_BYTES = 8 << 20
@@ -418,6 +418,7 @@ def without_repeats(docs: DataFrame, scheme: Scheme, finish: Callable[[bytes, np
     """(doc_id, columns) of every row: what finish(text, removed elements) says of its whole text.
 
     See the module for how the rounds are laid out."""
+    docs = picked(docs, "doc_id", "text")
     total = text_bytes(docs)
     buckets, parts = parts_of(total, bucket_bytes, LEAST_PARTS), parts_of(total, RANGE_BYTES, LEAST_PARTS)
     bucket_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).alias("bucket")

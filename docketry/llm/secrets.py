@@ -21,6 +21,7 @@ from bisect import bisect_left
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from docketry.llm.common import picked
 from docketry.llm.tokens import Encoder, read_ranks
 
 #: The kinds in order, their patterns, and the least length of what is measured.
@@ -143,7 +144,7 @@ def found_secrets(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO
 
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "masked"]
     columns = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, masked string"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
 
 
 def with_masked(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO, mask: str = "<secret>") -> DataFrame:

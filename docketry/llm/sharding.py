@@ -12,6 +12,8 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docketry.llm.common import picked
+
 #: The most slots that are broadcast; two integers each.
 MOST_SLOTS = 1_000_003
 
@@ -66,5 +68,5 @@ def place(rows: DataFrame, key: str, shards: list[str], slots: int = 65_537) ->
     Equal keys get equal shards, repeated rows stay repeated, an empty table gives no rows, and
     other columns of the rows are not read. A null key goes where the empty text goes."""
     table = lookup_table(rows.sparkSession, shards, slots)
-    keyed = rows.select(F.col(key), slot_of(F.col(key), slots).alias("slot"))
+    keyed = picked(rows, key).select(F.col(key), slot_of(F.col(key), slots).alias("slot"))
     return keyed.join(F.broadcast(table), "slot").select(keyed[key], "slot", "shard", "shard_name")

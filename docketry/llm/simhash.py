@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from docketry.llm.common import Forest, components
+from docketry.llm.common import Forest, components, picked
 from docketry.session import cut_lineage
 
 SEED = 42
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
             fp = pa.array([fingerprint(x, size) for x in b.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), fp], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def near_steps(radius: int) -> list[tuple[int, int]]:

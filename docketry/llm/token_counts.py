@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from docketry.llm.common import parts_of
+from docketry.llm.common import parts_of, picked
 from docketry.session import cut_lineage
 
 #: Characters of a chunk without its overlap, and of the overlap.
@@ -285,7 +285,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, chunk: int
         raise ValueError(f"the overlap must be {4 * near} characters at least and half a chunk at most")
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
     text = F.coalesce(F.col("text"), F.lit(""))
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
+    given = picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     huge = F.length("text") > chunk + overlap
     long = given.where(huge).withColumn("key", F.sha2("text", 256))
     found = cut_lineage(long_counts(long.select("key", "text"), shared, near, chunk, overlap))

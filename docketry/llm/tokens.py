@@ -17,6 +17,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docketry.llm.common import picked
+
 #: Words that a task remembers; beyond it forgets all and goes on.
 MOST_WORDS = 400_000
 #: The most ranks that are broadcast.
@@ -135,7 +137,7 @@ def with_tokens(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = [encode.ids(x) for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), lists(ids)], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decoded(rows: DataFrame, path: str, data: bool = True) -> DataFrame:
@@ -158,7 +160,7 @@ def decoded(rows: DataFrame, path: str, data: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, ids), pa.int64()), *sha, *[pa.array(got, pa.binary())] * data], names)
 
     columns = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", data binary" * data
-    return rows.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, columns)
+    return picked(rows, "doc_id", "ids").select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, columns)
 
 
 def encoded_and_decoded(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFrame:
@@ -178,7 +180,7 @@ def encoded_and_decoded(docs: DataFrame, path: str, pattern: str, ids: bool = Tr
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids]
     columns = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
 
 
 def lists(ids: list[array]) -> pa.ListArray:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from docketry.llm.common import picked
 from docketry.session import cut_lineage
 
 #: At most so many labelled rows, those first by a hash of their number.
@@ -168,7 +169,7 @@ def fitted(docs: DataFrame, labels: DataFrame, grade: str, sample: int = SAMPLE)
 
     The sample's numbers are broadcast. Places are counted and chosen in Spark; the driver gets the
     kept places and which of them each document of the sample has."""
-    known = labels.where(F.col(grade).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.max(grade).cast("long").alias("grade"))
+    known = picked(labels, "doc_id", grade).where(F.col(grade).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.max(grade).cast("long").alias("grade"))
     first = F.broadcast(known.orderBy(F.xxhash64("of"), "of").limit(sample))
 
     def run(batches):
@@ -176,7 +177,7 @@ def fitted(docs: DataFrame, labels: DataFrame, grade: str, sample: int = SAMPLE)
             sets = pa.array([feature_places(t).astype(np.int32) for t in b.column(2).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), sets], ["doc_id", "grade", "places"])
 
-    own = docs.select(F.col("doc_id").cast("long"), "text").join(first, F.col("doc_id") == F.col("of"))
+    own = picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").join(first, F.col("doc_id") == F.col("of"))
     told = own.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade long, places array<int>")
     told = cut_lineage(told.groupBy("doc_id", "grade").agg(F.min("places").alias("places")))  # repeated rows count once
     low, n = told.agg(F.min("grade"), F.count("*")).first()
@@ -213,7 +214,7 @@ def severities(docs: DataFrame, model: Severity) -> DataFrame:
             got = score(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.float64()), pa.array(got >= limit)], ["doc_id", "severity", "toxic"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, severity double, toxic boolean")
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, severity double, toxic boolean")
 
 
 def below_limit(docs: DataFrame, model: Severity) -> DataFrame:
