@@ -225,3 +225,39 @@ def test_cells_read_only_probed_folders(spark):
     hits = search.cell_top_k(spark.read.parquet(path), queries, cells, 3, probes=2)
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "cell#" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+@pytest.mark.parametrize("most", [1, 40, 10_000])
+def test_what_a_task_holds_is_bounded(monkeypatch, most):
+    """Groups that come and go in a task: states leave early, and the best of all that left stay the same."""
+    import numpy as np
+    import pyarrow as pa
+
+    from docketry.operators import tiles
+
+    rng = np.random.default_rng(1)
+    routes = np.array(["a", "b", "c"])
+    queries = pa.table({"query_id": range(30), "route": routes[np.arange(30) % 3], "vector": list(rng.normal(size=(30, 4)))})
+    n = 600
+    grp, vectors = rng.integers(0, 12, n), rng.normal(size=(n, 4))
+    items = pa.table({"item_id": range(n), "grp": [f"g{g}" for g in grp], "route": routes[grp % 3], "vector": list(vectors)})
+    monkeypatch.setattr(tiles, "MOST_HELD", most)
+    monkeypatch.setattr(tiles, "ITEM_BLOCK", 50)
+    held, real = [], tiles._States.of
+
+    def of(self, key):
+        yield from real(self, key)
+        held.append((self.held, len(self.states)))
+
+    monkeypatch.setattr(tiles._States, "of", of)
+    out = pa.Table.from_batches(list(tiles._score_batches(items.to_batches(), queries, tiles.SquaredDistance(), 3)), tiles._PAIR_ARROW).to_pylist()
+    assert all(h <= most or s == 1 for h, s in held) and max(h for h, _ in held) <= max(most, 30)
+    best = {}
+    for r in out:
+        best.setdefault((r["query_id"], r["grp"]), []).append((r["score"], r["item_id"]))
+    assert len(out) == (360 if most > 400 else len(out)) and len(best) == 120
+    asked = np.stack(queries["vector"].to_pylist())
+    for (q, g), hits in best.items():
+        own = np.flatnonzero(grp == int(g[1:]))
+        want = sorted((float(((vectors[i] - asked[q]) ** 2).sum()), int(i)) for i in own)[:3]
+        assert [i for _, i in sorted(hits)[:3]] == [i for _, i in want]
