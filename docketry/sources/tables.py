@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from datetime import UTC, datetime
-from urllib.parse import quote, unquote
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -101,14 +101,14 @@ class VersionedTable:
             .select(*row_type.names)
         )
 
-    def _folders(self, version: int, row_type: T.StructType) -> list[str]:
-        """Folders a version wrote, one per partition value, gathered where the files are read."""
+    def _folders(self, version: int) -> list[str]:
+        """Folders a version wrote, one per partition value, from one listing."""
         name = f"version={version}"
         if not self.partition_by:
             return [name]
-        written = self.spark.read.schema(row_type).parquet(f"{self.root}/data/{name}")
-        tail = F.regexp_extract(F.input_file_name(), f"/data/{name}(/.*)?/[^/]*$", 1)
-        return sorted(name + unquote(r[0]) for r in written.select(tail).distinct().collect())
+        base = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/{name}")
+        found = base.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(base)
+        return sorted(f"{name}/{f.getPath().getName()}" for f in found if f.isDirectory())
 
     def _commit(
         self, entry: Row | None, df: DataFrame, operation: str, marks: dict[str, Column] | None = None,
@@ -138,7 +138,7 @@ class VersionedTable:
         rows = sizes["seen"] if kept is None else entry["rows_written"] + added - gone
         row = (
             version, datetime.now(UTC), operation, rows, added, sizes.get("rows_updated", 0), gone, *(batch or (None, None)),
-            [*(kept or []), *self._folders(version, row_type)], row_type.json(),
+            [*(kept or []), *self._folders(version)], row_type.json(),
         )
         self.spark.createDataFrame([row], HISTORY_TYPE).coalesce(1).write.mode("append").json(
             f"{self.root}/history"
