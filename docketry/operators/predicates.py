@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.times import day_bounds, is_date_only, literal_time
-from docketry.operators.metadata import MAX_ARRAY_LENGTH, NUMERIC_TYPES, Field
+from docketry.operators.metadata import ARRAY_TYPES, FIELD_TYPES, MAX_ARRAY_LENGTH, NUMERIC_TYPES, Field
 
 
 class FilterError(ValueError):
@@ -287,6 +287,49 @@ def accepting_collections(spec, schemas: dict[str, list[Field]], strict: bool =
     return kept
 
 
+def leaf_needs(spec) -> list[tuple[int, str, str, str | None, int]]:
+    """What a schema has to have for the filter, as (leaf, field, type, element type, least length).
+
+    A leaf can be taken by several types of its field; then it has a row for each. `least length` is the
+    length of array that the field must allow. A filter of the wrong form is an error, a leaf that
+    no field could take has no row."""
+    out = []
+    for number, leaf in enumerate(_leaves(spec)):
+        name = leaf.get("field")
+        value, long = leaf.get("value"), 0
+        if isinstance(value, list) or str(leaf.get("op", "")).lower() == "array_length":
+            long = len(value) if isinstance(value, list) else value if isinstance(value, int) else 0
+        for kind in FIELD_TYPES:
+            for element in ARRAY_TYPES if kind == "array" else (None,):
+                try:
+                    _check_leaf(leaf, {name: Field(name, kind, array_type=element)})
+                except FilterError:
+                    continue
+                out.append((number, name, kind, element, long if kind == "array" else 0))
+    return out
+
+
+def covering_collections(spec, registry: DataFrame) -> DataFrame:
+    """(collection) of the registry's collections that can take the filter, however many there are.
+
+    The same as `accepting_collections` without `strict`, as one join: the filter's needs, a handful of
+    rows, meet the registry's fields, and a collection in which every leaf is met is kept. A
+    collection without fields takes any filter; without a filter all are kept. No error is raised if
+    none is left. The registry has a row per collection, as `registry_frame` gives it."""
+    if not spec:
+        return registry.select("collection")
+    needs, leaves = leaf_needs(spec), sum(1 for _ in _leaves(spec))
+    wanted = registry.sparkSession.createDataFrame(needs, "leaf int, name string, type string, array_type string, least int")
+    fields = registry.select("collection", F.explode("fields").alias("f")).select("collection", "f.name", "f.type", "f.array_type", "f.max_length")
+    allowed = F.coalesce(F.when(F.col("max_length") > 0, F.col("max_length")), F.lit(MAX_ARRAY_LENGTH))
+    met = (
+        fields.alias("f").join(F.broadcast(wanted.alias("w")), (F.col("f.name") == F.col("w.name")) & (F.col("f.type") == F.col("w.type")) & F.col("f.array_type").eqNullSafe(F.col("w.array_type")) & (allowed >= F.col("least")))
+        .groupBy("collection").agg(F.count_distinct("leaf").alias("met")).where(F.col("met") == leaves).select("collection")
+    )
+    free = registry.where(F.coalesce(F.size("fields"), F.lit(0)) <= 0).select("collection")
+    return met.unionByName(free)
+
+
 def from_conditions(conditions: list[dict]) -> dict | None:
     """A list of term / range / terms / wildcard conditions, all of which must hold."""
     parts = []

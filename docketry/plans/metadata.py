@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions.times import parse_time
 from docketry.operators.metadata import Field, validate_metadata
-from docketry.operators.predicates import accepting_collections, filter_chunks, from_conditions
+from docketry.operators.predicates import accepting_collections, covering_collections, filter_chunks, from_conditions
 from docketry.plans.registry import query, stamp, table
 from docketry.session import spread
 
@@ -234,6 +234,23 @@ def filter_flexible_collections(spark, sf):
     return out
 
 
+@query("""
+with c as (select p_partkey, p_size, p_brand in ('Brand#1', 'Brand#2') as marked from part)
+select 'part-' || p_partkey as collection from c where p_size % 4 = 3 or (p_size % 4 in (1, 2) and (p_size > 20 or marked))
+""")
+def covering_schemas(spark, sf):
+    """Which of many schemas, one per part, can take a filter: a number `size` that takes an order, and
+    a list `tags` of texts that may have three or more."""
+    size = F.when(F.col("p_size") % 4 == 0, "string").when(F.col("p_size") % 4 == 1, "integer").otherwise("float")
+    most = F.when((F.col("p_size") <= 20) & ~F.col("p_brand").isin("Brand#1", "Brand#2"), 2)
+    field = lambda name, kind, element, most: F.struct(F.lit(name).alias("name"), kind.alias("type"), F.lit(False).alias("required"), element.cast("string").alias("array_type"), most.cast("int").alias("max_length"), F.lit(None).cast("string").alias("description"))
+    fields = F.array(field("size", size, F.lit(None), F.lit(None)), field("tags", F.lit("array"), F.lit("string"), most))
+    none = F.filter(fields, lambda f: F.lit(False))
+    registry = table(spark, sf, "part").select(F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("collection"), F.when(F.col("p_size") % 4 == 3, none).otherwise(fields).alias("fields"))
+    spec = {"and": [leaf(">", "size", 30), {"not": leaf("includes", "tags", ["a", "b", "c"])}]}
+    return covering_collections(spec, registry)
+
+
 @query("select event_id as id from events")
 def filter_generated_rejected(spark, sf):
     """A machine-written filter that does not fit the schema filters nothing."""

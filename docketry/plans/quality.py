@@ -10,7 +10,7 @@ from docketry.operators.ingest import payload_rows
 from docketry.plans.files import SQL_ELEMENTS, elements
 from docketry.plans.registry import query, sql_distance, sql_words, table
 from docketry.plans.search import SQL_DENSE, SQL_DOCS, benchmark_queries, hits_with_text, label_chunks, vector_queries
-from docketry.session import work_path
+from docketry.session import cut_lineage, work_path
 from docketry.sources.files import read_evaluation, write_truth
 
 # ---------------------------------------------------------------- citations
@@ -228,8 +228,9 @@ e as (select query_id as question_id, f.text as question, lower(f.text) as refer
 
 
 def _evaluation_set(spark, sf):
-    hits = hits_with_text(spark, sf, 2)
-    asked = benchmark_queries(spark, sf)
+    # both are read in several places of the set
+    hits = cut_lineage(hits_with_text(spark, sf, 2).select("query_id", "collection", "rank", "text"))
+    asked = cut_lineage(table(spark, sf, "benchmark").join(table(spark, sf, "embeddings"), F.col("item_id") == F.col("vec_id"), "left_semi").select(F.col("item_id").alias("query_id"), "text"))
     questions = asked.select(F.col("query_id").alias("question_id"), F.col("text").alias("question"))
     questions = questions.withColumn("reference", F.lower("question"))
     contexts = hits.where("collection = 'en'").select(F.col("query_id").alias("question_id"), "rank", "text")

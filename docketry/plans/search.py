@@ -43,6 +43,13 @@ def document_vectors(spark, sf):
     )
 
 
+def document_texts(spark, sf):
+    """What is shown of a hit, by chunk_id; the embeddings are not needed again."""
+    return texts(spark, sf).select(
+        F.col("doc_id").alias("chunk_id"), "text", F.concat(F.lit("/data/"), "source", F.lit(".txt")).alias("source")
+    )
+
+
 def benchmark_queries(spark, sf):
     """Benchmark texts as questions, with the embedding of the same number."""
     bench = table(spark, sf, "benchmark")
@@ -127,7 +134,7 @@ def filtered_search(spark, sf):
     """The whole path: filter, search, score on 0..1, confidence cut, name the document."""
     hits = _filtered(spark, sf).withColumn("score", 10 - F.col("distance") * 10)
     kept = rerank.cut_by_confidence(rerank.normalise_scores(hits), 0.4)
-    names = document_vectors(spark, sf).select("chunk_id", F.element_at(F.split("source", "/"), -1).alias("document_name"))
+    names = document_texts(spark, sf).select("chunk_id", F.element_at(F.split("source", "/"), -1).alias("document_name"))
     return kept.join(names, "chunk_id").select(
         "query_id", "collection", "chunk_id", F.col("rank").cast("long").alias("rank"),
         F.round("score", 6).alias("score"), "document_name",
@@ -228,7 +235,7 @@ def hits_with_text(spark, sf, k: int = 10):
     chunks, asked = document_vectors(spark, sf), benchmark_queries(spark, sf)
     hits = search.vector_top_k(chunks, asked, k)
     return (
-        hits.join(chunks.select("chunk_id", "text", "source"), "chunk_id")
+        hits.join(document_texts(spark, sf), "chunk_id")
         .join(asked.select("query_id", F.col("text").alias("query_text")), "query_id")
         .withColumn("place", F.struct("rank", "collection"))
     )

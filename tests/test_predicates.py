@@ -1,7 +1,7 @@
 import pytest
 
-from docketry.operators.metadata import Field
-from docketry.operators.predicates import FilterError, accepting_collections, check_filter, filter_chunks, from_conditions
+from docketry.operators.metadata import Field, registry_frame
+from docketry.operators.predicates import FilterError, accepting_collections, check_filter, covering_collections, filter_chunks, from_conditions
 
 FIELDS = [
     Field("title", "string"),
@@ -119,3 +119,38 @@ def test_condition_lists(chunks):
     assert from_conditions([{"wildcard": {"title": "50%_*"}}])["and"][0]["value"] == "50\\%\\_%"
     with pytest.raises(FilterError):
         from_conditions([{"fuzzy": {"title": "x"}}])
+
+
+def test_covering_collections_are_the_accepting_ones(spark):
+    """Beside the loop, over schemas of all kinds of fields and filters of all kinds of leaves."""
+    import itertools
+
+    kinds = [Field("x", t) for t in ("string", "datetime", "number", "integer", "float", "boolean")]
+    kinds += [Field("x", "array", array_type=t, max_length=m) for t in ("string", "number", "integer", "float", "boolean") for m in (None, 2)]
+    schemas = {"none": [], "other": [Field("z", "string")]}
+    for i, (a, b) in enumerate(itertools.product(kinds, kinds)):
+        schemas[f"s{i}"] = [a, Field("y", b.type, array_type=b.array_type, max_length=b.max_length)]
+    registry = registry_frame(spark, schemas).persist()
+    specs = [
+        leaf("==", "x", "2024-01-05"), leaf(">", "x", 3), leaf("==", "x", True), leaf("in", "x", ["a", "b", "c"]), leaf("in", "x", [1, 2]), leaf("array_length", "x", 3, cmp=">"),
+        leaf("includes", "x", ["a"]), leaf("between", "x", [1.5, 2]), leaf("like", "x", "a%"), {"and": [leaf("==", "x", 1), {"not": leaf("array_contains_any", "y", [1.5])}]},
+        {"or": [leaf("has", "x", "a"), leaf("before", "y", "2024-01-01")]}, leaf("is null", "x"), leaf("==", "none", 1), None,
+    ]
+    for spec in specs:
+        try:
+            want = accepting_collections(spec, schemas, strict=False)
+        except FilterError:
+            want = []
+        assert sorted(r.collection for r in covering_collections(spec, registry).collect()) == sorted(want), spec
+    with pytest.raises(FilterError):
+        covering_collections({"and": []}, registry)
+    registry.unpersist()
+
+
+def test_covering_many_schemas(spark):
+    """A hundred thousand schemas, by one join and one count."""
+    from pyspark.sql import functions as F
+
+    row = F.struct(F.lit("x").alias("name"), F.when(F.col("id") % 3 == 0, "integer").otherwise("string").alias("type"), F.lit(False).alias("required"), F.lit(None).cast("string").alias("array_type"), F.lit(None).cast("int").alias("max_length"), F.lit(None).cast("string").alias("description"))
+    registry = spark.range(100_000).select(F.col("id").cast("string").alias("collection"), F.array(row).alias("fields"))
+    assert covering_collections(leaf(">", "x", 1), registry).count() == 33_334
