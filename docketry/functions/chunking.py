@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -50,9 +51,60 @@ def split_tokens(
     return _window_rows(df, tokenize(F.col(text)), _windows(F.col("window_tokens"), size, overlap))
 
 
+def word_pieces(text: Column) -> Column:
+    """A text cut before each word but the first, so that the pieces joined give it back; none if it has
+    no word."""
+    return F.regexp_extract_all(text, F.lit(r"(?:^\s+)?\S+\s*"), F.lit(0))
+
+
+def pieces_by(cut: Callable[[pd.Series], pd.Series]) -> Callable[[Column], Column]:
+    """Pieces by a tokenizer of the user's, in Arrow batches: `cut` gives for each text the list of its
+    pieces, which joined have to give the text back. Null texts have none."""
+
+    @F.pandas_udf("array<string>")
+    def pieces(texts: pd.Series) -> pd.Series:
+        given = texts[texts.notna()]
+        found = dict(zip(given.index, cut(given), strict=True)) if len(given) else {}
+        for k, t in given.items():
+            if "".join(found[k]) != t:
+                raise ValueError(f"the pieces do not give the text back: {t[:80]!r}")
+        return pd.Series([list(found[k]) if k in found else None for k in texts.index], index=texts.index, dtype=object)
+
+    return pieces
+
+
+def split_offsets(
+    df: DataFrame, text: str = "text", size: int = 1024, overlap: int = 150, pieces=word_pieces
+) -> DataFrame:
+    """One row per window of `size` tokens: adds chunk_no, start, stop, chunk_text, n_tokens.
+
+    A window is the slice start..stop (code points, end exclusive) of the text, with its blanks and
+    line breaks; windows less their overlaps give the text back. `pieces` is a column function that
+    cuts a text into its tokens, see `word_pieces` and `pieces_by`. Texts without tokens give no row."""
+    found, step = F.col("window_pieces"), size - overlap
+
+    def window(start: Column, number: Column) -> Column:
+        part = F.slice(found, start + 1, size)
+        return F.struct(
+            F.array_join(part, "").alias("chunk_text"), F.size(part).alias("n_tokens"),
+            F.aggregate(F.slice("window_steps", 1, number), F.lit(0), lambda a, x: a + x).alias("start"),
+        )
+
+    starts = window_starts(F.size(found), size, overlap)
+    cut = (
+        df.withColumn("window_pieces", pieces(F.col(text)))
+        .withColumn("window_steps", F.transform(starts, lambda at: F.length(F.array_join(F.slice(found, at + 1, step), ""))))
+        .withColumn("windows", F.transform(starts, window))
+        .drop("window_pieces", "window_steps")
+    )
+    rows = exploded(cut, "windows", "window", "chunk_no")
+    stop = F.col("window.start") + F.length("window.chunk_text")
+    return rows.select(*df.columns, "chunk_no", "window.start", stop.alias("stop"), "window.chunk_text", "window.n_tokens")
+
+
 def split_by_kind(
     df: DataFrame, kind: str, text: str = "text", size: int = 1024, overlap: int = 150,
-    split_pdf: bool = False,
+    split_pdf: bool = False, tokenize=words,
 ) -> DataFrame:
     """Split the kinds that are split, pass the others as one chunk each."""
     kinds = [*SPLIT_KINDS, "pdf"] if split_pdf else list(SPLIT_KINDS)
@@ -60,7 +112,7 @@ def split_by_kind(
     tok = F.col("window_tokens")
     whole = F.array(F.struct(F.col(text).alias("chunk_text"), F.size(tok).alias("n_tokens")))
     windows = F.when(is_split, _windows(tok, size, overlap)).when(F.col(text) != "", whole)
-    return _window_rows(df, words(F.col(text)), windows)
+    return _window_rows(df, tokenize(F.col(text)), windows)
 
 
 def split_separators(text: str, limit: int, overlap: int, separators=SEPARATORS) -> list[str]:

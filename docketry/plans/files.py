@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import base64
+
+import pandas as pd
+import public_tokenizers
+import tiktoken
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from docketry.functions.chunking import split_by_kind, split_long_text, split_tokens
+from docketry.functions.chunking import pieces_by, split_by_kind, split_long_text, split_offsets, split_tokens
 from docketry.functions.text import base_name, extension, stem
 from docketry.operators import ingest
 from docketry.plans.registry import query, sql_base, sql_words, table, texts
@@ -277,6 +283,51 @@ def token_windows(spark, sf):
     return split_tokens(docs, size=SIZE, overlap=OVERLAP).select("doc_id", "chunk_no", "chunk_text", "n_tokens")
 
 
+@query(f"""
+with t as (select doc_id, regexp_extract_all(text, '(?:^\\s+)?\\S+\\s*') as p from documents),
+s as (select doc_id, p, unnest(range(0, greatest(len(p) - {OVERLAP + 1}, 0) + 1, {SIZE - OVERLAP})) as k from t where len(p) > 0)
+select doc_id, (k / {SIZE - OVERLAP})::int as chunk_no, length(array_to_string(p[1 : k], ''))::int as start,
+  length(array_to_string(p[1 : k + {SIZE}], ''))::int as stop, array_to_string(p[k + 1 : k + {SIZE}], '') as chunk_text,
+  len(p[k + 1 : k + {SIZE}])::int as n_tokens from s
+""")
+def offset_windows(spark, sf):
+    """Windows that are slices of the text, with their places."""
+    return split_offsets(texts(spark, sf).select("doc_id", "text"), size=SIZE, overlap=OVERLAP).select(
+        "doc_id", "chunk_no", "start", "stop", "chunk_text", "n_tokens"
+    )
+
+
+def _byte_tokens(path: str, pattern: str):
+    """A user's tokenizer: tokens of a public vocabulary; those that share a character stay together."""
+    with open(path, "rb") as file:  # read on the driver, sent with the function
+        ranks = dict(line.split() for line in file if line.strip())
+    made = {}
+
+    def cut(column: pd.Series) -> pd.Series:
+        if not made:
+            made["it"] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={base64.b64decode(t): int(r) for t, r in ranks.items()}, special_tokens={})
+
+        def pieces(text: str) -> list[str]:
+            starts = sorted({0, *made["it"].decode_with_offsets(made["it"].encode_ordinary(text))[1]})
+            return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True) if a < b]
+
+        return column.map(pieces)
+
+    return pieces_by(cut)
+
+
+@query("select doc_id, length(text)::int as n_chars, true as whole from documents where text <> ''")
+def byte_token_windows(spark, sf):
+    """Windows by the tokens of a byte-level vocabulary, joined without their overlaps again."""
+    docs = texts(spark, sf).select("doc_id", "text")
+    pieces = _byte_tokens(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = split_offsets(docs, size=SIZE, overlap=OVERLAP, pieces=pieces)
+    before = F.coalesce(F.lag("stop").over(Window.partitionBy("doc_id").orderBy("chunk_no")), F.lit(0))
+    own = rows.withColumn("before", before).withColumn("own", F.expr("substring(chunk_text, before - start + 1)"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "own"))), lambda x: x["own"]), "")
+    return own.groupBy("doc_id", "text").agg(F.max("stop").alias("n_chars"), joined.alias("joined")).select("doc_id", "n_chars", (F.col("joined") == F.col("text")).alias("whole"))
+
+
 @query(f"""
 select * from ({sql_windows("(select * from documents where lang in ('en', 'fr'))", "doc_id")})
 union all select doc_id, 0, text, len({sql_words('text')})::int from documents where lang not in ('en', 'fr') and text <> ''

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docketry.functions.chunking import split_by_kind, split_long_text, split_separators, split_tokens
+from docketry.functions.chunking import pieces_by, split_by_kind, split_long_text, split_offsets, split_separators, split_tokens
 from docketry.functions.text import extension, stem
 from docketry.functions.text import element_key
 from docketry.operators import ingest
@@ -213,3 +213,33 @@ def test_orphans(spark):
     assert column(ingest.files_without_metadata(files, items, ["t"]), "filename") == ["b"]
     assert ingest.files_without_metadata(files, items, []).count() == 0
     assert pd.notna(ingest.files_without_metadata(files, items, ["t"]).first().error)
+
+
+@pytest.mark.parametrize("size, overlap", [(3, 0), (3, 1), (5, 4), (100, 10)])
+def test_offset_windows_give_the_text_back(spark, size, overlap):
+    texts = [" \n lead  and\ttrail \n", "one", "", "  ", None, "a b\n\nc  d e f g\th i j k é \U0001f600 l m n o p", " ".join(map(str, range(60)))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    by_three = pieces_by(lambda column: column.map(lambda t: [t[k : k + 3] for k in range(0, len(t), 3)]))
+    for pieces, none in ((None, {2, 3, 4}), (by_three, {2, 4})):
+        rows = split_offsets(df, size=size, overlap=overlap, **({"pieces": pieces} if pieces else {})).orderBy("i", "chunk_no").collect()
+        back, at = {}, {}
+        for r in rows:
+            assert r.chunk_text == texts[r.i][r.start : r.stop] and 0 < r.n_tokens <= size and r.chunk_no == at.get(r.i, (-1, 0))[0] + 1
+            assert r.start <= at.get(r.i, (0, 0))[1] < r.stop
+            back[r.i] = back.get(r.i, "") + r.chunk_text[at.get(r.i, (0, 0))[1] - r.start :]
+            at[r.i] = (r.chunk_no, r.stop)
+        assert back == {i: t for i, t in enumerate(texts) if i not in none}
+
+
+def test_pieces_have_to_give_the_text_back(spark):
+    df = spark.createDataFrame([("a b",)], "text string")
+    with pytest.raises(Exception, match="do not give the text back"):
+        split_offsets(df, pieces=pieces_by(lambda column: column.str.split(" "))).collect()
+
+
+def test_kinds_with_a_tokenizer_of_ones_own(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "text", "a,b,c"), (2, "pdf", "a,b,c")], "i int, kind string, text string")
+    got = sorted((r.i, r.chunk_text, r.n_tokens) for r in split_by_kind(df, "kind", size=2, overlap=0, tokenize=lambda t: F.split(t, ",")).collect())
+    assert got == [(1, "a b", 2), (1, "c", 1), (2, "a,b,c", 3)]
