@@ -196,6 +196,41 @@ def metadata_table(files: DataFrame, items: DataFrame, raw: str = "metadata") ->
     return named.join(last, "filename", "left").select("source", "filename", *columns)
 
 
+def column_type(schema: str) -> str:
+    """Column type of a variant schema: whole numbers, numbers, booleans, texts and lists of them keep
+    their kind; what is mixed, nested or unknown is text."""
+    if schema.startswith(("DECIMAL", "DOUBLE", "FLOAT")):
+        return "double"
+    if schema.startswith("ARRAY<"):
+        inner = schema[len("ARRAY<") : -1]
+        plain = inner in ("BIGINT", "BOOLEAN", "STRING") or inner.startswith(("DECIMAL", "DOUBLE", "FLOAT"))
+        return f"array<{column_type(inner)}>" if plain else "string"
+    return {"BIGINT": "bigint", "BOOLEAN": "boolean"}.get(schema, "string")
+
+
+def typed_metadata_table(files: DataFrame, items: DataFrame, raw: str = "metadata") -> DataFrame:
+    """One row per path: source, filename and `metadata`, a struct of all fields that any file has.
+
+    A field's type is that of all its values together, merged in Spark; null, "" and [] are null and
+    say nothing about it. Fields of mixed kinds are text. For a file named twice in `items`
+    (filename, metadata, pos) the later one counts. Without any field there is no struct."""
+    last = first_per_key(items.select("filename", raw, "pos"), ["filename"], [-F.col("pos")])
+    entries = F.try_variant_get(F.try_parse_json(F.col(raw)), "$", "map<string,variant>")
+    last = last.select("filename", F.map_filter(entries, lambda _, v: ~_says_nothing(v)).alias("entries"))
+    each = last.select(F.explode("entries").alias("field", "value")).where("field <> 'filename'")
+    found = each.groupBy("field").agg(F.schema_of_variant_agg("value").alias("type")).orderBy("field").limit(MAX_FIELDS + 1).collect()
+    if len(found) > MAX_FIELDS:
+        raise ValueError(f"more than {MAX_FIELDS} metadata fields")
+    values = [F.try_variant_get(F.try_element_at("entries", F.lit(r["field"])), "$", column_type(r["type"])).alias(r["field"]) for r in found]
+    named = files.select(F.col("path").alias("source"), base_name(F.col("path")).alias("filename"))
+    return named.join(last, "filename", "left").select("source", "filename", *([F.struct(*values).alias("metadata")] if values else []))
+
+
+def _says_nothing(value: Column) -> Column:
+    kind = F.schema_of_variant(value)
+    return kind.isNull() | (kind == "VOID") | (kind == "ARRAY<VOID>") & (F.size(F.try_variant_get(value, "$", "array<variant>")) == 0) | F.coalesce(F.try_variant_get(value, "$", "string") == "", F.lit(False))
+
+
 def payload_rows(elements: DataFrame) -> DataFrame:
     """Pictures to keep: image and structured elements that have a location."""
     content = F.col("metadata.content_metadata")

@@ -157,6 +157,26 @@ def metadata_per_file(spark, sf):
     return ingest.metadata_table(_paths(spark, sf), _labelled_items(spark, sf))
 
 
+@query(f"""
+select {SQL_PATH} as source, {SQL_NAME} as filename, n_chars::bigint as size, n_chars / 8.0::double as share, case when doc_id % 5 <> 0 then n_chars % 2 = 0 end as even,
+  lang || '|x' as tags, case when n_chars % 3 = 0 then 'many' else n_chars::varchar end as mixed
+from documents
+""")
+def metadata_typed(spark, sf):
+    """Metadata whose fields have kinds of their own, one of them two."""
+    n, quoted = F.col("n_chars").cast("string"), lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    body = F.concat(
+        F.lit('{"size": '), n, F.lit(', "share": '), (F.col("n_chars") / 8).cast("string"),
+        F.when(F.col("doc_id") % 5 == 0, ', "even": null').otherwise(F.concat(F.lit(', "even": '), (F.col("n_chars") % 2 == 0).cast("string"))),
+        F.lit(', "tags": ['), quoted(F.col("lang")), F.lit(', "x"], "none": [], "mixed": '), F.when(F.col("n_chars") % 3 == 0, quoted(F.lit("many"))).otherwise(n), F.lit("}"),
+    )
+    docs = _paths(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang", "n_chars"), "doc_id")
+    items = docs.select(base_name(F.col("path")).alias("filename"), body.alias("metadata"), F.col("doc_id").alias("pos"))
+    return ingest.typed_metadata_table(_paths(spark, sf), items).select(
+        "source", "filename", "metadata.size", "metadata.share", "metadata.even", F.array_join("metadata.tags", "|").alias("tags"), "metadata.mixed"
+    )
+
+
 # ---------------------------------------------------------------- elements
 
 SQL_ELEMENTS = """

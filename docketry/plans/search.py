@@ -9,7 +9,8 @@ from docketry.functions.scores import sigmoid
 from docketry.functions.text import score_reply
 from docketry.operators import keyword, rerank, search
 from docketry.operators.metadata import Field
-from docketry.plans.registry import query, sql_distance, sql_tokens, sql_words, table, texts
+from docketry.operators.postings import posting_top_k, write_postings
+from docketry.plans.registry import SQL, query, sql_distance, sql_tokens, sql_words, table, texts
 from docketry.session import work_path
 
 CHUNK_FIELDS = [Field("label", "integer"), Field("lang", "string"), Field("n_chars", "integer")]
@@ -181,6 +182,15 @@ def keyword_top_k(spark, sf):
     return _long_rank(keyword.keyword_top_k(docs, asked, 10))
 
 
+@query(SQL["keyword_top_k"])
+def keyword_top_k_postings(spark, sf):
+    """The same from an index of postings in blocks, written first and read by the words asked for."""
+    docs = texts(spark, sf).select(F.col("lang").alias("collection"), F.col("doc_id").alias("chunk_id"), "text")
+    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    index = write_postings(docs, work_path(spark, "postings"))
+    return _long_rank(posting_top_k(index, asked, 10))
+
+
 def hybrid_hits(spark, sf, k: int = 10):
     chunks, asked = document_vectors(spark, sf), benchmark_queries(spark, sf)
     dense = search.vector_top_k(chunks, asked, 2 * k)

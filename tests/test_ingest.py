@@ -243,3 +243,19 @@ def test_kinds_with_a_tokenizer_of_ones_own(spark):
     df = spark.createDataFrame([(1, "text", "a,b,c"), (2, "pdf", "a,b,c")], "i int, kind string, text string")
     got = sorted((r.i, r.chunk_text, r.n_tokens) for r in split_by_kind(df, "kind", size=2, overlap=0, tokenize=lambda t: F.split(t, ",")).collect())
     assert got == [(1, "a b", 2), (1, "c", 1), (2, "a,b,c", 3)]
+
+
+def test_typed_metadata_table(spark):
+    files = spark.createDataFrame([("/u/a.txt",), ("/u/b.txt",), ("/u/c.txt",)], "path string")
+    rows = [
+        ("a.txt", '{"n": 1, "r": 1.5, "ok": true, "t": "q", "l": [1, 2], "m": 1, "o": {"k": 1}, "z": null, "w": [1, "a"], "it\'s": [true]}', 1),
+        ("b.txt", '{"n": "", "r": 2, "ok": null, "t": "", "l": [], "m": "one", "filename": "other"}', 2),
+        ("a.txt", '{"n": "old"}', 0), ("c.txt", "not json", 3),
+    ]
+    got = ingest.typed_metadata_table(files, spark.createDataFrame(rows, "filename string, metadata string, pos long"))
+    assert got.select("metadata.*").dtypes == [("it's", "array<boolean>"), ("l", "array<bigint>"), ("m", "string"), ("n", "bigint"), ("o", "string"), ("ok", "boolean"), ("r", "double"), ("t", "string"), ("w", "string")]
+    by = {r.filename: r.metadata.asDict() if r.metadata else None for r in got.collect()}
+    assert by["a.txt"] == {"it's": [True], "l": [1, 2], "m": "1", "n": 1, "o": '{"k":1}', "ok": True, "r": 1.5, "t": "q", "w": '[1,"a"]'}
+    assert {k: v for k, v in by["b.txt"].items() if v is not None} == {"m": "one", "r": 2.0}
+    assert not any(v is not None for v in by["c.txt"].values())
+    assert ingest.typed_metadata_table(files, spark.createDataFrame([], "filename string, metadata string, pos long")).columns == ["source", "filename"]

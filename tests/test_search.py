@@ -261,3 +261,54 @@ def test_what_a_task_holds_is_bounded(monkeypatch, most):
         own = np.flatnonzero(grp == int(g[1:]))
         want = sorted((float(((vectors[i] - asked[q]) ** 2).sum()), int(i)) for i in own)[:3]
         assert [i for _, i in sorted(hits)[:3]] == [i for _, i in want]
+
+
+@pytest.fixture(scope="module")
+def posted(spark):
+    """Chunks of words with very uneven frequencies, an index of small blocks, and queries."""
+    import random
+
+    from docketry.operators import postings
+
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    some = lambda n: " ".join(vocabulary[min(299, int(rng.paretovariate(0.6)) - 1)] for _ in range(n))
+    rows = [(("a", "b")[i % 3 == 0], i, some(rng.choice([3, 20, 20, 60]))) for i in range(1_500)] + [("a", 2_000 + i, "w250 w251 w0") for i in range(30)]
+    chunks = spark.createDataFrame(rows, "collection string, chunk_id long, text string").persist()
+    queries = spark.createDataFrame([(i, some(rng.choice([1, 3, 8, 20]))) for i in range(20)] + [(90, "w250 w0 w1"), (91, "nothing known"), (92, "")], "query_id long, text string")
+    return chunks, postings.write_postings(chunks, work_path(spark, "postings"), block=64), queries
+
+
+@pytest.mark.parametrize("k, k1, b", [(1, 1.2, 0.75), (10, 1.2, 0.75), (5, 2.0, 0.1)])
+def test_postings_give_what_scoring_every_chunk_gives(posted, k, k1, b):
+    from docketry.operators.postings import posting_top_k
+
+    chunks, index, queries = posted
+    columns = ["query_id", "collection", "chunk_id", "score", "rank"]
+    got = sorted(tuple(r) for r in posting_top_k(index, queries, k, k1, b).select(*columns).collect())
+    want = sorted(tuple(r) for r in keyword.keyword_top_k(chunks, queries, k, k1, b).select(*columns).collect())
+    assert got == want and len(got) > 20 * k
+
+
+def test_most_blocks_of_common_words_are_skipped(posted):
+    from docketry.operators.postings import chosen_blocks
+
+    _, index, queries = posted
+    every, _ = chosen_blocks(index, queries, 3)
+    common = every.where("term in ('w0', 'w1', 'w2')").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("skipped"), F.col("n"))).alias("skipped")).first()
+    assert common.skipped > 0.5 * common.n
+    assert every.where("skipped and least is null").isEmpty()
+
+
+def test_a_search_reads_the_folders_of_its_terms(spark, posted):
+    """Folders that hold no asked term are not read, and no block is large."""
+    from docketry.operators import postings
+
+    _, index, _ = posted
+    one = postings._asked_blocks(index, spark.createDataFrame([("w250",)], "term string"))
+    one.collect()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(folder" in plan or "PartitionFilters: [folder" in plan
+    assert one.select("folder").distinct().count() == 1
+    assert index.blocks.select("folder").distinct().count() > 30
+    assert index.blocks.agg(F.max("n")).first()[0] <= 2 * 64
