@@ -34,34 +34,54 @@ def split_page_name(name: Column) -> Column:
     )
 
 
+#: Places of a histogram of characters; characters that share one only raise the bound.
+CHARACTERS = 512
+
+
+def histograms(texts: list[str]) -> np.ndarray:
+    """How often each character is in each text, by rows."""
+    out = np.zeros((len(texts), CHARACTERS), np.int32)
+    for row, text in enumerate(texts):
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") % CHARACTERS
+        out[row] = np.bincount(codes, minlength=CHARACTERS)
+    return out
+
+
 class SimilarText:
     """Similarity ratio of `text` columns, negated so that the smallest is best.
 
-    Pairs whose cheap upper bound is below the best ratio seen are not compared in full;
-    texts with nothing in common are no match.
-    """
+    A match pairs equal characters one to one, so what two texts have in common in their histograms
+    bounds the ratio from above. Pages are compared in full from the highest bound down, until the
+    bound falls below the best ratio seen; texts with nothing in common are no match."""
 
     def items(self, batch):
-        return [text.encode("unicode_escape").decode() for text in batch.column("text").to_pylist()]
+        texts = [text.encode("unicode_escape").decode() for text in batch.column("text").to_pylist()]
+        return texts, histograms(texts)
 
     def queries(self, table):
-        return table.column("text").to_pylist()
+        texts = table.column("text").to_pylist()
+        return texts, histograms(texts)
 
     def take(self, data, rows):
-        return [data[i] for i in rows]
+        return [data[0][i] for i in rows], data[1][rows]
 
     def rough(self, items, queries, bound):
-        scores = np.full((len(items), len(queries)), np.inf)
-        for col, asked in enumerate(queries):
+        (pages, own), (texts, wanted) = items, queries
+        scores = np.full((len(pages), len(texts)), np.inf)
+        lengths = np.array([len(p) for p in pages])
+        for col, asked in enumerate(texts):
+            common = np.minimum(own, wanted[col]).sum(axis=1)
+            most = 2.0 * common / np.maximum(lengths + len(asked), 1)
             matcher = SequenceMatcher(None, "", asked)
             best = -bound[col] if np.isfinite(bound[col]) else 0.0
-            for row, page in enumerate(items):
-                matcher.set_seq1(page)
-                if matcher.real_quick_ratio() >= best and matcher.quick_ratio() >= best:
-                    ratio = matcher.ratio()
-                    if ratio > 0:
-                        scores[row, col] = -ratio
-                        best = max(best, ratio)
+            for row in np.argsort(-most, kind="stable").tolist():
+                if most[row] < best or most[row] == 0:
+                    break
+                matcher.set_seq1(pages[row])
+                ratio = matcher.ratio()
+                if ratio > 0:
+                    scores[row, col] = -ratio
+                    best = max(best, ratio)
         return scores, 0.0
 
     def exact(self, items, rows, queries, cols, rough):

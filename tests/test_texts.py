@@ -168,3 +168,32 @@ def test_page_names(spark):
 def test_buckets(spark):
     df = spark.createDataFrame([(0.0,), (5.0,), (5.1,), (10_001.0,)], "v double")
     assert [r[0] for r in df.select(usage.bucket_bound(F.col("v"))).collect()] == [0.0, 5.0, 10.0, None]
+
+
+def test_few_pages_are_compared_in_full(monkeypatch):
+    """Of 20 texts and 50 pages the most similar ones, as all pairs give them, from few full comparisons."""
+    import random
+    from difflib import SequenceMatcher
+
+    import numpy as np
+
+    from docketry.operators import evaluation
+
+    rng = random.Random(3)
+    letters = [rng.sample("abcdefghijklmnopqrstuvwxyzéß中 .,", 12) for _ in range(10)]
+    pages = ["".join(rng.choice(letters[i % 10]) for _ in range(rng.randrange(30, 150))) for i in range(48)] + ["", "xyz"]
+    texts = ["".join(c for c in rng.choice(pages) if rng.random() < 0.9) for _ in range(18)] + ["", "\U0001f600"]
+    want = [[SequenceMatcher(None, p, t).ratio() for t in texts] for p in pages]
+    many, real = [], SequenceMatcher.ratio
+    monkeypatch.setattr(SequenceMatcher, "ratio", lambda self: many.append(1) or real(self))
+    kernel = evaluation.SimilarText()
+    sides = [(x, evaluation.histograms(x)) for x in (pages, texts)]
+    got, _ = kernel.rough(*sides, np.full(len(texts), np.inf))
+    for col in range(len(texts)):
+        best = max(row[col] for row in want)
+        first = next(k for k, row in enumerate(want) if row[col] == best)
+        if texts[col] and best > 0:
+            assert got[:, col].min() == -best and int(np.argmin(got[:, col])) == first
+        else:
+            assert not np.isfinite(got[:, col]).any()
+    assert len(many) < 0.15 * len(pages) * len(texts)
