@@ -11,11 +11,16 @@ from docketry.session import cut_lineage
 LAST = (1 << 63) - 1
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """The same columns, named by their places."""
+    return df.toDF(*map(str, range(len(df.columns))))
+
+
 def picked(df: DataFrame, *names: str) -> DataFrame:
     """The columns of just these names. Others are left out, also those whose names differ in case
     only, which a plain select finds ambiguous. Without an exact match the case does not matter."""
     places = [df.columns.index(n) if n in df.columns else [c.lower() for c in df.columns].index(n.lower()) for n in names]
-    return df.toDF(*map(str, range(len(df.columns)))).select(*[F.col(str(k)).alias(n) for k, n in zip(places, names, strict=True)])
+    return by_place(df).select(*[F.col(str(k)).alias(n) for k, n in zip(places, names, strict=True)])
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

@@ -21,7 +21,7 @@ from bisect import bisect_left
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docketry.llm.common import picked
+from docketry.llm.common import by_place, picked
 from docketry.llm.tokens import Encoder, read_ranks
 
 #: The kinds in order, their patterns, and the least length of what is measured.
@@ -153,7 +153,8 @@ def with_masked(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO,
     Rows without secrets stay as they are, a null text and its n_chars too. Of repeated column names
     other than text and n_chars nothing is assumed."""
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
-    names = docs.columns
+    names, placed = docs.columns, by_place(docs)
+    placed_names = placed.columns
 
     def run(batches):
         encode = Encoder(shared.value, pattern)
@@ -168,6 +169,6 @@ def with_masked(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO,
                     many = part.column(names.index("n_chars"))
                     sizes = [n if x == y else len(y) for n, x, y in zip(many.to_pylist(), old, new, strict=True)]
                     columns[names.index("n_chars")] = pa.array(sizes, many.type)
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays(columns, placed_names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return placed.mapInArrow(run, placed.schema).toDF(*names)

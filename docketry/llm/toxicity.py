@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docketry.llm.common import picked
+from docketry.llm.common import by_place, picked
 from docketry.session import cut_lineage
 
 #: At most so many labelled rows, those first by a hash of their number.
@@ -220,12 +220,13 @@ def severities(docs: DataFrame, model: Severity) -> DataFrame:
 def below_limit(docs: DataFrame, model: Severity) -> DataFrame:
     """The rows of docs, all columns, whose severity is below the model's limit."""
     score, limit, at = scorer(docs, model), model.limit, docs.columns.index("text")
+    placed = by_place(docs)
 
     def run(batches):
         for b in batches:
             yield b.filter(pa.array(score(b.column(at).to_pylist()) < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)
 
 
 def graded(docs: DataFrame, labels: DataFrame, grade: str = "toxic", sample: int = SAMPLE) -> DataFrame:

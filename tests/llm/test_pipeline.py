@@ -71,3 +71,18 @@ def test_stages_with_ragged_rows(spark, sf, docs_of, ragged):
 
 def test_five_stages_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "decontamination", "secrets", "byte_bpe"]
+
+
+def test_stages_leave_columns_of_another_case_alone(spark, sf):
+    """Each stage by itself; no table can be written with two names that differ in case only."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(120)
+    wide = docs.select(*docs.columns, F.lit("x").alias("TEXT"), F.lit(7).alias("Doc_Id"))
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = stage(spark, wide, sf), stage(spark, docs, sf)
+        last = name == "byte_bpe"
+        assert got.columns == (want.columns if last else wide.columns)
+        plain = got.toDF(*map(str, range(len(got.columns)))).collect()
+        assert sorted((tuple(r)[: len(want.columns)] for r in plain), key=repr) == sorted((tuple(r) for r in want.collect()), key=repr)
