@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketry.llm import contain, secrets, simhash, tokens, toxicity
+from docketry.llm.common import by_place
 from docketry.llm.queries import PATTERN, RANKS, table
 from docketry.session import work_path
 
@@ -17,7 +18,9 @@ from docketry.session import work_path
 def without(docs: DataFrame, numbers: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id is not among the numbers; rows without one stay."""
     gone = numbers.select(F.col("doc_id").alias("number to drop")).where("`number to drop` is not null").distinct()
-    return docs.join(gone, docs.doc_id == F.col("number to drop"), "left_anti")
+    names = docs.columns  # by place, as another column's name may differ in case only
+    placed = by_place(docs)
+    return placed.join(gone, placed[str(names.index("doc_id"))] == F.col("number to drop"), "left_anti").toDF(*names)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
