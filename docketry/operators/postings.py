@@ -146,7 +146,9 @@ def posting_top_k(index: PostingIndex, queries: DataFrame, k: int = 10, k1: floa
     near = found.join(_kth(found, k, "least"), ["query_id", "collection"], "left").where(F.coalesce(F.col("most") >= F.col("least") - SLACK * F.abs("least"), F.lit(True)))
     terms = weights.groupBy("query_id", "collection").agg(F.collect_list("term").alias("asked"), F.collect_list("weight").alias("weights"), F.first("mean_len").alias("mean_len"))
     rows = near.select("query_id", "collection", "chunk_id").join(terms, ["query_id", "collection"]).join(index.terms, ["collection", "chunk_id"])
-    exact = rows.select("query_id", "chunk_id", "collection", "doc_len", "mean_len", "asked", "weights", "all_terms").mapInArrow(lambda x: _exact(x, k1, b), f"query_id long, chunk_id long, collection {index.terms.schema['collection'].dataType.simpleString()}, score double")
+    # only the terms asked for leave the JVM
+    hit = F.filter("all_terms", lambda t: F.array_contains("asked", t)).alias("hit")
+    exact = rows.select("query_id", "chunk_id", "collection", "doc_len", "mean_len", "asked", "weights", hit).mapInArrow(lambda x: _exact(x, k1, b), f"query_id long, chunk_id long, collection {index.terms.schema['collection'].dataType.simpleString()}, score double")
     order = Window.partitionBy("query_id", "collection").orderBy(F.desc("score"), "chunk_id")
     return exact.withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "collection", "chunk_id", "score", "rank")
 
