@@ -501,7 +501,7 @@ def decomposed_history(spark, sf):
 
 @query(SQL_DECOMPOSED + f""",
 lists as (select item_id, step, rn, chunk_id, text, query_text from best where step < 3 or item_id in (select item_id from third)),
-firsts as (select * from (select *, row_number() over (partition by item_id, text order by step, rn) as copy from lists) where copy = 1),
+firsts as (select * from (select *, row_number() over (partition by item_id, text order by step, rn) as copy from lists) where copy = 1 or item_id not in (select item_id from two)),
 scored as (select *, {SQL_OVERLAP} as score from firsts),
 merged as (select *, row_number() over (partition by item_id order by score desc, step, rn) as new_rank from scored)
 select item_id as query_id, chunk_id, round(1 / (1 + exp(-0.1 * score)), 6) as score, new_rank from merged where new_rank <= 20
