@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,8 @@ from docketry.functions.text import words
 SEPARATORS = ("\n\n", "\n", ". ", "! ", "? ", " ", "")
 # Kinds of source that are split; the rest pass whole.
 SPLIT_KINDS = ("text", "html", "mp3", "docx")
+#: Characters whose pieces by a user's tokenizer are held at once.
+CUT_CHARS = 1 << 19
 
 
 def window_starts(n: Column, size: int, overlap: int) -> Column:
@@ -59,18 +61,37 @@ def word_pieces(text: Column) -> Column:
 
 def pieces_by(cut: Callable[[pd.Series], pd.Series]) -> Callable[[Column], Column]:
     """Pieces by a tokenizer of the user's, in Arrow batches: `cut` gives for each text the list of its
-    pieces, which joined have to give the text back. Null texts have none."""
+    pieces, which joined have to give the text back. Null texts have none.
 
-    @F.pandas_udf("array<string>")
-    def pieces(texts: pd.Series) -> pd.Series:
-        given = texts[texts.notna()]
-        found = dict(zip(given.index, cut(given), strict=True)) if len(given) else {}
-        for k, t in given.items():
-            if "".join(found[k]) != t:
-                raise ValueError(f"the pieces do not give the text back: {t[:80]!r}")
-        return pd.Series([list(found[k]) if k in found else None for k in texts.index], index=texts.index, dtype=object)
+    Pieces take many times the room of their text, so those of CUT_CHARS characters, or of one longer
+    text, are held at once, however many rows a batch has."""
 
-    return pieces
+    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield from (_cut(some, cut) for some in _of_size(texts))
+
+    return F.pandas_udf(pieces, "array<string>")
+
+
+def _of_size(texts: pd.Series) -> Iterator[pd.Series]:
+    """A series in stretches of CUT_CHARS characters, or of one text with more."""
+    lo = held = 0
+    for k, text in enumerate(texts):
+        size = 0 if text is None else len(text)
+        if k > lo and held + size > CUT_CHARS:
+            yield texts.iloc[lo:k]
+            lo, held = k, 0
+        held += size
+    yield texts.iloc[lo:]
+
+
+def _cut(texts: pd.Series, cut: Callable[[pd.Series], pd.Series]) -> pd.Series:
+    given = texts[texts.notna()]
+    found = dict(zip(given.index, cut(given), strict=True)) if len(given) else {}
+    for k, t in given.items():
+        if "".join(found[k]) != t:
+            raise ValueError(f"the pieces do not give the text back: {t[:80]!r}")
+    return pd.Series([list(found[k]) if k in found else None for k in texts.index], index=texts.index, dtype=object)
 
 
 def split_offsets(

@@ -237,6 +237,23 @@ def test_pieces_have_to_give_the_text_back(spark):
         split_offsets(df, pieces=pieces_by(lambda column: column.str.split(" "))).collect()
 
 
+def test_pieces_of_a_batch_are_not_held_at_once(spark, monkeypatch):
+    """Texts go to a user's tokenizer in stretches of bounded size, and come back in their order."""
+    from docketry.functions import chunking
+
+    most = chunking.CUT_CHARS
+
+    def cut(column):
+        if column.str.len().sum() > most and len(column) > 1:
+            raise ValueError("too much at once")
+        return column.map(lambda t: [t[k : k + 1_000] for k in range(0, len(t), 1_000)])
+
+    texts = [None if i % 7 == 3 else chr(97 + i) * (most + 5 if i == 5 else most // 3) for i in range(12)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    rows = df.select("i", "text", pieces_by(cut)("text").alias("p")).collect()
+    assert {r.i: r.p and "".join(r.p) for r in rows} == dict(enumerate(texts))
+
+
 def test_kinds_with_a_tokenizer_of_ones_own(spark):
     from pyspark.sql import functions as F
 
