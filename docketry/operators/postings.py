@@ -15,7 +15,6 @@ read, and bytes read follow the terms asked for."""
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -32,6 +31,8 @@ BLOCK = 1_024
 #: Levels of score that the postings of a frequent term are dealt into.
 LEVELS = 16
 FOLDERS = 64
+#: Words of the chunks for each piece of a folder.
+PIECE = 2_000_000
 #: Room for the rounding of sums that are compared with a bound.
 SLACK = 1e-9
 _BLOCK_ID = ["collection", "term", "level", "part"]
@@ -40,7 +41,7 @@ _BLOCK_ID = ["collection", "term", "level", "part"]
 @dataclass(frozen=True)
 class PostingIndex:
     """`blocks` has folder, term, collection, level, part, n, max_tf, min_len and the postings; `terms` has
-    collection, chunk_id, doc_len, all_terms; `totals` has collection, n_docs, mean_len."""
+    collection, chunk_id, doc_len, terms, tfs; `totals` has collection, n_docs, mean_len."""
 
     blocks: DataFrame
     terms: DataFrame
@@ -65,23 +66,46 @@ def write_postings(chunks: DataFrame, path: str, tokenize=tokens, block: int = B
     terms = spark.read.parquet(f"{path}/terms")
     terms.groupBy("collection").agg(F.count("*").alias("n_docs"), F.avg("doc_len").alias("mean_len")).write.mode("overwrite").parquet(f"{path}/totals")
     totals = spark.read.parquet(f"{path}/totals")
-    postings = exploded(terms.select("collection", "chunk_id", "doc_len", "all_terms"), "all_terms", "term").groupBy("collection", "term", "chunk_id").agg(F.count("*").cast("int").alias("tf"), F.first("doc_len").alias("doc_len"))
-    postings = cut_lineage(postings)
-    frequent = postings.groupBy("collection", "term").agg(F.count("*").alias("df")).where(F.col("df") > block)
-    parts = frequent.withColumn("parts", F.ceil(F.col("df") / block)).drop("df")
-    placed = postings.join(totals, "collection").join(parts, ["collection", "term"], "left")
+    postings = _postings(terms)
+    df = F.count("*").alias("df")
+    frequent = postings.groupBy("collection", "term").agg(df).where(F.col("df") > block)
+    # few beside the postings; written, so that the join knows their size
+    frequent.withColumn("parts", F.ceil(F.col("df") / block)).drop("df").write.mode("overwrite").parquet(f"{path}/frequent")
+    placed = postings.join(totals, "collection").join(spark.read.parquet(f"{path}/frequent"), ["collection", "term"], "left")
     share = _share(F.col("tf"), F.col("doc_len"), F.col("mean_len"), K1, B) / (K1 + 1)
     placed = placed.withColumns({
         "level": F.when(F.col("parts").isNotNull(), F.floor(share * LEVELS)).otherwise(0).cast("int"),
         "part": F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("chunk_id"), "parts")).otherwise(0).cast("int"),
     })
-    blocks = placed.groupBy(*_BLOCK_ID).agg(
+    # a folder's blocks are dealt into pieces, so that the postings are moved once, grouped and written by one task
+    words = totals.agg(F.sum(F.col("n_docs") * F.col("mean_len"))).first()[0] or 0
+    pieces = 1 + int(words // (FOLDERS * PIECE))
+    place = _folder(F.col("term")) + FOLDERS * F.pmod(F.xxhash64(*_BLOCK_ID), F.lit(pieces)).cast("int")
+    dealt = placed.select(place.alias("place"), *_BLOCK_ID, "chunk_id", "tf", "doc_len").repartition(FOLDERS * pieces, "place")
+    blocks = dealt.groupBy("place", *_BLOCK_ID).agg(
         F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len"), F.collect_list(F.struct("chunk_id", "tf", "doc_len")).alias("postings")
     )
-    blocks.withColumn("folder", _folder(F.col("term"))).repartition(FOLDERS, "folder").sortWithinPartitions("folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/blocks")
+    blocks = blocks.withColumn("folder", F.pmod("place", F.lit(FOLDERS))).drop("place")
+    blocks.sortWithinPartitions("folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/blocks")
     return read_postings(spark, path)
 
 
+def _postings(terms: DataFrame) -> DataFrame:
+    """(collection, term, chunk_id, tf, doc_len), from a chunk's row where it lies; only rows that share
+    their collection and chunk_id are brought together."""
+    def each(rows: DataFrame) -> DataFrame:
+        found = exploded(rows.select("collection", "chunk_id", "doc_len", F.arrays_zip("terms", "tfs").alias("each")), "each", "x")
+        return found.select("collection", F.col("x.terms").alias("term"), "chunk_id", F.col("x.tfs").alias("tf"), "doc_len")
+
+    several = cut_lineage(terms.groupBy("collection", "chunk_id").count().where("count > 1").drop("count"))
+    if several.isEmpty():
+        return each(terms)
+    mine = several.select(F.col("collection").alias("its_collection"), F.col("chunk_id").alias("its_chunk"))
+    same = F.col("collection").eqNullSafe(F.col("its_collection")) & F.col("chunk_id").eqNullSafe(F.col("its_chunk"))
+    merged = each(terms.join(mine, same, "left_semi")).groupBy("collection", "term", "chunk_id").agg(F.sum("tf").cast("int").alias("tf"), F.first("doc_len").alias("doc_len"))
+    return each(terms.join(mine, same, "left_anti")).unionByName(merged)
+
+
 def read_postings(spark: SparkSession, path: str) -> PostingIndex:
     return PostingIndex(spark.read.parquet(f"{path}/blocks"), spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/totals"))
 
@@ -147,7 +171,7 @@ def posting_top_k(index: PostingIndex, queries: DataFrame, k: int = 10, k1: floa
     terms = weights.groupBy("query_id", "collection").agg(F.collect_list("term").alias("asked"), F.collect_list("weight").alias("weights"), F.first("mean_len").alias("mean_len"))
     rows = near.select("query_id", "collection", "chunk_id").join(terms, ["query_id", "collection"]).join(index.terms, ["collection", "chunk_id"])
     # only the terms asked for leave the JVM
-    hit = F.filter("all_terms", lambda t: F.array_contains("asked", t)).alias("hit")
+    hit = F.filter(F.arrays_zip("terms", "tfs"), lambda x: F.array_contains("asked", x["terms"])).alias("hit")
     exact = rows.select("query_id", "chunk_id", "collection", "doc_len", "mean_len", "asked", "weights", hit).mapInArrow(lambda x: _exact(x, k1, b), f"query_id long, chunk_id long, collection {index.terms.schema['collection'].dataType.simpleString()}, score double")
     order = Window.partitionBy("query_id", "collection").orderBy(F.desc("score"), "chunk_id")
     return exact.withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "collection", "chunk_id", "score", "rank")
@@ -157,7 +181,7 @@ def _exact(batches, k1: float, b: float):
     for batch in batches:
         scores = []
         for length, mean, asked, weights, terms in zip(*(batch.column(c).to_pylist() for c in range(3, 8)), strict=True):
-            counts = Counter(terms)
+            counts = {x["terms"]: x["tfs"] for x in terms}
             norm = k1 * (1 - b + b * length / mean)
             scores.append(sum(w * counts[t] * (k1 + 1) / (counts[t] + norm) for t, w in zip(asked, weights, strict=True) if t in counts))
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(scores, pa.float64())], ["query_id", "chunk_id", "collection", "score"])

@@ -158,6 +158,42 @@ def test_keyword_scores(spark, bounds):
         assert {(r.query_id, r.collection, r.chunk_id, r["rank"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("shared, block", [(0.0, 7), (0.02, 7), (2.0, 7), (0.02, 1_000)])
+def test_keyword_scores_in_blocks(monkeypatch, shared, block):
+    """Terms of a matrix product and terms added pair by pair give the same best chunks, block after block."""
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    some = lambda n: [f"w{min(60, int(rng.paretovariate(0.5)))}" for _ in range(n)]
+    texts = [" ".join(some(rng.choice([1, 5, 30]))) for _ in range(90)] + [""]
+    asked = [(i, " ".join(some(rng.choice([1, 4, 9])))) for i in range(25)]
+    monkeypatch.setattr(tiles, "ITEM_BLOCK", block)
+    monkeypatch.setattr(tiles, "QUERY_BLOCK", 10)
+    monkeypatch.setattr(tiles, "PRODUCT", 3)
+    monkeypatch.setattr(tiles, "SPAN", 20)
+    monkeypatch.setattr(tiles.TermWeights, "shared", shared)
+    once = [Counter(t.split()) for t in texts]
+    df = Counter(w for own in once for w in own)
+    weights = [{w: n * math.log(1 + (len(texts) - df[w] + 0.5) / (df[w] + 0.5)) for w, n in Counter(q.split()).items() if df[w]} for _, q in asked]
+    queries = pa.table({"query_id": [q for q, _ in asked], "route": ["a"] * 25, "terms": [list(w) for w in weights], "weights": [list(w.values()) for w in weights], "mean_len": [sum(map(sum, (c.values() for c in once))) / len(texts)] * 25})
+    fixed = {"item_id": range(len(texts)), "grp": ["a"] * len(texts), "route": ["a"] * len(texts), "doc_len": [sum(c.values()) for c in once]}
+    for own in ({"terms": [t.split() for t in texts]}, {"terms": [list(c) for c in once], "tfs": [list(c.values()) for c in once]}):
+        items = pa.table(fixed | own, pa.schema([("item_id", pa.int64()), ("grp", pa.string()), ("route", pa.string()), ("doc_len", pa.int32()), ("terms", pa.list_(pa.string())), *([("tfs", pa.list_(pa.int32()))] if "tfs" in own else [])]))
+        out = pa.Table.from_batches(list(tiles._score_batches(items.to_batches(), queries, tiles.TermWeights(1.2, 0.75), 4))).to_pylist()
+        got = {(r["query_id"], "a", r["item_id"], rank) for q, _ in asked for rank, r in enumerate(sorted((r for r in out if r["query_id"] == q), key=lambda r: (r["score"], r["item_id"])), 1)}
+        assert got == bm25([("a", i, t) for i, t in enumerate(texts)], asked, 4)
+
+
+def test_index_has_a_word_of_a_chunk_once(spark):
+    docs = spark.createDataFrame([*DOCS, ("a", 9, None)], "collection string, chunk_id long, text string")
+    rows = {r.chunk_id: r for r in keyword.write_index(docs, work_path(spark, "index")).terms.collect()}
+    assert {i: (rows[i].doc_len, dict(zip(rows[i].terms, rows[i].tfs, strict=True))) for i in (1, 3, 7, 9)} == {
+        1: (6, {"the": 2, "cat": 1, "sat": 1, "on": 1, "mat": 1}), 3: (3, {"cat": 3}), 7: (0, {}), 9: (None, {}),
+    }
+
+
 def test_one_hot_term(spark):
     """A word in nearly every document, and many copies of one text."""
     rows = [("a", i, "common word") if i % 3 else ("a", i, f"common rare{i}") for i in range(300)]
