@@ -348,3 +348,17 @@ def test_a_search_reads_the_folders_of_its_terms(spark, posted):
     assert one.select("folder").distinct().count() == 1
     assert index.blocks.select("folder").distinct().count() > 30
     assert index.blocks.agg(F.max("n")).first()[0] <= 2 * 64
+
+
+def test_postings_stay_with_their_chunk(spark):
+    """Only rows with one and the same chunk_id are moved to be counted together."""
+    from docketry.operators import postings
+
+    def found(rows):
+        return postings._postings(keyword.split_chunks(spark.createDataFrame(rows, "collection string, chunk_id long, text string")))
+
+    plain = found([("a", 1, "x y x"), ("b", 1, "x"), ("a", None, "z")])
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r)[1:] for r in plain.where("chunk_id = 1").collect()) == [("x", 1, 1, 1), ("x", 1, 2, 3), ("y", 1, 1, 3)]
+    twice = found([("a", 1, "x y x"), ("a", 1, "x y x"), ("a", 2, "x"), ("a", None, "z"), ("a", None, "z")])
+    assert sorted((r.term, r.chunk_id or 0, r.tf) for r in twice.collect()) == [("x", 1, 4), ("x", 2, 1), ("y", 1, 2), ("z", 0, 2)]
