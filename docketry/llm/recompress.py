@@ -13,13 +13,14 @@ by names of all their words; see docketry.llm.repeats. A window's name has 64 bi
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from docketry.llm.repeats import NONE, PLACE, PLACE_BITS, Batch, Scheme, doubled, eights, least_of, pair_name, without_repeats
+from docketry.llm.repeats import NONE, PLACE, PLACE_BITS, Batch, Scheme, doubled, least_of, pair_name, without_repeats
 from docketry.llm.suffixes import runs_of
 
 #: Stands for an end of the stretch that lies outside the piece.
@@ -27,11 +28,9 @@ FAR = 1 << 40
 ROUNDS = 3
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
 #: What is left of eight bytes if only so many belong to a word.
 _HEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
-#: Bytes of a text whose words are named at once, if blanks allow.
+#: Bytes of text whose words are named at once, if blanks allow.
 STRETCH = 1 << 18
 #: Words with more bytes are named one by one.
 LONG = 64
@@ -50,29 +49,72 @@ def word_names(text: bytes) -> np.ndarray:
             if not end:
                 found = [k for c in b" \t\n\v\f\r" if (k := text.find(c, at)) >= 0]
                 end = min(found, default=len(text)) + 1
-        piece = text[at:end]
+        out.append(_named(text[at:end])[1])
         at = end
-        border = np.flatnonzero(np.diff(~_SPACE[np.frombuffer(piece, np.uint8)], prepend=False, append=False))
-        begin, stop = border[::2], border[1::2]
-        size = stop - begin
-        name = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        eight, open_ = eights(piece), np.flatnonzero(size <= LONG)
-        done = 0
-        while len(open_):
-            left = np.minimum(size[open_] - done, 8)
-            x = name[open_] ^ (eight[begin[open_] + done] & _HEAD[left])
-            x *= np.uint64(0xD6E8FEB86659FD93)
-            x ^= x >> np.uint64(32)
-            x *= np.uint64(0xFF51AFD7ED558CCD)
-            name[open_] = x ^ (x >> np.uint64(29))
-            done += 8
-            open_ = open_[size[open_] > done]
-        for k in np.flatnonzero(size > LONG).tolist():
-            name[k] = xxhash.xxh64_intdigest(piece[begin[k] : stop[k]])
-        out.append(name)
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def names_of_texts(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """word_names of each text; short texts are named together, up to a stretch of them."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > STRETCH:
+            yield from _together(held)
+            held, size = [], 0
+        held.append(text)
+        size += len(text) + 1
+    if held:
+        yield from _together(held)
+
+
+def _together(texts: list[bytes]) -> Iterator[np.ndarray]:
+    if len(texts) == 1:
+        yield word_names(texts[0])
+        return
+    begin, name = _named(b" ".join(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    yield from np.split(name, np.searchsorted(begin, ends[:-1]))
+
+
+def _named(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of the piece begins, and its name."""
+    data = np.frombuffer(b"".join((b" ", piece, b" " * 9)), np.uint8)
+    space = (data == 32) | (data - np.uint8(9) < 5)
+    border = np.flatnonzero(space[1:] != space[:-1])
+    begin, stop = border[::2], border[1::2]
+    size = stop - begin
+    # the eight bytes from each place of the piece on as one number
+    eight = np.ndarray((len(piece) + 1,), "<u8", data, offset=1, strides=(1,))
+    name = _mixed(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (eight[begin] & _HEAD[np.minimum(size, 8)]))
+    open_, done = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(open_):
+        left = np.minimum(size[open_] - done, 8)
+        name[open_] = _mixed(name[open_] ^ (eight[begin[open_] + done] & _HEAD[left]))
+        done += 8
+        open_ = open_[size[open_] > done]
+    for k in np.flatnonzero(size > LONG).tolist():
+        name[k] = xxhash.xxh64_intdigest(piece[begin[k] : stop[k]])
+    return begin, name
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def _shifted(values: np.ndarray, by: int, end) -> np.ndarray:
+    """The neighbour of each value, after it (by 1) or before it (by -1); the last or first has `end`."""
+    out = np.empty_like(values)
+    if by > 0:
+        out[:-1], out[-1:] = values[1:], end
+    else:
+        out[1:], out[:1] = values[:-1], end
+    return out
+
+
 class Symbols:
     """Symbols of a batch: name, first word, the stretch low..high (end exclusive) that decides the
     symbol, and whether a piece starts with it."""
@@ -82,32 +124,41 @@ class Symbols:
 
     def before(self) -> np.ndarray:
         """Where the stretch of the symbol before starts."""
-        return np.where(self.edge, -FAR, np.r_[-FAR, self.low[:-1]])
+        out = _shifted(self.low, -1, -FAR)
+        out[self.edge] = -FAR
+        return out
 
     def after(self) -> np.ndarray:
-        return np.r_[np.where(self.edge[1:], FAR, self.high[1:]), FAR]
+        out = _shifted(self.high, 1, FAR)
+        out[:-1][self.edge[1:]] = FAR
+        return out
 
     def runs(self) -> "Symbols":
         """Runs of one symbol become one, and each knows that its neighbours differ."""
-        head = np.r_[True, self.name[1:] != self.name[:-1]] | self.edge
+        head = self.edge.copy()
+        head[1:] |= self.name[1:] != self.name[:-1]
+        low, high = np.minimum(self.before(), self.low), np.maximum(self.after(), self.high)
         at = np.flatnonzero(head)
-        end = np.r_[at[1:], len(head)] - 1
-        many = (end - at + 1).astype(np.uint64)
-        name = np.where(many > 1, pair_name(self.name[at], many), self.name[at])
-        return Symbols(name, self.begin[at], np.minimum(self.before()[at], self.low[at]), np.maximum(self.after()[end], self.high[end]), self.edge[at])
+        if len(at) == len(head):
+            return Symbols(self.name, self.begin, low, high, self.edge)
+        end = np.append(at[1:], len(head)) - 1
+        name = self.name[at]
+        many = np.flatnonzero(end > at)
+        name[many] = pair_name(name[many], (end - at + 1)[many].astype(np.uint64))
+        return Symbols(name, self.begin[at], low[at], high[end], self.edge[at])
 
     def pairs(self, round_: int) -> "Symbols":
         """An opener followed by a closer becomes one symbol."""
-        closes = (pair_name(self.name, np.full_like(self.name, round_ + 1)) >> np.uint64(63)).astype(bool)
-        opens = np.r_[~closes[:-1] & closes[1:] & ~self.edge[1:], False]
-        second = np.r_[False, opens[:-1]]
+        closes = (pair_name(self.name, np.uint64(round_ + 1)) >> np.uint64(63)).astype(bool)
+        opens = ~closes & _shifted(closes & ~self.edge, 1, False)
+        second = _shifted(opens, -1, False)
         low = np.where(closes & ~second, self.before(), self.low)
         high = np.where(~closes & ~opens, self.after(), self.high)
-        high[opens] = self.high[np.flatnonzero(opens) + 1]
-        name = self.name.copy()
         at = np.flatnonzero(opens)
+        high[at] = self.high[at + 1]
+        name = self.name.copy()
         name[at] = pair_name(self.name[at], self.name[at + 1])
-        keep = ~second
+        keep = np.flatnonzero(~second)
         return Symbols(name[keep], self.begin[keep], low[keep], high[keep], self.edge[keep])
 
 
@@ -145,6 +196,7 @@ def word_scheme(window: int, rounds: int = ROUNDS) -> Scheme:
         words = np.arange(len(names), dtype=np.int64)
         n = len(names) - window + 1
         level = Symbols(names, words, words, words + 1, edge)
+        name_at = np.empty(len(names), np.uint64)
         # every word by itself is decided, so each window has an anchor
         anchor = (least_of(names >> PLACE_BITS << PLACE_BITS | words.astype(np.uint64), window) & PLACE).astype(np.int64)
         name = names[anchor]
@@ -154,12 +206,13 @@ def word_scheme(window: int, rounds: int = ROUNDS) -> Scheme:
             found = best_in_windows(level, n, window)
             hit = found != NONE
             at = (found[hit] & PLACE).astype(np.int64)
-            name[hit] = level.name[np.searchsorted(level.begin, at)]
+            name_at[level.begin] = level.name
+            name[hit] = name_at[at]
             anchor[hit] = at * (rounds + 1) + r + 1
         first, last, row, start = runs_of(pieces, anchor, window)
         return Batch(doubled(names, 4), window - 16, names, window, first, last, anchor[first], name[first], row, start)
 
-    return Scheme(window, 1 << 14, True, False, word_names, batch)
+    return Scheme(window, 1 << 14, True, False, word_names, batch, names_of_texts)
 
 
 def finish(text: bytes, gone: np.ndarray) -> tuple[int, int, str, str]:

@@ -202,3 +202,41 @@ def test_one_word_of_many_bytes_takes_little_memory():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(names) == 4 and most < 10 * len(text)
+
+
+def test_short_texts_are_named_together(monkeypatch):
+    """As each by itself, in a pass per stretch and not per text."""
+    texts = [b"", b"a bb ccc", b" \n", b"ends with blank\t", b"w%d " % 7 * 300, b"\x0bx" * 40, b"y" * 100 + b" z", b"", b"\xc3\xa9 a"] * 30
+    texts += [b"long words " * 30_000, b"z" * 300_000 + b" q", b"a b"]
+    want = [recompress.word_names(t) for t in texts]
+    passes = []
+    named = recompress._named
+    monkeypatch.setattr(recompress, "_named", lambda piece: passes.append(len(piece)) or named(piece))
+    got = list(recompress.word_scheme(20).several(texts))
+    assert len(got) == len(want) and all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+    assert len(passes) < 10 and max(passes) <= 300_002
+
+
+def test_runs_are_judged_once_at_the_end(monkeypatch):
+    """What the earlier rounds said of the runs is read once, not once more for the windows that are left."""
+    import pyarrow as pa
+
+    table = pa.table({"doc_id": [1, 2, 3], "text": ["p q r s " * 20, "p q r s " * 20 + "t", " ".join(f"w{i}" for i in range(50))]})
+    scheme = recompress.word_scheme(20)
+
+    def told(bits):
+        bucket, out = repeats.Bucket(scheme, table, 1, bits), {}
+        for r in repeats.ask(bucket, 0, max([0, *bits]) + (1 if not bits else 1 if 1 in bits and 2 not in bits else 2)).to_pylist():
+            if r["to"] >= 0:
+                out.setdefault(r["round"], {})[r["part"]] = repeats.bits_of([r])[0]
+        return bits | out
+
+    bits = told(told(told({})))
+    assert sorted(bits) == [1, 2, 4]
+    bucket, calls = repeats.Bucket(scheme, table, 1, bits), []
+    candidates = bucket.candidates
+    bucket.candidates = lambda: calls.append(1) or candidates()
+    row, place = repeats.repeated_starts(bucket)
+    first, second = set(place[row == 0].tolist()), set(place[row == 1].tolist())
+    assert first == set(range(4, 61)) and second == set(range(61)) and not (row == 2).any()
+    assert len(calls) == 1
