@@ -392,3 +392,49 @@ def test_postings_stay_with_their_chunk(spark):
     assert sorted(tuple(r)[1:] for r in plain.where("chunk_id = 1").collect()) == [("x", 1, 1, 1), ("x", 1, 2, 3), ("y", 1, 1, 3)]
     twice = found([("a", 1, "x y x"), ("a", 1, "x y x"), ("a", 2, "x"), ("a", None, "z"), ("a", None, "z")])
     assert sorted((r.term, r.chunk_id or 0, r.tf) for r in twice.collect()) == [("x", 1, 4), ("x", 2, 1), ("y", 1, 2), ("z", 0, 2)]
+
+
+@pytest.fixture
+def dealt(spark, posted, monkeypatch):
+    """The chunks of `posted` with an index of seven segments."""
+    from docketry.operators import postings
+
+    monkeypatch.setattr(postings, "_segments", lambda totals: 7)
+    chunks, _, queries = posted
+    return chunks, postings.write_postings(chunks, work_path(spark, "postings"), block=64), queries
+
+
+def test_a_chunk_lies_in_one_segment(dealt):
+    """So a search adds up what a chunk scores where its postings are, and a query's plan does not grow with them."""
+    from docketry.operators import postings
+
+    _, index, queries = dealt
+    of_chunk = index.blocks.select("segment", "collection", F.explode("postings.chunk_id").alias("chunk_id")).groupBy("collection", "chunk_id")
+    assert of_chunk.agg(F.countDistinct("segment").alias("n")).agg(F.max("n")).first()[0] == 1
+    assert index.blocks.select("segment").distinct().count() == 7
+    every, _ = postings.chosen_blocks(index, queries, 3)
+    assert every.groupBy("query_id", "collection", "term").count().agg(F.max("count")).first()[0] <= postings.LEVELS
+    assert every.groupBy("query_id", "collection", "term", "level").count().where("count > 1").isEmpty()
+    assert index.blocks.count() > 3 * every.select("collection", "term", "level").distinct().count()
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_segments_give_what_scoring_every_chunk_gives(dealt, monkeypatch, most):
+    """Also if the queries are too many to be broadcast."""
+    from docketry.operators import postings
+
+    monkeypatch.setattr(postings, "SMALL_ROWS", most)
+    chunks, index, queries = dealt
+    columns = ["query_id", "collection", "chunk_id", "score", "rank"]
+    got = sorted(tuple(r) for r in postings.posting_top_k(index, queries, 5).select(*columns).collect())
+    assert got == sorted(tuple(r) for r in keyword.keyword_top_k(chunks, queries, 5).select(*columns).collect())
+
+
+def test_a_search_moves_no_row_per_query_and_posting(dealt):
+    """Blocks go to their segments once, however many queries read them."""
+    from docketry.operators import postings
+
+    _, index, queries = dealt
+    many = queries.union(queries.selectExpr("query_id + 1000", "text"))
+    plan = postings.posting_top_k(index, many, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "Generate" not in plan and "SortMergeJoin" not in plan
