@@ -81,7 +81,7 @@ def write_postings(chunks: DataFrame, path: str, tokenize=tokens, block: int = B
     totals = spark.read.parquet(f"{path}/totals")
     segments = _segments(totals)
     # chunks move once, with their terms as lists; all that follows stays in the segment's task
-    dealt = terms.withColumn("segment", _segment(segments)).repartition(2 * segments, "segment")
+    dealt = _alone(terms).withColumn("segment", _segment(segments)).repartition(2 * segments, "segment")
     placed = _postings(dealt).join(F.broadcast(totals), "collection")
     share = _share(F.col("tf"), F.col("doc_len"), F.col("mean_len"), K1, B) / (K1 + 1)
     placed = placed.withColumn("own", F.floor(share * LEVELS).cast("int"))
@@ -93,7 +93,7 @@ def write_postings(chunks: DataFrame, path: str, tokenize=tokens, block: int = B
         "part": F.when(frequent, F.pmod(F.xxhash64("chunk_id"), F.ceil(F.col("df") / block))).otherwise(0).cast("int"),
     })
     blocks = placed.groupBy(*_BLOCK_ID).agg(
-        F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len"), F.collect_list(F.struct("chunk_id", "tf", "doc_len")).alias("postings")
+        F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len"), F.collect_list(F.struct("chunk_id", "tf", "doc_len", "alone")).alias("postings")
     )
     blocks = blocks.withColumn("folder", _folder(F.col("term")))
     blocks.sortWithinPartitions("folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/blocks")
@@ -109,15 +109,27 @@ def _segment(segments: int) -> Column:
     return F.pmod(F.xxhash64("collection", "chunk_id"), F.lit(segments)).cast("int")
 
 
+def _alone(terms: DataFrame) -> DataFrame:
+    """Whether no other row has a chunk's collection and chunk_id."""
+    several = cut_lineage(terms.groupBy("collection", "chunk_id").count().where("count > 1").drop("count"))
+    if several.isEmpty():
+        return terms.withColumn("alone", F.lit(True))
+    several = several.select(F.col("collection").alias("its_collection"), F.col("chunk_id").alias("its_chunk"), F.lit(False).alias("alone"))
+    same = F.col("collection").eqNullSafe(F.col("its_collection")) & F.col("chunk_id").eqNullSafe(F.col("its_chunk"))
+    return terms.join(several, same, "left").select(*terms.columns, F.coalesce("alone", F.lit(True)).alias("alone"))
+
+
 def _postings(terms: DataFrame) -> DataFrame:
-    """(collection, term, chunk_id, tf, doc_len), and the segment if there is one, from a chunk's row where
-    it lies; rows that share their collection and chunk_id lie in one segment and are counted together."""
-    own = [c for c in terms.columns if c == "segment"]
+    """(collection, term, chunk_id, tf, doc_len), and segment and alone if there are, from a chunk's row
+    where it lies. Rows that share their collection and chunk_id lie in one segment and have one posting a
+    term; with the sum of counts and the least length it bounds what each of them scores."""
+    own = [c for c in terms.columns if c in ("segment", "alone")]
     found = exploded(terms.select(*own, "collection", "chunk_id", "doc_len", F.arrays_zip("terms", "tfs").alias("each")), "each", "x")
     found = found.select(*own, "collection", F.col("x.terms").alias("term"), "chunk_id", F.col("x.tfs").alias("tf"), "doc_len")
-    if terms.groupBy(*own, "collection", "chunk_id").count().where("count > 1").isEmpty():
+    several = terms.where("not alone") if "alone" in own else terms.groupBy("collection", "chunk_id").count().where("count > 1")
+    if several.isEmpty():
         return found
-    return found.groupBy(*own, "collection", "term", "chunk_id").agg(F.sum("tf").cast("int").alias("tf"), F.first("doc_len").alias("doc_len"))
+    return found.groupBy(*own, "collection", "term", "chunk_id").agg(F.sum("tf").cast("int").alias("tf"), F.min("doc_len").alias("doc_len"))
 
 
 def read_postings(spark: SparkSession, path: str) -> PostingIndex:
@@ -165,7 +177,8 @@ def chosen_blocks(index: PostingIndex, queries: DataFrame, k: int, k1: float = K
     best = best.where((F.col("r") <= BEST_BLOCKS) & (F.col("before") < BLOCK))
     last = best.groupBy("collection", "term").agg(F.min(F.struct("share", (-F.col("segment")).alias("place"))).alias("last"))
     first = blocks.join(_small(last), ["collection", "term"]).where(F.struct("share", (-F.col("segment")).alias("place")) >= F.col("last"))
-    rows = _block_rows(first.withColumn("level", F.lit(-1)))
+    # rows that share a posting score less than it each, so it gives no threshold
+    rows = _block_rows(first.withColumns({"level": F.lit(-1), "postings": F.filter("postings", lambda x: x["alone"])}))
     plan = _plan_rows(weights.withColumns({"level": F.lit(-1), "off": F.lit(0.0), "left_out": F.lit(0.0), "least": F.lit(None).cast("double")}))
     least = _kth(_by_segment(rows, plan, index, k, k1, b, False), k, "least")
     by_term = Window.partitionBy("query_id", "collection", "term").orderBy("bound", "level")
@@ -333,8 +346,9 @@ def _best_of(own: pa.Table, wants: tuple, vocabulary: pa.Array, k: int, k1: floa
         adds, where = share[at] * weight[of], place[at]
         score = np.bincount(where, adds, len(every))
         near = np.unique(where)
-        if len(near) >= k:
-            least = max(least, np.partition(score[near], -k)[-k] * (1 - SLACK))
+        alone = near[doc_stop[near] - doc_first[near] == 1] if exact else near
+        if len(alone) >= k:
+            least = max(least, np.partition(score[alone], -k)[-k] * (1 - SLACK))
         if exact:
             above = np.bincount(where, adds - off[of], len(every))[near]
             near = near[above + left_out >= least - SLACK * abs(least)] if least > -np.inf else near

@@ -438,3 +438,17 @@ def test_a_search_moves_no_row_per_query_and_posting(dealt):
     many = queries.union(queries.selectExpr("query_id + 1000", "text"))
     plan = postings.posting_top_k(index, many, 5)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInArrow" in plan and "Generate" not in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_that_share_a_chunk_give_no_threshold(spark):
+    """What they score together no single one of them does, so others are not left out for it."""
+    from docketry.operators import postings
+
+    rows = [("a", 1, "x y z"), ("a", 1, "x y z u v w"), ("a", 1, "x z y r s t q p o n m l")] + [("a", 2, "x y z y h")] + [("a", i, f"x n{i} m{i}") for i in range(3, 90)]
+    rows += [("b", 1, "x y"), ("b", None, "x y z x y z"), ("b", None, "x"), ("b", 3, "y z g h")]
+    index = postings.write_postings(spark.createDataFrame(rows, "collection string, chunk_id long, text string"), work_path(spark, "postings"), block=4)
+    queries = spark.createDataFrame([(1, "x y z"), (2, "z"), (3, "y u x")], "query_id long, text string")
+    every = sorted(tuple(r) for r in postings.posting_top_k(index, queries, 1_000).collect())
+    assert len(every) > 150
+    for k in (1, 2, 3, 4):
+        assert sorted(tuple(r) for r in postings.posting_top_k(index, queries, k).collect()) == [r for r in every if r[4] <= k]
