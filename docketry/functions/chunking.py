@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.functions.rows import exploded
+from docketry.functions.rows import bind, exploded
 from docketry.functions.text import words
 
 # Separators tried in this order, the empty one cuts anywhere.
@@ -103,21 +103,21 @@ def split_offsets(
     line breaks; windows less their overlaps give the text back. `pieces` is a column function that
     cuts a text into its tokens, see `word_pieces` and `pieces_by`. Texts without tokens give no row."""
     found, step = F.col("window_pieces"), size - overlap
+    starts = window_starts(F.size(found), size, overlap)
 
-    def window(start: Column, number: Column) -> Column:
-        part = F.slice(found, start + 1, size)
-        return F.struct(
-            F.array_join(part, "").alias("chunk_text"), F.size(part).alias("n_tokens"),
-            F.aggregate(F.slice("window_steps", 1, number), F.lit(0), lambda a, x: a + x).alias("start"),
-        )
+    def windows(steps: Column) -> Column:
+        def window(start: Column, number: Column) -> Column:
+            part = F.slice(found, start + 1, size)
+            return F.struct(
+                F.array_join(part, "").alias("chunk_text"), F.size(part).alias("n_tokens"),
+                F.aggregate(F.slice(steps, 1, number), F.lit(0), lambda a, x: a + x).alias("start"),
+            )
 
-    starts = window_starts(F.size(found), size, overlap)
-    cut = (
-        df.withColumn("window_pieces", pieces(F.col(text)))
-        .withColumn("window_steps", F.transform(starts, lambda at: F.length(F.array_join(F.slice(found, at + 1, step), ""))))
-        .withColumn("windows", F.transform(starts, window))
-        .drop("window_pieces", "window_steps")
-    )
+        return F.transform(starts, window)
+
+    # a column of the steps would be put into the windows' own function, and computed again for each window
+    steps = F.transform(starts, lambda at: F.length(F.array_join(F.slice(found, at + 1, step), "")))
+    cut = df.withColumn("window_pieces", pieces(F.col(text))).withColumn("windows", bind(steps, windows)).drop("window_pieces")
     rows = exploded(cut, "windows", "window", "chunk_no")
     stop = F.col("window.start") + F.length("window.chunk_text")
     return rows.select(*df.columns, "chunk_no", "window.start", stop.alias("stop"), "window.chunk_text", "window.n_tokens")

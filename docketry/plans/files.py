@@ -338,14 +338,22 @@ def _byte_tokens(path: str, pattern: str):
 
 @query("select doc_id, length(text)::int as n_chars, true as whole from documents where text <> ''")
 def byte_token_windows(spark, sf):
-    """Windows by the tokens of a byte-level vocabulary, joined without their overlaps again."""
-    docs = texts(spark, sf).select("doc_id", "text")
+    """Windows by the tokens of a byte-level vocabulary, joined without their overlaps again.
+
+    Windows move without their document's text, which is as long as all of them together; it comes in
+    once, beside the joined windows. The mark tells documents apart, also those that share an id."""
+    mark = F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "text"), 256)
+    docs = texts(spark, sf).select("doc_id", "text").withColumn("mark", mark)
     pieces = _byte_tokens(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    rows = split_offsets(docs, size=SIZE, overlap=OVERLAP, pieces=pieces)
-    before = F.coalesce(F.lag("stop").over(Window.partitionBy("doc_id").orderBy("chunk_no")), F.lit(0))
+    rows = split_offsets(docs, size=SIZE, overlap=OVERLAP, pieces=pieces).drop("doc_id", "text")
+    before = F.coalesce(F.lag("stop").over(Window.partitionBy("mark").orderBy("chunk_no")), F.lit(0))
     own = rows.withColumn("before", before).withColumn("own", F.expr("substring(chunk_text, before - start + 1)"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "own"))), lambda x: x["own"]), "")
-    return own.groupBy("doc_id", "text").agg(F.max("stop").alias("n_chars"), joined.alias("joined")).select("doc_id", "n_chars", (F.col("joined") == F.col("text")).alias("whole"))
+    again = own.groupBy("mark").agg(F.max("stop").alias("n_chars"), joined.alias("joined"))
+    given = table(spark, sf, "documents").select("doc_id", "text").withColumn("mark", mark)
+    compared = given.join(again, "mark").select("mark", "doc_id", "n_chars", (F.col("joined") == F.col("text")).alias("whole"))
+    # rows that come twice are one document
+    return compared.groupBy("mark").agg(F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"), F.first("whole").alias("whole")).drop("mark")
 
 
 @query(f"""

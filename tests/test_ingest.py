@@ -1,3 +1,5 @@
+import re
+
 import pandas as pd
 import pytest
 from hypothesis import given, settings
@@ -254,6 +256,21 @@ def test_pieces_of_a_batch_are_not_held_at_once(spark, monkeypatch):
     assert {r.i: r.p and "".join(r.p) for r in rows} == dict(enumerate(texts))
 
 
+def test_windows_move_without_the_text_of_their_document(spark, tmp_path):
+    from docketry.plans.files import byte_token_windows
+
+    words = [" ".join(f"{kind}{k}é" for k in range(400)) for kind in ("left", "right")]
+    rows = [(1, words[0]), (1, words[1]), (2, words[0]), (2, words[0]), (None, "a"), (None, words[1]), (3, ""), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = byte_token_windows(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("Window [lag") : plan.index("Generate posexplode")]
+    assert "chunk_text#" in moved and not re.search(r"\btext#", moved)
+    got = sorted(map(tuple, df.collect()), key=repr)
+    # one row per id and text, also where an id has two texts
+    assert got == sorted([(i, len(t), True) for i, t in {r for r in rows if r[1]}], key=repr)
+
+
 def test_kinds_with_a_tokenizer_of_ones_own(spark):
     from pyspark.sql import functions as F
 
