@@ -88,6 +88,39 @@ def test_cells(spark, bounds):
     assert {(r.query_id, r.chunk_id) for r in some} == want
 
 
+def test_blocks_of_queries(spark, monkeypatch):
+    """Passes over the items, a block of queries each, find what one pass finds."""
+    monkeypatch.setattr(tiles, "MOST_COPIES", 0)
+    chunks, queries, cv, qv = make(spark, 90, 11, 40)
+    hits = search.vector_top_k(chunks.repartition(3), queries, 4, broadcast_bytes=200)
+    assert "CoGroup" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in hits.select("query_id", "collection", "chunk_id", "distance", "rank").collect()} == brute(cv, qv, 4)
+    overall = search.vector_top_k(chunks, queries, 4, per_collection=False, broadcast_bytes=200).collect()
+    assert {(r.query_id, None, r.chunk_id, r.distance, r.rank) for r in overall} == brute(cv, qv, 4, per_collection=False)
+    # a query has several routes into one group
+    cells = search.train_cells(chunks, cells=6)
+    every = search.cell_top_k(cells.assign(chunks), queries, cells, 3, probes=6, broadcast_bytes=900)
+    assert {tuple(r) for r in every.select("query_id", "collection", "chunk_id", "distance", "rank").collect()} == brute(cv, qv, 3)
+    docs = spark.createDataFrame(DOCS, "collection string, chunk_id long, text string")
+    asked = spark.createDataFrame(ASKED, "query_id long, text string")
+    for searched in (docs, keyword.write_index(docs, work_path(spark, "index"))):
+        got = keyword.keyword_top_k(searched, asked, 3, broadcast_bytes=100)
+        assert {(r.query_id, r.collection, r.chunk_id, r["rank"]) for r in got.collect()} == bm25(DOCS, ASKED, 3)
+
+
+def test_rows_do_not_go_to_many_tiles(spark):
+    """Items and queries of one route stay where they are if each would go to more tiles than MOST_COPIES."""
+    many, one = ([[f"c{i % n}", i, [float(i), 0.0]] for i in range(120)] for n in (120, 1))
+    plans = []
+    for rows in (many, one):
+        items = spark.createDataFrame(rows, "route string, item_id long, vector array<float>").withColumn("grp", F.lit("a"))
+        asked = spark.createDataFrame(rows, "route string, query_id long, vector array<float>")
+        found = tiles.best_pairs(items, asked, tiles.SquaredDistance(), 1, "8", broadcast_bytes=2_000, tile_rows=10)
+        assert {(r.query_id, r.item_id, r.score) for r in found.collect()} == {(i, i, 0.0) for i in range(120)}
+        plans.append("CoGroup" in found._jdf.queryExecution().optimizedPlan().toString())
+    assert plans == [True, False]
+
+
 def test_vectors_of_two_lengths_are_refused(spark):
     chunks = spark.createDataFrame([("a", 1, [1.0]), ("a", 2, [1.0, 2.0])], CHUNKS)
     queries = spark.createDataFrame([(1, [1.0])], QUERIES)
