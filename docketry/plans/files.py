@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import tiktoken
@@ -325,11 +326,19 @@ def _byte_tokens(path: str, pattern: str):
 
     def cut(column: pd.Series) -> pd.Series:
         if not made:
-            made["it"] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={base64.b64decode(t): int(r) for t, r in ranks.items()}, special_tokens={})
+            tokens = {base64.b64decode(t): int(r) for t, r in ranks.items()}
+            made["it"] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=tokens, special_tokens={})
+            # per token: the characters that begin in it, and whether it begins inside of one
+            made["chars"], made["inside"] = np.zeros((2, max(tokens.values()) + 1), np.int64)
+            for token, rank in tokens.items():
+                made["chars"][rank] = sum(not 0x80 <= c < 0xC0 for c in token)
+                made["inside"][rank] = 0x80 <= token[0] < 0xC0
 
         def pieces(text: str) -> list[str]:
-            starts = sorted({0, *made["it"].decode_with_offsets(made["it"].encode_ordinary(text))[1]})
-            return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True) if a < b]
+            found = np.asarray(made["it"].encode_ordinary(text), np.int64)
+            chars = made["chars"][found]
+            starts = np.unique(np.maximum(np.cumsum(chars) - chars - made["inside"][found], 0)).tolist()
+            return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True) if a < b] if starts else []
 
         return column.map(pieces)
 

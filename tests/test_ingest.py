@@ -271,6 +271,23 @@ def test_windows_move_without_the_text_of_their_document(spark, tmp_path):
     assert got == sorted([(i, len(t), True) for i, t in {r for r in rows if r[1]}], key=repr)
 
 
+def test_byte_tokens_begin_where_the_library_says(monkeypatch):
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    from docketry.plans import files
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(path), special_tokens={})
+    monkeypatch.setattr(files, "pieces_by", lambda cut: cut)
+    cut = files._byte_tokens(path, public_tokenizers.PATTERN)
+    texts = ["", "plain words", "é", "日本語 テキスト 😀😀", "\x80\x85 ｱｱｱ", "🏳️\u200d🌈 a\u0301"]
+    for text, pieces in zip(texts, cut(pd.Series(texts)), strict=True):
+        starts = sorted({0, *library.decode_with_offsets(library.encode_ordinary(text))[1]})
+        assert pieces == [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True) if a < b]
+
+
 def test_kinds_with_a_tokenizer_of_ones_own(spark):
     from pyspark.sql import functions as F
 
